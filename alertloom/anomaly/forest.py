@@ -76,8 +76,8 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, height: int) -> list[tupl
         varying = np.flatnonzero(high > low)
         if len(varying) == 0:
             return me
-        f = int(rng.choice(varying))
-        cut = float(rng.uniform(low[f], high[f]))
+        f = int(varying[rng.integers(len(varying))])
+        cut = float(low[f] + rng.random() * (high[f] - low[f]))
         below = points[:, f] <= cut
         left, right = grow(points[below], depth + 1), grow(points[~below], depth + 1)
         nodes[me] = (f, cut, left, right, len(points), depth)

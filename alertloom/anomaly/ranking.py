@@ -9,7 +9,7 @@ from alertloom.anomaly.features import host_hour_excess, host_hour_features, mod
 from alertloom.anomaly.forest import isolation_forest
 from alertloom.functions import exprs as E
 from alertloom.operators.rank import global_rank
-from alertloom.session import checkpoint
+from alertloom.session import stored
 
 KEY = ["agent", "hour"]
 
@@ -42,8 +42,8 @@ def anomaly_scores(
     alerts: DataFrame, trees: int = 300, sample_size: int = 256, seed: int = 42
 ) -> DataFrame:
     """Host-hours with `anomaly_score`. The features are written once; fit and score read the copy."""
-    stored = checkpoint(excess_table(alerts))
-    return isolation_forest(stored, KEY, model_features(), trees, sample_size, seed)
+    table = stored(excess_table(alerts))
+    return isolation_forest(table, KEY, model_features(), trees, sample_size, seed)
 
 
 def _order(col: str) -> list[Column]:
@@ -51,7 +51,10 @@ def _order(col: str) -> list[Column]:
 
 
 def baseline_ranking(rows: DataFrame) -> DataFrame:
-    """Positions by excess score and by raw volume; ties go to the first (agent, hour)."""
+    """Positions by excess score and by raw volume; ties go to the first (agent, hour).
+
+    Sorting samples its input first: pass a stored table.
+    """
     return global_rank(global_rank(rows, _order("excess_score"), "heur_rank"), _order("alerts"), "volume_rank")
 
 
@@ -75,4 +78,5 @@ def host_hour_scores(
 ) -> DataFrame:
     """The complete output: every host-hour with scores, truth flag and ranks."""
     scored = anomaly_scores(alerts, trees, sample_size, seed)
-    return combined_ranking(flag_malicious(scored, malicious_host_hours(alerts, planted)))
+    # Stored before ranking: each sort first samples its input, which would score rows twice.
+    return combined_ranking(stored(flag_malicious(scored, malicious_host_hours(alerts, planted))))

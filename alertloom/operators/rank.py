@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertloom.session import checkpoint
+from alertloom.session import stored
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row's index in its lower 33 bits
 
@@ -17,7 +17,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     in, so the row counts of the partitions and the rows themselves cannot disagree after a task
     is rerun. Only the table of counts, one row per partition, is summed up and broadcast.
     """
-    placed = checkpoint(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
+    placed = stored(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
     part = F.shiftright("_pos", _INDEX_BITS)
     index = F.col("_pos").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

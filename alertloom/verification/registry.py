@@ -12,7 +12,7 @@ from alertloom.anomaly import evaluate, features, ranking
 from alertloom.operators import chains
 from alertloom.operators.joins import untriaged_alerts
 from alertloom.plans import bursts, coverage, latency, tuning, volume
-from alertloom.session import shared_dir
+from alertloom.session import shared_dir, stored
 from alertloom.sources import raw, tables
 from alertloom.verification import derived
 
@@ -81,7 +81,7 @@ def _flagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _baselines(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.baseline_ranking(_flagged(spark, sf))
+    return ranking.baseline_ranking(stored(_flagged(spark, sf)))
 
 
 def _baseline_ranking(spark: SparkSession, sf: str) -> DataFrame:
