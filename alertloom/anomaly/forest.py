@@ -43,19 +43,14 @@ def tree_samples(
         return _share(F.xxhash64(*key, tree, F.lit(seed)))
 
     pool = rows.filter(_share(F.xxhash64(*key, F.lit("pool"), F.lit(seed))) < pool_share)
-    chosen = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: F.struct(t.alias("tree_id"), ticket(t).alias("ticket")),
-        ),
-        lambda x: x["ticket"] < tree_share,
-    )
     # The samples are small but growing a tree is not: a fixed number of tasks keeps adaptive
     # execution from merging them.
     tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
     w = Window.partitionBy("tree_id").orderBy("ticket", *key)
     return (
-        pool.select("*", F.inline(chosen))
+        pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
+        .withColumn("ticket", ticket(F.col("tree_id")))
+        .filter(F.col("ticket") < tree_share)
         .repartition(tasks, "tree_id")
         .withColumn("_n", F.row_number().over(w))
         .filter(F.col("_n") <= size)
@@ -114,57 +109,59 @@ def expected_path(n: np.ndarray) -> np.ndarray:
 
 
 def pack_forest(nodes: pd.DataFrame) -> dict:
-    """Nodes of all trees in flat arrays; a leaf points to itself."""
+    """Nodes of all trees in flat arrays. Children are interleaved: `child[2 * node + goes_right]`.
+
+    A leaf points to itself, so every row can take the same number of steps.
+    """
     nodes = nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    first = nodes.groupby("tree_id")["node_id"].transform("size").to_numpy()
     starts = np.flatnonzero(nodes["node_id"].to_numpy() == 0)
-    base = np.repeat(starts, first[starts])
+    base = np.repeat(starts, np.diff(np.append(starts, len(nodes))))
     leaf = nodes["feature"].to_numpy() < 0
     own = np.arange(len(nodes))
+    left = np.where(leaf, own, base + nodes["left"])
+    right = np.where(leaf, own, base + nodes["right"])
     return {
-        "starts": starts,
-        "feature": np.where(leaf, 0, nodes["feature"]).astype(np.int64),
+        "starts": starts.astype(np.int32),
+        "feature": np.where(leaf, 0, nodes["feature"]).astype(np.int32),
         "threshold": nodes["threshold"].to_numpy(dtype=float),
-        "left": np.where(leaf, own, base + nodes["left"]).astype(np.int64),
-        "right": np.where(leaf, own, base + nodes["right"]).astype(np.int64),
+        "child": np.column_stack([left, right]).ravel().astype(np.int32),
         "path": nodes["depth"].to_numpy() + np.where(leaf, expected_path(nodes["size"]), 0.0),
         "height": int(nodes["depth"].max()),
         "norm": float(expected_path(np.array([nodes.loc[starts[0], "size"]]))[0]),
     }
 
 
-def forest_scores(x: np.ndarray, forest: dict) -> np.ndarray:
-    """Score in (0, 1], higher is more unusual."""
-    total = np.zeros(len(x))
-    row = np.arange(len(x))
-    for start in forest["starts"]:
-        at = np.full(len(x), start)
+def forest_scores(x: np.ndarray, forest: dict, block: int = 256) -> np.ndarray:
+    """Score in (0, 1], higher is more unusual. A block of rows walks down all trees at once."""
+    if forest["norm"] <= 0:
+        return np.full(len(x), 0.5)
+    mean = np.empty(len(x))
+    for i in range(0, len(x), block):
+        part = np.ascontiguousarray(x[i : i + block])
+        row = (np.arange(len(part), dtype=np.int32) * x.shape[1])[:, None]
+        at = np.broadcast_to(forest["starts"], (len(part), len(forest["starts"])))
         for _ in range(forest["height"]):
-            below = x[row, forest["feature"][at]] <= forest["threshold"][at]
-            at = np.where(below, forest["left"][at], forest["right"][at])
-        total += forest["path"][at]
-    norm = forest["norm"]
-    mean = total / len(forest["starts"])
-    return np.exp2(-mean / norm) if norm > 0 else np.full(len(x), 0.5)
+            value = part.ravel().take(row + forest["feature"].take(at))
+            at = forest["child"].take(2 * at + (value > forest["threshold"].take(at)))
+        mean[i : i + block] = forest["path"].take(at).mean(axis=1)
+    return np.exp2(-mean / forest["norm"])
 
 
 def score_forest(rows: DataFrame, nodes: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Append `anomaly_score`. Map-only.
+    """Append `anomaly_score`. Map-only, and only the features travel to Python.
 
     The model is gathered and broadcast: its size is bounded by the number of trees times twice
     the sample size, whatever the size of the data.
     """
-    spark = rows.sparkSession
-    model = spark.sparkContext.broadcast(pack_forest(nodes.toPandas()))
-    features = list(features)
+    model = rows.sparkSession.sparkContext.broadcast(pack_forest(nodes.toPandas()))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = np.nan_to_num(batch[features].to_numpy(dtype=float))
-            yield batch.assign(anomaly_score=forest_scores(x, model.value))
+    @F.pandas_udf(T.DoubleType())
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            yield pd.Series(forest_scores(np.nan_to_num(x), model.value))
 
-    out = T.StructType([*rows.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
-    return rows.mapInPandas(score, out)
+    return rows.withColumn("anomaly_score", score(*[F.col(f).cast("double") for f in features]))
 
 
 def isolation_forest(

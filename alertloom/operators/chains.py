@@ -2,32 +2,34 @@
 
 The question joins each severe alert (the anchor) to every severe alert within the window that
 shares its host or its user. Writing that join out makes pairs, and their number grows with the
-square of a busy host. None of the answers needs the pairs:
-
-* Which tactics follow? Time is cut into slots as long as the window, so an anchor's window ends in
-  the slot after its own. A tactic occurs in the window exactly if its last time in the anchor's
-  slot is not before the anchor, or its first time in the next slot is not after the window's end.
-  Two times per (host or user, slot, tactic) decide it.
-* When does it end? The latest severe alert at or before the window's end: a running maximum.
-* How many hosts? Those on which the anchor's user was seen in the window. A host counts from each
-  alert until one window later; overlapping stretches merge, and a running sum of +1 at a
-  stretch's start and -1 after its end is the number of hosts at any time.
+square of a busy host. None of the answers needs the pairs. Time is cut into slots as long as the
+window, so the window of an anchor in slot s ends in slot s + 1.
+
+* Which tactics follow? A tactic occurs in the window exactly if its last time in slot s is not
+  before the anchor, or its first time in slot s + 1 is not after the window's end. Two times per
+  (host or user, slot, tactic) decide it. This alone selects the candidates.
+* When does the window end? At the latest alert not after its nominal end: the last one of slot s,
+  or a running maximum in slot s + 1.
+* How many hosts? Those where the anchor's user was seen. In slot s + 1 a host counts from the
+  start until one window after its last alert of slot s, and again from its first alert of slot
+  s + 1. A running sum of +1 and -1 at these times is the number of hosts at any time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.functions import exprs as E
-from alertloom.operators.timeline import running, slot_of
+from alertloom.operators.timeline import MICROS, running, slot_of
+from alertloom.session import stored
 
 HOST, USER = 0, 1
-MICROS = 1_000_000
 
 
 def _severe(alerts: DataFrame, min_level: int) -> DataFrame:
-    return alerts.filter(
+    """The few columns of the severe alerts, written once: a small part of the alerts, read often."""
+    severe = alerts.filter(
         (F.col("level") >= min_level)
         & F.col("mitre_tactic").isNotNull()
         & F.col("ts").isNotNull()
@@ -39,6 +41,7 @@ def _severe(alerts: DataFrame, min_level: int) -> DataFrame:
         F.unix_micros(E.instant(F.col("ts"))).alias("t"),
         F.col("mitre_tactic").alias("tactic"),
     )
+    return stored(severe)
 
 
 def _by_key(rows: DataFrame) -> DataFrame:
@@ -50,11 +53,12 @@ def _by_key(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.inline(keyed)).filter(F.col("key").isNotNull())
 
 
-def _tactic_times(keyed: DataFrame, window: int) -> DataFrame:
+def _tactic_times(severe: DataFrame, window: int) -> DataFrame:
     """Per (key, slot): for each tactic its last time in the slot or first time in the next."""
-    slot = slot_of(F.col("t"), window)
-    times = keyed.groupBy("kind", "key", slot.alias("slot"), "tactic").agg(
-        F.min("t").alias("first"), F.max("t").alias("last")
+    times = (
+        _by_key(severe)
+        .groupBy("kind", "key", slot_of(F.col("t"), window).alias("slot"), "tactic")
+        .agg(F.min("t").alias("first"), F.max("t").alias("last"))
     )
     none = F.lit(None).cast("bigint")
     both = F.array(
@@ -69,99 +73,119 @@ def _tactic_times(keyed: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _seen(times: str, window: int) -> Column:
-    """Distinct tactics of `times` inside [t, t + window]."""
+_NO_TIMES = "array<struct<tactic:string,last:bigint,first:bigint>>"
+
+
+def _candidates(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
+    """Distinct (agent, src_user, t) whose window holds enough tactics.
+
+    `before` is the latest alert of the anchor's own slot.
+    """
+    times = _tactic_times(severe, window)
+
+    def of(kind: int, key: str, name: str) -> DataFrame:
+        return times.filter(F.col("kind") == kind).select(
+            F.col("key").alias(key), "slot", F.col("times").alias(name)
+        )
+
+    anchors = (
+        severe.select("agent", "src_user", "t")
+        .distinct()
+        .withColumn("slot", slot_of(F.col("t"), window))
+        .join(of(HOST, "agent", "host_times"), ["agent", "slot"], "left")
+        .join(of(USER, "src_user", "user_times"), ["src_user", "slot"], "left")
+    )
+    none = F.array().cast(_NO_TIMES)
+    both = F.concat(F.coalesce("host_times", none), F.coalesce("user_times", none))
     inside = F.filter(
-        F.coalesce(F.col(times), F.array().cast("array<struct<tactic:string,last:bigint,first:bigint>>")),
-        lambda x: (x["last"] >= F.col("t")) | (x["first"] <= F.col("t") + window),
+        "times", lambda x: (x["last"] >= F.col("t")) | (x["first"] <= F.col("t") + window)
+    )
+    return (
+        anchors.withColumn("times", both)
+        .select(
+            "agent",
+            "src_user",
+            "t",
+            "slot",
+            F.array_sort(F.array_distinct(F.transform(inside, lambda x: x["tactic"]))).alias("tactics"),
+            F.array_max(F.transform("times", lambda x: x["last"])).alias("before"),
+        )
+        .filter(F.size("tactics") >= min_tactics)
     )
-    return F.transform(inside, lambda x: x["tactic"])
 
 
-def _host_changes(severe: DataFrame, window: int) -> DataFrame:
-    """+1 when a user's host starts to count, -1 just after it stops."""
-    slot = slot_of(F.col("t"), window)
+def _host_changes(severe: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """+1 where a host of the user starts to count in a slot, -1 just after it stops."""
     runs = (
         severe.filter(F.col("src_user").isNotNull() & F.col("agent").isNotNull())
-        .groupBy(F.col("src_user").alias("key"), "agent", slot.alias("slot"))
+        .groupBy(F.col("src_user").alias("key"), "agent", slot_of(F.col("t"), window).alias("slot"))
         .agg(F.min("t").alias("first"), F.max("t").alias("last"))
     )
-    # One row per slot the pair was active in. Alerts of one slot are never a window apart.
-    w = Window.partitionBy("key", "agent").orderBy("slot")
-    until, following = F.lag("last").over(w) + window, F.lead("first").over(w)
-    marked = runs.select("key", "first", "last", until.alias("until"), following.alias("following"))
-    starts = F.col("until").isNull() | (F.col("until") < F.col("first"))
-    ends = F.col("following").isNull() | (F.col("last") + window < F.col("following"))
-    changes = F.array(
-        F.struct(F.col("first").alias("at"), F.when(starts, 1).alias("hosts")),
-        F.struct((F.col("last") + window + 1).alias("at"), F.when(ends, -1).alias("hosts")),
-    )
-    return (
-        marked.select("key", F.inline(changes))
-        .filter(F.col("hosts").isNotNull())
-        .select(F.lit(USER).alias("kind"), "key", "at", "hosts", F.lit(None).cast("bigint").alias("latest"))
+    none = F.lit(None).cast("bigint")
+    both = F.array(
+        F.struct(F.col("slot"), F.col("first"), none.alias("until")),
+        F.struct(
+            (F.col("slot") + 1).alias("slot"), none.alias("first"), (F.col("last") + window).alias("until")
+        ),
+    )
+    merged = (
+        runs.select("key", "agent", F.inline(both))
+        .join(wanted.filter(F.col("kind") == USER).drop("kind"), ["key", "slot"], "left_semi")
+        .groupBy("key", "agent", "slot")
+        .agg(F.min("first").alias("first"), F.max("until").alias("until"))
+    )
+    first, until = F.col("first"), F.col("until")
+    gap = first > until + 1
+    starts = F.when(until.isNotNull(), F.struct((F.col("slot") * window).alias("at"), F.lit(1).alias("hosts")))
+    stops = F.when(
+        until.isNotNull() & (first.isNull() | gap),
+        F.struct((until + 1).alias("at"), F.lit(-1).alias("hosts")),
+    )
+    again = F.when(
+        first.isNotNull() & (until.isNull() | gap), F.struct(first.alias("at"), F.lit(1).alias("hosts"))
+    )
+    return merged.select(
+        F.lit(USER).alias("kind"),
+        "key",
+        "slot",
+        F.inline(F.array_compact(F.array(starts, stops, again))),
     )
 
 
-def attack_windows(
-    alerts: DataFrame, min_tactics: int = 3, min_level: int = 8, window_seconds: int = 7200
-) -> DataFrame:
+def _windows(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
     """Windows with at least `min_tactics` tactics, one row per distinct (host, user, start).
 
-    `anchors` is the number of alerts that open the same window.
+    The candidates are written once. Windows of several tactics are rare, so what remains to be
+    asked of the alerts usually concerns few hosts, users and slots.
     """
-    window = window_seconds * MICROS
-    severe = _severe(alerts, min_level)
-    times = _tactic_times(_by_key(severe), window)
-
-    anchors = (
-        severe.groupBy("agent", "src_user", "t")
-        .agg(
-            (
-                F.count_distinct("alert_id") + F.max(F.col("alert_id").isNull().cast("bigint"))
-            ).alias("anchors")
-        )
-        .withColumn("slot", slot_of(F.col("t"), window))
-    )
-    by_host = times.filter(F.col("kind") == HOST).select(
-        F.col("key").alias("agent"), "slot", F.col("times").alias("host_times")
-    )
-    by_user = times.filter(F.col("kind") == USER).select(
-        F.col("key").alias("src_user"), "slot", F.col("times").alias("user_times")
-    )
-    tactics = F.array_union(_seen("host_times", window), _seen("user_times", window))
-    candidates = (
-        anchors.join(by_host, ["agent", "slot"], "left")
-        .join(by_user, ["src_user", "slot"], "left")
-        .select("agent", "src_user", "t", "anchors", F.array_sort(tactics).alias("tactics"))
-        .filter(F.size("tactics") >= min_tactics)
-    )
+    candidates = stored(_candidates(severe, min_tactics, window))
 
-    # Everything that happens along a key's time line, and the questions asked of it. A question
-    # stands at its window's end and carries its candidate along.
-    events = (
-        _by_key(severe)
-        .select("kind", "key", F.col("t").alias("at"), F.lit(None).cast("int").alias("hosts"), F.col("t").alias("latest"))
-        .unionByName(_host_changes(severe, window))
-        .groupBy("kind", "key", "at")
-        .agg(F.sum("hosts").alias("hosts"), F.max("latest").alias("latest"))
-    )
-    payload = F.struct("agent", "src_user", "t", "anchors", "tactics").alias("candidate")
-    asked = _by_key(candidates).select(
+    # A question stands at the window's nominal end, and carries its candidate along.
+    asked = _by_key(candidates.withColumn("candidate", F.struct(*candidates.columns))).select(
         "kind",
         "key",
+        (F.col("slot") + 1).alias("slot"),
         (F.col("t") + window).alias("at"),
-        F.lit(None).cast("bigint").alias("hosts"),
-        F.lit(None).cast("bigint").alias("latest"),
-        payload,
+        "candidate",
     )
-    line = events.unionByName(asked, allowMissingColumns=True)
-    answers = running(line, ["kind", "key"], "at", {"hosts": F.sum, "latest": F.max}).filter(
-        F.col("candidate").isNotNull()
+    wanted = asked.select("kind", "key", "slot").distinct()
+    events = (
+        _by_key(severe)
+        .select("kind", "key", slot_of(F.col("t"), window).alias("slot"), F.col("t").alias("at"))
+        .join(wanted, ["kind", "key", "slot"], "left_semi")
+        .withColumn("latest", F.col("at"))
+    )
+    line = (
+        events.unionByName(_host_changes(severe, wanted, window), allowMissingColumns=True)
+        .groupBy("kind", "key", "slot", "at")
+        .agg(F.sum("hosts").alias("hosts"), F.max("latest").alias("latest"))
+        .unionByName(asked, allowMissingColumns=True)
     )
+    answers = running(line, ["kind", "key", "slot"], "at", {"hosts": F.sum, "latest": F.max})
     # Host and user answers of one candidate meet again. Without a user only the host itself counts.
     return (
-        answers.groupBy("candidate")
+        answers.filter(F.col("candidate").isNotNull())
+        .groupBy("candidate")
         .agg(
             F.max("latest").alias("latest"),
             F.max(F.when(F.col("kind") == USER, F.col("hosts"))).alias("hosts"),
@@ -170,15 +194,24 @@ def attack_windows(
             F.col("candidate.agent").alias("first_host"),
             F.col("candidate.src_user").alias("src_user"),
             F.timestamp_micros("candidate.t").alias("window_start"),
-            F.timestamp_micros("latest").alias("window_end"),
+            F.timestamp_micros(F.greatest("candidate.before", "latest")).alias("window_end"),
             F.size("candidate.tactics").cast("bigint").alias("tactics_in_window"),
             F.coalesce("hosts", F.lit(1).cast("bigint")).alias("hosts_in_window"),
             F.array_join("candidate.tactics", " | ").alias("tactics_seen"),
-            F.col("candidate.anchors").alias("anchors"),
         )
     )
 
 
+def _order() -> list[Column]:
+    return [
+        F.col("tactics_in_window").desc(),
+        F.col("hosts_in_window").desc(),
+        F.col("window_start").asc(),
+        F.col("first_host").asc_nulls_last(),
+        F.col("src_user").asc_nulls_last(),
+    ]
+
+
 def attack_chains(
     alerts: DataFrame,
     min_tactics: int = 3,
@@ -187,35 +220,22 @@ def attack_chains(
     limit: int | None = 10,
 ) -> DataFrame:
     """Chains of at least `min_tactics` tactics, broadest first, one row per opening alert."""
-    order = [
-        F.col("tactics_in_window").desc(),
-        F.col("hosts_in_window").desc(),
-        F.col("window_start").asc(),
-        F.col("first_host").asc_nulls_last(),
-        F.col("src_user").asc_nulls_last(),
-    ]
-    windows = attack_windows(alerts, min_tactics, min_level, window_seconds)
-    columns = [c for c in windows.columns if c != "anchors"]
+    severe = _severe(alerts, min_level)
+    windows = _windows(severe, min_tactics, window_seconds * MICROS)
     if limit is not None:
-        # A window repeated by many alerts fills the report at most once over.
-        top = windows.orderBy(*order).limit(limit)
-        copies = F.sequence(F.lit(1), F.least(F.col("anchors"), F.lit(limit).cast("bigint")).cast("int"))
-        return top.select("*", F.explode(copies)).select(*columns).orderBy(*order).limit(limit)
-    # One row per opening alert, from the alerts themselves: a window opened by a flood of copies
-    # is spread over the tasks that hold them.
-    opening = (
-        _severe(alerts, min_level)
-        .select("alert_id", "agent", "src_user", F.timestamp_micros("t").alias("start"))
-        .distinct()
-    )
-    found = windows.select(*columns)
-    return (
-        opening.withColumnRenamed("src_user", "user")
-        .join(
-            found,
+        # Further windows cannot reach a report of `limit` rows, each having at least one alert.
+        windows = F.broadcast(windows.orderBy(*_order()).limit(limit))
+    opening = severe.select("alert_id", "agent", F.col("src_user").alias("user"), "t")
+    # Alerts that open the same window are rows of their own.
+    chains = (
+        opening.join(
+            windows,
             F.col("agent").eqNullSafe(F.col("first_host"))
             & F.col("user").eqNullSafe(F.col("src_user"))
-            & (F.col("start") == F.col("window_start")),
+            & (F.timestamp_micros("t") == F.col("window_start")),
         )
-        .select(*columns)
+        .select("alert_id", *windows.columns)
+        .distinct()
+        .drop("alert_id")
     )
+    return chains if limit is None else chains.orderBy(*_order()).limit(limit)

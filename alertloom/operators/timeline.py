@@ -7,8 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SECOND = 1_000_000  # time is in microseconds
-HOUR = 3600 * SECOND
+MICROS = 1_000_000  # time is in microseconds
 
 Agg = Callable[[Column], Column]
 
@@ -23,64 +22,42 @@ def running(
     keys: Sequence[str],
     time: str,
     aggs: Mapping[str, Agg],
-    levels: Sequence[int] = (SECOND, HOUR),
+    slot_width: int = MICROS,
 ) -> DataFrame:
     """Replace each column of `aggs` by its running aggregate per key, in order of `time`.
 
     Rows at the same time see each other. The aggregates must combine (sum, max, min).
 
-    One window per key would put a hot key into one task. Here each level of `levels` cuts time
-    into slots; every slot is reduced to one row, and what came before a slot reaches it as one
-    extra row at its start. A task then holds one key's rows of one finest slot, one key's slots
-    of one coarser slot, or one key's coarsest slots, and never a key's whole history.
+    One window per key would put a hot key into one task. Here time is cut into short slots. Each
+    is reduced to one row on the map side, the slots of a key are run through in order, and what
+    came before a slot reaches it as one extra row at its start. A task then holds either one row
+    per slot of a key, or the rows of one slot.
     """
-    table = rows.withColumn("_carry", F.lit(False))
+    table = rows.withColumn("_slot", slot_of(F.col(time), slot_width))
 
-    def slots_before(level: DataFrame, widths: Sequence[int], slot: str) -> DataFrame:
-        """(keys, slot, aggs over everything before the slot)."""
-        order = F.col(slot)
-        if not widths:
-            w = Window.partitionBy(*keys).orderBy(order)
-            return level.select(*keys, slot, *_over(aggs, w.rowsBetween(Window.unboundedPreceding, -1)))
-        outer = widths[0]
-        # The finer slot number divides evenly into the coarser one.
-        level = level.withColumn("_outer", slot_of(order, outer))
-        totals = level.groupBy(*keys, "_outer").agg(*_agg(aggs))
-        before = slots_before(totals, widths[1:], "_outer")
-        carried = before.withColumn(slot, F.col("_outer") * outer - 1).withColumn("_in", F.lit(True))
-        both = level.withColumn("_in", F.lit(False)).unionByName(carried)
-        w = Window.partitionBy(*keys, "_outer").orderBy(slot)
-        return (
-            both.select(*keys, slot, "_in", *_over(aggs, w.rowsBetween(Window.unboundedPreceding, -1)))
-            .filter(~F.col("_in"))
-            .drop("_in")
-        )
+    def over(window) -> list[Column]:
+        return [f(F.col(c)).over(window).alias(c) for c, f in aggs.items()]
 
-    finest = levels[0]
-    table = table.withColumn("_slot", slot_of(F.col(time), finest))
-    totals = table.groupBy(*keys, "_slot").agg(*_agg(aggs))
-    # Widths relative to the next finer level.
-    ratios = [b // a for a, b in zip(levels, levels[1:])]
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    )
     carried = (
-        slots_before(totals, ratios, "_slot")
-        .withColumn(time, F.col("_slot") * finest - 1)
+        table.groupBy(*keys, "_slot")
+        .agg(*[f(F.col(c)).alias(c) for c, f in aggs.items()])
+        .select(*keys, "_slot", *over(earlier))
+        .withColumn(time, F.col("_slot") * slot_width - 1)
         .withColumn("_carry", F.lit(True))
     )
-    both = table.unionByName(carried, allowMissingColumns=True)
-    w = (
+    so_far = (
         Window.partitionBy(*keys, "_slot")
         .orderBy(time)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    others = [c for c in rows.columns if c not in aggs]
+    kept = [c for c in rows.columns if c not in aggs]
     return (
-        both.select(*others, "_carry", *_over(aggs, w)).filter(~F.col("_carry")).drop("_carry")
+        table.withColumn("_carry", F.lit(False))
+        .unionByName(carried, allowMissingColumns=True)
+        .select(*kept, "_carry", *over(so_far))
+        .filter(~F.col("_carry"))
+        .drop("_carry")
     )
-
-
-def _agg(aggs: Mapping[str, Agg]) -> list[Column]:
-    return [f(F.col(c)).alias(c) for c, f in aggs.items()]
-
-
-def _over(aggs: Mapping[str, Agg], window) -> list[Column]:
-    return [f(F.col(c)).over(window).alias(c) for c, f in aggs.items()]

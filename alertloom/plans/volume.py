@@ -65,19 +65,16 @@ def tuning_candidates(
     Volume counts the rows of alerts left-joined to triage: an alert triaged twice counts twice.
     """
     volume = alerts.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n"))
-    return _tunable(volume, triage_outcomes(alerts, triage, "rule_id"), min_alerts, max_tp_share)
+    outcomes = triage_outcomes(alerts, triage, "rule_id")
+    return _tunable(volume, outcomes, min_alerts, max_tp_share).select("rule_id")
 
 
 def _tunable(volume: DataFrame, outcomes: DataFrame, min_alerts: int, max_tp_share: float) -> DataFrame:
-    # Rule ids are matched null-safely: alerts without a rule form a group of their own.
+    # Null-safe: alerts without a rule form a group of their own.
     o = outcomes.withColumnRenamed("rule_id", "o_rule")
-    return (
-        volume.join(o, F.col("rule_id").eqNullSafe(F.col("o_rule")))
-        .filter(
-            (F.col("n") + F.col("repeats") > min_alerts)
-            & (E.ratio(F.col("true_positives"), F.col("triaged")) < max_tp_share)
-        )
-        .select("rule_id")
+    return volume.join(o, F.col("rule_id").eqNullSafe(F.col("o_rule"))).filter(
+        (F.col("n") + F.col("repeats") > min_alerts)
+        & (E.ratio(F.col("true_positives"), F.col("triaged")) < max_tp_share)
     )
 
 
@@ -92,26 +89,27 @@ def weekly_trend_after_tuning(
     Follows SQL's NOT IN: with candidates present an alert without a rule is not counted as
     remaining, and a candidate without a rule id leaves nothing remaining.
     """
-    # Alerts are reduced to (week, rule) once; both the candidates and the trend start there.
+    # Alerts are reduced to (week, rule) once; the candidates and the trend start from there, so
+    # no join touches single alerts except the one that finds the triaged ones.
     weekly_rules = alerts.groupBy(E.week_start(F.col("ts")).alias("week"), "rule_id").agg(
         F.count(F.lit(1)).alias("n")
     )
     volume = weekly_rules.groupBy("rule_id").agg(F.sum("n").alias("n"))
-    tune = _tunable(volume, triage_outcomes(alerts, triage, "rule_id"), min_alerts, max_tp_share)
+    tune = _tunable(volume, triage_outcomes(alerts, triage, "rule_id"), min_alerts, max_tp_share).select(
+        F.col("rule_id").alias("tuned"), F.lit(True).alias("hit")
+    )
     found = tune.agg(
         F.struct(
-            F.count(F.lit(1)).alias("rules"),
-            F.count_if(F.col("rule_id").isNull()).alias("nameless"),
+            F.count(F.lit(1)).alias("rules"), F.count_if(F.col("tuned").isNull()).alias("nameless")
         )
     ).scalar()
-    suppressed = tune.filter(F.col("rule_id").isNotNull()).withColumn("hit", F.lit(True))
     remains = (
         F.when(F.col("found.rules") == 0, True)
         .when(F.col("found.nameless") > 0, False)
         .otherwise(F.col("rule_id").isNotNull() & F.col("hit").isNull())
     )
     weekly = (
-        weekly_rules.join(suppressed, "rule_id", "left")
+        weekly_rules.join(tune, F.col("rule_id").eqNullSafe(F.col("tuned")), "left")
         .withColumn("found", found)
         .groupBy("week")
         .agg(
