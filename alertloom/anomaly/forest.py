@@ -121,28 +121,29 @@ def pack_forest(nodes: pd.DataFrame) -> dict:
     left = np.where(leaf, own, base + nodes["left"])
     right = np.where(leaf, own, base + nodes["right"])
     return {
-        "starts": starts.astype(np.int32),
-        "feature": np.where(leaf, 0, nodes["feature"]).astype(np.int32),
+        "starts": starts.astype(np.intp),
+        "feature": np.where(leaf, 0, nodes["feature"]).astype(np.intp),
         "threshold": nodes["threshold"].to_numpy(dtype=float),
-        "child": np.column_stack([left, right]).ravel().astype(np.int32),
+        "child": np.column_stack([left, right]).ravel().astype(np.intp),
         "path": nodes["depth"].to_numpy() + np.where(leaf, expected_path(nodes["size"]), 0.0),
         "height": int(nodes["depth"].max()),
         "norm": float(expected_path(np.array([nodes.loc[starts[0], "size"]]))[0]),
     }
 
 
-def forest_scores(x: np.ndarray, forest: dict, block: int = 256) -> np.ndarray:
+def forest_scores(x: np.ndarray, forest: dict, block: int = 64) -> np.ndarray:
     """Score in (0, 1], higher is more unusual. A block of rows walks down all trees at once."""
     if forest["norm"] <= 0:
         return np.full(len(x), 0.5)
     mean = np.empty(len(x))
     for i in range(0, len(x), block):
         part = np.ascontiguousarray(x[i : i + block])
-        row = (np.arange(len(part), dtype=np.int32) * x.shape[1])[:, None]
+        row = (np.arange(len(part)) * x.shape[1])[:, None]
         at = np.broadcast_to(forest["starts"], (len(part), len(forest["starts"])))
         for _ in range(forest["height"]):
-            value = part.ravel().take(row + forest["feature"].take(at))
-            at = forest["child"].take(2 * at + (value > forest["threshold"].take(at)))
+            value = part.ravel().take(row + forest["feature"].take(at, mode="clip"), mode="clip")
+            right = value > forest["threshold"].take(at, mode="clip")
+            at = forest["child"].take(2 * at + right, mode="clip")
         mean[i : i + block] = forest["path"].take(at).mean(axis=1)
     return np.exp2(-mean / forest["norm"])
 
