@@ -81,7 +81,7 @@ def week_start(ts: Column) -> Column:
 
 def is_external(ip: Column, internal_prefix: str = S.INTERNAL_PREFIX) -> Column:
     """True for addresses outside the internal prefix; NULL addresses are not external."""
-    return F.coalesce(~ip.startswith(internal_prefix), F.lit(False))
+    return ip.isNotNull() & ~ip.startswith(internal_prefix)
 
 
 def in_maintenance(

@@ -196,7 +196,9 @@ def _windows(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
             F.timestamp_micros("candidate.t").alias("window_start"),
             F.timestamp_micros(F.greatest("candidate.before", "latest")).alias("window_end"),
             F.size("candidate.tactics").cast("bigint").alias("tactics_in_window"),
-            F.coalesce("hosts", F.lit(1).cast("bigint")).alias("hosts_in_window"),
+            F.when(F.col("candidate.src_user").isNull(), F.lit(1).cast("bigint"))
+            .otherwise(F.coalesce("hosts", F.lit(0).cast("bigint")))
+            .alias("hosts_in_window"),
             F.array_join("candidate.tactics", " | ").alias("tactics_seen"),
         )
     )

@@ -1,0 +1,135 @@
+"""Chain reconstruction against brute force over pairs, and its edges."""
+
+import datetime as dt
+import random
+
+from alertloom import schemas as S
+from alertloom.operators import timeline
+from alertloom.operators.chains import attack_chains
+from pyspark.sql import functions as F
+
+T0 = dt.datetime(2026, 8, 17, 14, 22)
+WINDOW = dt.timedelta(hours=2)
+
+
+def alert(i, at, tactic, agent="ws", user="u", level=10):
+    return (str(i), at, "r", level, "d", None, tactic, agent, None, user, None, None)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, S.ALERTS).repartition(5)
+
+
+def brute_force(rows, min_tactics=3):
+    severe = [r for r in rows if r[3] is not None and r[3] >= 8 and r[6] is not None]
+    out = {}
+    for a in severe:
+        near = [
+            b for b in severe
+            if a[1] <= b[1] <= a[1] + WINDOW
+            and ((a[7] is not None and a[7] == b[7]) or (a[9] is not None and a[9] == b[9]))
+        ]
+        tactics = sorted({b[6] for b in near})
+        if len(tactics) >= min_tactics:
+            hosts = {b[7] for b in near if b[7] is not None}
+            out[(a[0], a[7], a[9], a[1])] = (
+                a[7], a[9], a[1], max(b[1] for b in near), len(tactics), len(hosts), " | ".join(tactics)
+            )
+    return sorted(out.values(), key=repr)
+
+
+def run(spark, rows, **kw):
+    return sorted(map(tuple, attack_chains(frame(spark, rows), limit=None, **kw).collect()), key=repr)
+
+
+def test_random_alerts_with_a_hot_host_and_a_hot_user(spark):
+    r = random.Random(3)
+    rows = []
+    for i in range(500):
+        at = T0 + dt.timedelta(microseconds=r.randrange(12 * 3600 * 10**6))
+        if r.random() < 0.2:
+            at = T0 + dt.timedelta(hours=r.randrange(12))  # equal times, windows that end exactly there
+        hot = r.random() < 0.33
+        rows.append(
+            alert(i, at, r.choice([None, *S.TACTICS[:7]]), "hot" if hot else r.choice(["h1", "h2", "h3", None]),
+                  "svc" if r.random() < 0.33 else r.choice([f"u{j}" for j in range(25)] + [None]), r.choice([7, 8, 12]))
+        )
+    rows += [alert(f"copy{i}", *rows[0][1:2], rows[0][6] or "Impact", rows[0][7], rows[0][9], 12) for i in range(200)]
+    for k in (2, 3, 5):
+        assert run(spark, rows, min_tactics=k) == brute_force(rows, k)
+
+
+def test_sparse_users_over_many_hosts(spark):
+    r = random.Random(4)
+    rows = [
+        alert(i, T0 + dt.timedelta(seconds=r.randrange(20 * 3600)), r.choice(S.TACTICS), f"h{r.randrange(60)}", f"u{r.randrange(4)}")
+        for i in range(300)
+    ]
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_window_end_is_inclusive_to_the_microsecond(spark):
+    us = dt.timedelta(microseconds=1)
+    base = [alert(1, T0, "Impact"), alert(2, T0 + us, "Discovery")]
+    exact = [*base, alert(3, T0 + WINDOW, "Execution")]
+    late = [*base, alert(3, T0 + WINDOW + us, "Execution")]
+    early = [*base, alert(3, T0 - us, "Execution")]
+    assert [c[2:6] for c in run(spark, exact)] == [(T0, T0 + WINDOW, 3, 1)]
+    # The second alert's window does not reach back, the first one's does not reach far enough.
+    assert [c[2] for c in run(spark, late)] == []
+    assert [c[2] for c in run(spark, early)] == [T0 - us]
+
+
+def test_unknown_user_matches_by_host_only_and_both_keys_count_once(spark):
+    rows = [
+        alert(1, T0, "Impact", "a", None),
+        alert(2, T0 + dt.timedelta(minutes=1), "Discovery", "a", "u"),
+        alert(3, T0 + dt.timedelta(minutes=2), "Execution", "a", "u"),
+        alert(4, T0 + dt.timedelta(minutes=3), "Persistence", "b", None),
+    ]
+    assert run(spark, rows) == [("a", None, T0, T0 + dt.timedelta(minutes=2), 3, 1, "Discovery | Execution | Impact")]
+
+
+def test_limit_keeps_repeated_windows(spark):
+    follow = [alert("x", T0 + dt.timedelta(minutes=1), "Discovery"), alert("y", T0 + dt.timedelta(minutes=2), "Execution")]
+    rows = [*[alert(i, T0, "Impact") for i in range(7)], *follow]
+    got = attack_chains(frame(spark, rows), limit=5).collect()
+    assert len(got) == 5 and len({tuple(r) for r in got}) == 1
+    assert len(run(spark, rows)) == 7
+
+
+def test_lateral_movement_ranks_first(spark):
+    t0, m = T0, dt.timedelta(minutes=1)
+    rows = [
+        alert(0, t0, "Execution", "ws-017", "user23"),
+        alert(1, t0 + 6 * m, "Credential Access", "ws-017", "user23"),
+        alert(2, t0 + 41 * m, "Persistence", "dc-01", "user23"),
+        alert(3, t0 + 43 * m, "Privilege Escalation", "dc-01", "user23"),
+        alert(4, t0 + 58 * m, "Persistence", "dc-01", "helpdesk2"),
+        *[alert(5 + i, t0 + (1 + i) * 60 * m, "Command and Control", "ws-017", None) for i in range(6)],
+    ]
+    r = random.Random(9)
+    noise = [
+        alert(100 + i, t0 + dt.timedelta(minutes=r.randrange(-3000, 3000)), "Discovery", f"h{i % 9}", f"n{i % 17}")
+        for i in range(200)
+    ]
+    top = attack_chains(frame(spark, rows + noise)).first()
+    assert tuple(top) == (
+        "ws-017", "user23", t0, t0 + WINDOW, 5, 2,
+        "Command and Control | Credential Access | Execution | Persistence | Privilege Escalation",
+    )
+
+
+def test_running_aggregates_match_a_plain_window(spark):
+    r = random.Random(2)
+    rows = [(r.choice("ab"), r.randrange(20_000_000), r.choice([None, 1, -1, 2])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, at bigint, v bigint").withColumn("hi", F.col("v"))
+    got = timeline.running(df, ["k"], "at", {"v": F.sum, "hi": F.max}).collect()
+
+    def upto(k, at):
+        return [v for kk, a, v in rows if kk == k and a <= at and v is not None]
+
+    assert len(got) == len(rows)
+    for k, at, v, hi in [tuple(x[c] for c in ("k", "at", "v", "hi")) for x in got]:
+        seen = upto(k, at)
+        assert (v, hi) == ((sum(seen), max(seen)) if seen else (None, None))
