@@ -10,19 +10,31 @@ from pyspark.sql import functions as F
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
 from alertloom.operators.joins import triage_latency
+from alertloom.operators.quantiles import weighted_quantiles
+from alertloom.session import stored
 
 
-def _histogram(latency: DataFrame, *keys: Column) -> DataFrame:
-    """Triage actions per (keys, seconds to open).
+def _histogram(latency: DataFrame, key: Column) -> DataFrame:
+    """Triage actions per (key, whole seconds to open), written once.
 
-    Everything the reports need, exact quantiles included, follows from this table. It has one
-    row per distinct whole second, so its size is set by the range of latencies, not by the rows.
+    Everything the reports need, exact quantiles included, follows from this table. Its size is
+    set by the range of latencies, not by the number of alerts, and the join below it runs once.
     """
     working = F.col("working") * F.col("copies")
-    return latency.groupBy(*keys, "to_open").agg(
-        F.sum("copies").alias("rows"),
-        F.sum(working).alias("working"),
-        F.sum(F.when(F.col("working").isNotNull(), F.col("copies"))).alias("worked"),
+    return stored(
+        latency.groupBy(key, "to_open").agg(
+            F.sum("copies").alias("rows"),
+            F.sum(working).alias("working"),
+            F.sum(F.when(F.col("working").isNotNull(), F.col("copies"))).alias("worked"),
+        )
+    )
+
+
+def _with_quantiles(stats: DataFrame, hist: DataFrame, key: str, quantiles: dict[str, float]) -> DataFrame:
+    """Add the quantiles of the seconds to open, in minutes."""
+    q = weighted_quantiles(hist, key, "to_open", "rows", quantiles).withColumnRenamed(key, "_q")
+    return stats.join(q, F.col(key).eqNullSafe(F.col("_q")), "left").withColumns(
+        {name: F.round(F.col(name) / F.lit(60.0), 1) for name in quantiles}
     )
 
 
@@ -31,11 +43,6 @@ def _mean_to_open() -> Column:
     return E.minutes(F.sum(F.col("to_open") * F.col("rows")), known)
 
 
-def _quantile_to_open(p: float) -> Column:
-    """Interpolated quantile of the seconds, in minutes."""
-    return F.round(F.percentile("to_open", p, F.col("rows")) / F.lit(60.0), 1)
-
-
 def time_to_triage(
     alerts: DataFrame, triage: DataFrame, sla: Mapping[str, float] = S.SLA_MINUTES
 ) -> DataFrame:
@@ -43,17 +50,24 @@ def time_to_triage(
     severity = E.severity_band(F.col("level")).alias("severity")
     hist = _histogram(triage_latency(alerts, triage, "level"), severity)
     in_time = F.col("to_open") / F.lit(60.0) <= E.sla_minutes(F.col("severity"), sla)
+    stats = hist.groupBy("severity").agg(
+        F.sum("rows").alias("triaged"),
+        _mean_to_open().alias("mean_min_to_triage"),
+        E.minutes(F.sum("working"), F.sum("worked")).alias("mean_min_working"),
+        E.percent(F.sum(F.when(in_time, F.col("rows")).otherwise(F.lit(0))), F.sum("rows")).alias(
+            "pct_within_sla"
+        ),
+    )
     return (
-        hist.groupBy("severity")
-        .agg(
-            F.sum("rows").alias("triaged"),
-            _mean_to_open().alias("mean_min_to_triage"),
-            _quantile_to_open(0.5).alias("p50_min_to_triage"),
-            _quantile_to_open(0.9).alias("p90_min_to_triage"),
-            E.minutes(F.sum("working"), F.sum("worked")).alias("mean_min_working"),
-            E.percent(
-                F.sum(F.when(in_time, F.col("rows")).otherwise(F.lit(0))), F.sum("rows")
-            ).alias("pct_within_sla"),
+        _with_quantiles(stats, hist, "severity", {"p50_min_to_triage": 0.5, "p90_min_to_triage": 0.9})
+        .select(
+            "severity",
+            "triaged",
+            "mean_min_to_triage",
+            "p50_min_to_triage",
+            "p90_min_to_triage",
+            "mean_min_working",
+            "pct_within_sla",
         )
         .orderBy(E.severity_rank(F.col("severity")))
     )
@@ -64,13 +78,12 @@ def triage_by_hour(alerts: DataFrame, triage: DataFrame, min_level: int = 7) ->
     severe = alerts.filter(F.col("level") >= min_level)
     hour_fired = F.hour(E.instant(F.col("ts"))).alias("hour_fired")
     hist = _histogram(triage_latency(severe, triage), hour_fired)
+    stats = hist.groupBy("hour_fired").agg(
+        F.sum("rows").alias("triaged"), _mean_to_open().alias("mean_min_to_triage")
+    )
     return (
-        hist.groupBy("hour_fired")
-        .agg(
-            F.sum("rows").alias("triaged"),
-            _mean_to_open().alias("mean_min_to_triage"),
-            _quantile_to_open(0.9).alias("p90_min_to_triage"),
-        )
+        _with_quantiles(stats, hist, "hour_fired", {"p90_min_to_triage": 0.9})
+        .select("hour_fired", "triaged", "mean_min_to_triage", "p90_min_to_triage")
         .orderBy(F.col("hour_fired").asc_nulls_last())
     )
 

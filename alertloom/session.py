@@ -17,6 +17,22 @@ SETTINGS = {
 }
 
 
+def sized_settings(shuffle_bytes: int, partition_mb: int = 128, most: int = 50_000) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves up to `shuffle_bytes`.
+
+    There are enough shuffle partitions for each to fit in memory; adaptive execution merges those
+    that turn out small, up to the target size. Beyond `most` partitions the number of blocks costs
+    more than larger, spilling partitions do.
+    """
+    target = partition_mb * 1024 * 1024
+    return {
+        "spark.sql.shuffle.partitions": str(min(most, max(200, -(-shuffle_bytes // target)))),
+        "spark.sql.files.maxPartitionBytes": str(2 * target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():

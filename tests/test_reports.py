@@ -117,3 +117,28 @@ def test_invariants_between_reports(spark):
     assert total(latency.triage_by_hour(a, t), "triaged") == total(gap, "triaged")
     assert total(gap, "alerts") == sum(total(daily, c) for c in ("medium", "high", "critical"))
     assert total(coverage.mitre_coverage(a, t), "alerts") == a.filter(F.col("mitre_tactic").isin(*S.TACTICS)).count()
+
+
+def test_quantiles_of_a_wide_histogram(spark):
+    import random
+
+    import numpy as np
+
+    from alertloom.operators.quantiles import weighted_quantiles
+
+    r = random.Random(3)
+    rows = [(k, v, r.randrange(1, 5)) for k in ("a", None) for v in r.sample(range(-5000, 40000), 300)]
+    hist = spark.createDataFrame([*rows, ("a", None, 9)], "k string, v bigint, n bigint")
+    got = {x["k"]: x for x in weighted_quantiles(hist, "k", "v", "n", {"p5": 0.5, "p9": 0.9, "p0": 0.0, "p1": 1.0}).collect()}
+    for key in ("a", None):
+        values = np.repeat([v for k, v, _ in rows if k == key], [n for k, _, n in rows if k == key])
+        want = np.quantile(values, [0.5, 0.9, 0, 1])
+        assert [got[key][c] for c in ("p5", "p9", "p0", "p1")] == pytest.approx(list(want))
+
+
+def test_settings_grow_with_the_data():
+    from alertloom.session import sized_settings
+
+    assert sized_settings(10**6)["spark.sql.shuffle.partitions"] == "200"
+    assert sized_settings(10**12)["spark.sql.shuffle.partitions"] == "7451"
+    assert sized_settings(10**14)["spark.sql.shuffle.partitions"] == "50000"

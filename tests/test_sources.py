@@ -136,6 +136,7 @@ def test_bucketed_tables_join_without_moving_alerts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = triage_outcomes(spark.table("bucketed_alerts"), spark.table("bucketed_triage"), "rule_id")
+        assert "day" in spark.table("bucketed_alerts").columns
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning(alert_id") == 0
         assert sorted(map(tuple, out.collect()), key=repr) == sorted(
