@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ NODES = "tree_id int, node_id int, feature int, threshold double, left int, righ
 _HASH_SPAN = 2.0**64
 
 
-def _share(hashed: F.Column) -> F.Column:
+def _share(hashed: Column) -> Column:
     """A 64-bit hash as a number in [0, 1)."""
     return (hashed.cast("double") + F.lit(2.0**63)) / F.lit(_HASH_SPAN)
 
@@ -39,7 +39,7 @@ def tree_samples(
     pool_share = min(1.0, trees * wanted / n)
     tree_share = min(1.0, wanted / (n * pool_share))
 
-    def ticket(tree: F.Column) -> F.Column:
+    def ticket(tree: Column) -> Column:
         return _share(F.xxhash64(*key, tree, F.lit(seed)))
 
     pool = rows.filter(_share(F.xxhash64(*key, F.lit("pool"), F.lit(seed))) < pool_share)

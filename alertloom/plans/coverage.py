@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertloom import schemas as S
@@ -12,7 +12,7 @@ from alertloom.functions import exprs as E
 from alertloom.operators.joins import triage_outcomes
 
 
-def _or_zero(name: str) -> F.Column:
+def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
 
 

@@ -10,18 +10,14 @@ from alertloom.functions import exprs as E
 DAY = "day"
 
 
-def write_alerts(alerts: DataFrame, path: str, files_per_day: int = 1) -> None:
+def write_alerts(alerts: DataFrame, path: str) -> None:
     """Replace the alerts table, one folder per UTC day so that time filters prune folders.
 
-    Rows of a day are spread over `files_per_day` tasks, so a hot day is not written by one.
+    Rebalancing gathers a day into few files and splits a day that is too large for one task.
     """
-    day = E.instant(F.col("ts")).cast("date")
-    spread = F.pmod(F.xxhash64("alert_id", "ts", "rule_id", "agent"), F.lit(files_per_day))
     (
-        alerts.withColumn(DAY, day)
-        .withColumn("_slot", spread)
-        .repartition(DAY, "_slot")
-        .drop("_slot")
+        alerts.withColumn(DAY, E.instant(F.col("ts")).cast("date"))
+        .hint("rebalance", F.col(DAY))
         .write.mode("overwrite")
         .partitionBy(DAY)
         .parquet(path)
@@ -44,11 +40,14 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "alert_id
     """Replace a catalog table bucketed and sorted by `key`; with a `ts` column also by UTC day.
 
     With alerts and triage bucketed alike, the joins between them move no alerts. Six of the
-    twelve reports contain such a join, so this is the layout for running them all.
+    twelve reports contain such a join, so this is the layout for running them all. Rows are
+    gathered by bucket first, so that a bucket is one file (per day) and not one per task.
     """
-    writer = df.write
+    rows = df.repartition(buckets, key)
     if "ts" in df.columns:
-        writer = df.withColumn(DAY, E.instant(F.col("ts")).cast("date")).write.partitionBy(DAY)
+        writer = rows.withColumn(DAY, E.instant(F.col("ts")).cast("date")).write.partitionBy(DAY)
+    else:
+        writer = rows.write
     writer.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 

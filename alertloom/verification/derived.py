@@ -5,20 +5,26 @@ The same derivation exists as a SQL prefix in `oracle.py`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
 from alertloom.session import configure
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
 # Alerts taken as malicious: the highest level, from one rule.
 PLANTED_LEVEL, PLANTED_RULE = 15, "error"
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
     k = F.get_json_object("props", "$.k").cast("int")
     tactic = F.element_at(F.array(*map(F.lit, S.FEATURE_TACTICS)), F.col("k") % 13 + 1)
     text = F.col("k").cast("string")
@@ -42,14 +48,13 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _events(spark, sf_dir)
     wait = F.floor(F.col("value") * 37).cast("int")
     work = (F.col("event_id") % 40 * 30).cast("int")
     real = F.col("user_id") % F.when(F.col("event_type") == "view", 50).otherwise(10) == 0
     level = F.least(F.lit(15), 3 + F.floor(F.col("value") / 16)).cast("int")
 
-    def after(seconds: F.Column) -> F.Column:
+    def after(seconds: Column) -> Column:
         zero = F.lit(0)
         return F.col("ts") + F.make_dt_interval(zero, zero, zero, seconds)
 

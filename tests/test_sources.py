@@ -10,6 +10,7 @@ from randomdata import frames
 from alertloom import reports, schemas as S
 from alertloom.operators.joins import triage_outcomes
 from alertloom.plans import volume
+from alertloom.session import shared_dir, stored
 from alertloom.sources import raw, tables
 
 
@@ -115,7 +116,7 @@ def test_stored_tables_keep_rows_and_prune_days(spark, tmp_path):
     a, t = frames(spark, 5)
     pa, pt = str(tmp_path / "a"), str(tmp_path / "t")
     for _ in range(2):  # a second write replaces the first
-        tables.write_alerts(a, pa, files_per_day=2)
+        tables.write_alerts(a, pa)
         tables.write_triage(t, pt)
     stored = tables.read_alerts(spark, pa)
     assert stored.columns == S.ALERTS.names
@@ -174,3 +175,11 @@ def test_chart_inputs(spark):
     chart = volume.chart_daily_volume(a)
     assert chart.columns == ["day", "label", "low", "medium", "high", "critical"]
     assert chart.first()["label"] == "Aug 03"
+
+
+def test_intermediates_go_to_the_configured_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == folder
+    df = stored(spark.range(5))
+    assert df.inputFiles()[0].removeprefix("file://").startswith(folder)
+    assert df.count() == 5
