@@ -27,6 +27,20 @@ def test_query_matches_sql(spark, con, name):
     assert differences(spark_rows(QUERIES[name](spark, SF)), sql_rows(con, SQL[name])) == []
 
 
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "DATE": "date", "TIMESTAMP": "timestamp",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_column_types_agree(spark, con, name):
+    described = con.execute(f"describe {SQL[name]}").fetchall()
+    theirs = {column: KINDS.get(kind, kind) for column, kind, *_ in described}
+    mine = {c: t.removesuffix("_ntz") for c, t in QUERIES[name](spark, SF).dtypes}
+    assert mine == theirs
+
+
 @pytest.mark.parametrize("name", ["host_hour_scores", "precision_recall_at_k", "incident_ranks", "score_histogram"])
 def test_forest_queries_run(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
