@@ -28,7 +28,10 @@ HOST, USER = 0, 1
 
 
 def _severe(alerts: DataFrame, min_level: int) -> DataFrame:
-    """The few columns of the severe alerts, written once: a small part of the alerts, read often."""
+    """The few columns of the severe alerts, written once: a small part of the alerts, read often.
+
+    Rebalanced, so that every task of the large scan does not leave a small file.
+    """
     severe = alerts.filter(
         (F.col("level") >= min_level)
         & F.col("mitre_tactic").isNotNull()
@@ -41,7 +44,7 @@ def _severe(alerts: DataFrame, min_level: int) -> DataFrame:
         F.unix_micros(E.instant(F.col("ts"))).alias("t"),
         F.col("mitre_tactic").alias("tactic"),
     )
-    return stored(severe)
+    return stored(severe.hint("rebalance"))
 
 
 def _by_key(rows: DataFrame) -> DataFrame:
