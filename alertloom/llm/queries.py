@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alertloom.llm import decontaminate, ngram_join, packing, pii, quality
+from alertloom.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    sharding,
+    token_files,
+    warc,
+)
 from alertloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +43,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf, "documents")).drop("is_kept")
 
 
+def op2_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf, "conversations"))
+
+
+def op3_warc_assembly(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf, "pages"))
+
+
+def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("score")
 
@@ -40,6 +63,10 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op7_stratified_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
 
@@ -48,11 +75,26 @@ def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.private_data(table(spark, sf, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.token_table(table(spark, sf, "documents"))
+
+
+OPERATORS = (
+    op1_ngram_jaccard_join,
+    op2_chat_formatting,
+    op3_warc_assembly,
+    op4_license_scan,
+    op5_quality_rules,
+    op6_decontamination,
+    op7_stratified_sharding,
+    op8_best_fit_packing,
+    op9_personal_data,
+    op10_token_files,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {
-        f.__name__: f
-        for f in (op1_ngram_jaccard_join, op5_quality_rules, op6_decontamination, op8_best_fit_packing, op9_personal_data)
-    }
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
