@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertloom.llm.text import NOT_ALNUM, Texts, Words, append_columns, free_prefix
+from alertloom.llm.text import NOT_ALNUM, Texts, Words, append_columns, columns_of, free_prefix
 from alertloom.session import stored
 
 WINDOW = 13
@@ -222,7 +222,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, prefix: str = "", block: i
         now = free_prefix(out, f"{prefix}b{number}")
         searched = _search_block(stored(out), index, before, now)
         names = [f.name for f in FOUND]
-        out = searched.select(*docs.columns, *[F.col(now + c).alias(prefix + c) for c in names])
+        out = searched.select(*columns_of(docs), *[F.col(now + c).alias(prefix + c) for c in names])
     return out
 
 
@@ -258,4 +258,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK)
     """The rows of `docs` that are not contaminated, with their columns."""
     prefix = free_prefix(docs)
     judged = summary(find_items(docs, benchmark, prefix, block), prefix)
-    return judged.where(~F.col(f"{prefix}contaminated")).select(*docs.columns)
+    return judged.where(~F.col(f"{prefix}contaminated")).select(*columns_of(docs))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom.llm.pii_lines import LINES
-from alertloom.llm.text import append_columns, free_prefix
+from alertloom.llm.text import append_columns, columns_of, free_prefix
 
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[int, int]
@@ -434,4 +434,4 @@ def redact_documents(docs: DataFrame, model: Field | None = None) -> DataFrame:
     if "n_chars" in docs.columns:
         same = F.col("text").eqNullSafe(text)
         renewed["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
-    return found.withColumns(renewed).select(*docs.columns)
+    return found.withColumns(renewed).select(*columns_of(docs))

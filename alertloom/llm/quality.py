@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertloom.llm.text import SPACE, Texts, Words, append_columns, byte_set, free_prefix
+from alertloom.llm.text import SPACE, Texts, Words, append_columns, byte_set, columns_of, free_prefix
 
 SAMPLE = 20_000
 ROUNDS, DEPTH, RATE, BINS, LEAF = 60, 3, 0.15, 64, 20
@@ -304,4 +304,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataF
     """The rows of `docs` that are kept, with their columns."""
     prefix = free_prefix(docs)
     judged = judge(docs, fit_model(docs, labels, sample), prefix)
-    return judged.where(F.col(f"{prefix}kept")).select(*docs.columns)
+    return judged.where(F.col(f"{prefix}kept")).select(*columns_of(docs))

@@ -13,10 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _LONGEST = 4096
 
 
@@ -102,7 +103,8 @@ class Words:
 
     def __init__(self, texts: Texts, delimiters: np.ndarray, lower: bool = False):
         self.texts = texts
-        self.inside = ~delimiters[texts.data]
+        data = _LOWER[texts.data] if lower else texts.data
+        self.inside = ~delimiters[data]
         inside = self.inside
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -117,7 +119,7 @@ class Words:
         self.starts = np.flatnonzero(begins)
         self.ends = np.flatnonzero(last) + 1
         self.first = np.searchsorted(self.starts, texts.offsets)
-        self.hashes = self._hashes(_LOWER[texts.data] if lower else texts.data)
+        self.hashes = self._hashes(data)
 
     def _hashes(self, data: np.ndarray) -> np.ndarray:
         if not len(self.starts):
@@ -164,23 +166,23 @@ def append_columns(df: DataFrame, fields: T.StructType, compute, prefix: str = "
     must be renamed by `prefix`. Columns of the input may have any names and types.
     """
     names = [prefix + f.name for f in fields]
-    clash = set(names) & set(df.columns)
+    clash = {n.lower() for n in names} & {c.lower() for c in df.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are there already; give a prefix")
     kinds = [_arrow(f.dataType) for f in fields]
-    schema = T.StructType(
-        [*df.schema.fields, *[T.StructField(n, f.dataType) for n, f in zip(names, fields)]]
-    )
+    given = df.columns
+    # Spark's call takes columns by name, which fails for names with dots.
+    plain = df.toDF(*[f"c{i}" for i in range(len(given))])
+    more = [T.StructField(f"m{i}", f.dataType) for i, f in enumerate(fields)]
+    schema = T.StructType([*plain.schema.fields, *more])
 
     def run(batches):
         for batch in batches:
-            made = compute(batch)
+            made = compute(pa.RecordBatch.from_arrays(batch.columns, names=given))
             arrays = [pa.array(x, type=k, from_pandas=False) for x, k in zip(made, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *arrays], names=[*batch.schema.names, *names]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*given, *names)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -195,3 +197,8 @@ def free_prefix(df: DataFrame, stem: str = "x") -> str:
     while any(c.lower().startswith(prefix) for c in df.columns):
         prefix = f"_{prefix}"
     return prefix
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of `df`, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -1,0 +1,109 @@
+import random
+import re
+
+import awkward
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from alertloom.llm import quality
+from alertloom.llm.text import Texts
+
+SPACE = "\x20\x09-\x0d"
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(rf"[^{SPACE}]+", text)
+    lines = [x for x in text.split("\n") if re.search(rf"[^{SPACE}]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    hit = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+    dup = sum(x in lines[:i] for i, x in enumerate(lines))
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return [len(words), sum(map(len, words)), symbols, dup, len(hit)]
+
+
+def of(texts):
+    return Texts.of(pa.array(texts, pa.string()))
+
+
+def test_counts_match_plain_python():
+    r = random.Random(4)
+    texts = awkward.texts(1, 150) + ["a b c " * 40, "x\nx\n\ny\nx \n", "#1 *$%&|<>", "é ü   z"]
+    texts += ["".join(r.choice("ab \n\t#é漢") for _ in range(r.randrange(60))) for _ in range(200)]
+    counts, features = quality.statistics(of(texts))
+    assert counts.tolist() == [brute(t) for t in texts]
+    assert np.isfinite(features).all()
+
+
+def test_long_texts_cross_slices():
+    texts = ["lorem ipsum dolor " * 60_000, "", "a b c d", "x " * 700_000]
+    counts, _ = quality.statistics(of(texts))
+    assert counts[:, 0].tolist() == [180_000, 0, 4, 700_000]
+    assert counts[0, 4] == 180_000 and counts[3, 4] == 700_000
+
+
+def test_report(spark):
+    rows = awkward.rows(2)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0, "extra") for i in range(0, 120, 2)] + [(None, 1, 0, ""), (4, None, 0, "")], "doc_id long, quality int, toxic int, text string")
+    found = quality.quality_report(awkward.frame(spark, rows, clashing=True), labels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        counts = brute(rows[r["doc_id"]][1])
+        assert [r[c] for c in quality.BASE] == counts
+        assert r["base_failed"] == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= 0)
+    docs = awkward.frame(spark, rows, clashing=True)
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in found if r["kept"])
+
+
+def test_without_labels_the_base_rule_decides(spark):
+    rows = awkward.rows(2)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    for r in quality.quality_report(awkward.frame(spark, rows), none).collect():
+        assert r["kept"] == (not r["base_failed"])
+    empty = quality.quality_report(awkward.frame(spark, []), none)
+    assert empty.count() == 0 and "kept" in empty.columns
+
+
+@pytest.fixture(scope="module")
+def labelled():
+    con = duckdb.connect()
+    got = con.execute(
+        "select text, quality from '/root/testdata/sf0.1/documents.parquet' join '/root/testdata/sf0.1/labels.parquet' using (doc_id) order by doc_id"
+    ).fetchall()
+    _, x = quality.statistics(of([t for t, _ in got]))
+    return x, np.array([q for _, q in got])
+
+
+def test_held_out_accuracy(labelled):
+    x, y = labelled
+    half = np.arange(len(y)) % 2 == 0
+    model = quality.fit(x[half], y[half])
+    right = (model.score(x[~half]) >= 0) == y[~half]
+    assert right.mean() > 0.97
+    assert right[y[~half] == 1].mean() > 0.99
+
+
+def test_model_is_monotone(labelled):
+    x, y = labelled
+    model = quality.fit(x, y)
+    rows = x[:300]
+    for name in quality.FALLING:
+        f = quality.FEATURES.index(name)
+        before = np.full(len(rows), np.inf)
+        for value in np.linspace(0, 1, 40):
+            moved = rows.copy()
+            moved[:, f] = value
+            now = model.score(moved)
+            assert (now <= before + 1e-9).all()
+            before = now
+
+
+def test_one_class_is_a_constant():
+    x = np.zeros((5, len(quality.FEATURES)))
+    assert (quality.fit(x, np.ones(5)).score(x) > 0).all()
+    assert (quality.fit(x, np.zeros(5)).score(x) < 0).all()
