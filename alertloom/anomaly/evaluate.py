@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertloom.anomaly.features import model_features
+from alertloom.anomaly.ranking import same_key
 from alertloom.functions import exprs as E
 
 METHODS = {
@@ -50,10 +51,10 @@ def incident_ranks(
 ) -> DataFrame:
     """Rank of each incident's first host-hour; NULL where that host-hour does not exist."""
     columns = [F.col(rank).alias(m) for m, rank in methods.items()]
-    hits = ranked.join(incidents.select("agent", "hour").distinct(), ["agent", "hour"], "left_semi")
-    return incidents.join(hits.select("agent", "hour", *columns), ["agent", "hour"], "left").select(
-        "incident", "agent", "hour", *methods
-    )
+    named = incidents.select("agent", "hour").distinct().toDF("_agent", "_hour")
+    hits = ranked.join(named, same_key("_"), "left_semi")
+    found = hits.select(F.col("agent").alias("_agent"), F.col("hour").alias("_hour"), *columns)
+    return incidents.join(found, same_key("_"), "left").select("incident", "agent", "hour", *methods)
 
 
 def top_anomalies(ranked: DataFrame, limit: int = 15, rank: str = "if_rank", score: str = "anomaly_score") -> DataFrame:

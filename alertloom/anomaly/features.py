@@ -60,7 +60,7 @@ def host_hour_features(
     reduced = slim.groupingSets(sets, *by, *dims).agg(
         F.grouping_id().alias("gid"),
         F.count(F.lit(1)).alias("n"),
-        F.count_if(level >= 10).alias("high"),
+        F.count_if(level >= S.floor_of("high")).alias("high"),
         F.max(level).alias("top"),
         F.sum(level).alias("level_sum"),
         F.count(level).alias("level_n"),
@@ -106,29 +106,33 @@ def host_hour_excess(
     """Positive robust excess of every count over the host's own median, and its sum.
 
     Maintenance hours have their own baseline. A group is one host's active hours, so it is bounded
-    by the hours on record; both medians use one partitioning and need one shuffle. Hosts must be
-    known: rows without one have no baseline and are left out.
+    by the hours on record; both medians use one partitioning and need one shuffle. Rows without a
+    host are a group of their own.
 
-    The sum is rounded so that equal profiles tie whatever the order of addition.
+    Every excess and the sum are rounded, so that equal profiles tie whatever the order of addition
+    and whichever library took the logarithm.
     """
     counts = count_features(tactics)
     own = Window.partitionBy("agent", "maintenance_window")
     med = {c: F.percentile(c, 0.5).over(own) for c in counts}
     carried = ["agent", "hour", "maintenance_window", "max_level", "avg_level", *keep]
-    away = features.filter(F.col("agent").isNotNull()).select(
+    away = features.select(
         *dict.fromkeys(carried), *[(F.col(c) - med[c]).alias(f"_d_{c}") for c in counts]
     )
     scaled = away.select(
         *dict.fromkeys(carried),
         *[
-            F.log1p(
-                F.greatest(
-                    F.lit(0.0),
-                    F.col(f"_d_{c}")
-                    / F.coalesce(
-                        F.nullif(F.percentile(F.abs(f"_d_{c}"), 0.5).over(own), F.lit(0.0)), F.lit(1.0)
-                    ),
-                )
+            F.round(
+                F.log1p(
+                    F.greatest(
+                        F.lit(0.0),
+                        F.col(f"_d_{c}")
+                        / F.coalesce(
+                            F.nullif(F.percentile(F.abs(f"_d_{c}"), 0.5).over(own), F.lit(0.0)), F.lit(1.0)
+                        ),
+                    )
+                ),
+                score_decimals,
             ).alias(f"{c}_excess")
             for c in counts
         ],

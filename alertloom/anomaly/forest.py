@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alertloom.operators.once import computed_once
+
 NODES = "tree_id int, node_id int, feature int, threshold double, left int, right int, size int, depth int"
-_HASH_SPAN = 2.0**64
+_TEXT_OF_NULL = "<null>"
+# Tickets are residues of a prime.
+PRIME = 2**31 - 1
+TERMS = 4
 
 
-def _share(hashed: Column) -> Column:
-    """A 64-bit hash as a number in [0, 1)."""
-    return (hashed.cast("double") + F.lit(2.0**63)) / F.lit(_HASH_SPAN)
+def _text(key: Sequence[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(_TEXT_OF_NULL)) for c in key])
 
 
 def tree_samples(
@@ -29,28 +34,35 @@ def tree_samples(
 ) -> DataFrame:
     """`sample_size` rows per tree, without replacement, from the `n` rows of `rows`.
 
-    Chosen by hashes of the row key, so the choice does not depend on how rows are partitioned.
-    A first hash keeps a pool large enough that trees share few rows; only pool rows are tested
-    against every tree, and only rows chosen for a tree are emitted. About twice as many as needed
-    pass; each tree keeps those with the smallest hash.
+    The md5 of seed and key gives each row the coefficients of a polynomial; its value at a tree's number,
+    modulo a prime, is the row's ticket for the tree. Tickets of different rows are independent, and so are
+    those of one row for any four trees. The trees whose ticket is low enough are found before the row
+    is copied, at every size alike; about twice as many rows as needed pass, and each tree keeps
+    those with the lowest tickets.
     """
     size = min(sample_size, n)
     wanted = 2 * size + 64  # leaves no real chance that a tree falls short
-    pool_share = min(1.0, trees * wanted / n)
-    tree_share = min(1.0, wanted / (n * pool_share))
+    limit = min(PRIME, -(-PRIME * wanted // n))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), _text(key)))
+    terms = [F.conv(F.substring("_digest", 1 + 8 * i, 8), 16, 10).cast("bigint") % PRIME for i in range(TERMS)]
 
     def ticket(tree: Column) -> Column:
-        return _share(F.xxhash64(*key, tree, F.lit(seed)))
-
-    pool = rows.filter(_share(F.xxhash64(*key, F.lit("pool"), F.lit(seed))) < pool_share)
+        value = F.lit(0).cast("bigint")
+        for i in range(TERMS):
+            value = (value * tree + F.col("_terms")[i]) % PRIME
+        return value
+
+    digested = computed_once(computed_once(rows, "_digest", digest), "_terms", F.array(*terms))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(trees - 1).cast("bigint"))
+    chosen = F.filter(numbers, lambda tree: ticket(tree) < limit)
     # The samples are small but growing a tree is not: a fixed number of tasks keeps adaptive
     # execution from merging them.
     tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
-    w = Window.partitionBy("tree_id").orderBy("ticket", *key)
+    w = Window.partitionBy("tree_id").orderBy("ticket", _text(key))
     return (
-        pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
-        .withColumn("ticket", ticket(F.col("tree_id")))
-        .filter(F.col("ticket") < tree_share)
+        digested.select("*", F.explode(chosen).alias("_tree"))
+        .withColumns({"ticket": ticket(F.col("_tree")), "tree_id": F.col("_tree").cast("int")})
+        .drop("_digest", "_terms", "_tree")
         .repartition(tasks, "tree_id")
         .withColumn("_n", F.row_number().over(w))
         .filter(F.col("_n") <= size)
@@ -58,11 +70,20 @@ def tree_samples(
     )
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator, height: int) -> list[tuple]:
+def draws(seed: int, tree: int, place: int) -> tuple[int, float]:
+    """A number to choose a feature with and a share in [0, 1) to cut at, from the md5 of a node's place.
+
+    The root is at place 1, the children of place p at 2p and 2p + 1.
+    """
+    digest = hashlib.md5(f"{seed}|{tree}|{place}".encode()).hexdigest()
+    return int(digest[:8], 16), int(digest[8:16], 16) / 2**32
+
+
+def grow_tree(x: np.ndarray, draw: Callable[[int], tuple[int, float]], height: int) -> list[tuple]:
     """Split at random until points are alone, alike or `height` deep. One tuple per node."""
     nodes: list[tuple] = []
 
-    def grow(points: np.ndarray, depth: int) -> int:
+    def grow(points: np.ndarray, place: int, depth: int) -> int:
         me = len(nodes)
         nodes.append((-1, 0.0, -1, -1, len(points), depth))
         if depth >= height or len(points) <= 1:
@@ -71,33 +92,34 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, height: int) -> list[tupl
         varying = np.flatnonzero(high > low)
         if len(varying) == 0:
             return me
-        f = int(varying[rng.integers(len(varying))])
-        cut = float(low[f] + rng.random() * (high[f] - low[f]))
+        choice, share = draw(place)
+        f = int(varying[choice % len(varying)])
+        cut = float(low[f] + share * (high[f] - low[f]))
         below = points[:, f] <= cut
-        left, right = grow(points[below], depth + 1), grow(points[~below], depth + 1)
+        left = grow(points[below], 2 * place, depth + 1)
+        right = grow(points[~below], 2 * place + 1, depth + 1)
         nodes[me] = (f, cut, left, right, len(points), depth)
         return me
 
-    grow(x, 0)
+    grow(x, 1, 0)
     return nodes
 
 
-def fit_forest(samples: DataFrame, key: Sequence[str], features: Sequence[str], seed: int = 42) -> DataFrame:
+def fit_forest(samples: DataFrame, features: Sequence[str], seed: int = 42) -> DataFrame:
     """One row per tree node. A group is one tree's sample, at most `sample_size` rows."""
-    key, features = list(key), list(features)
+    features = list(features)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree_id"].iloc[0])
-        group = group.sort_values(["ticket", *key])
         x = np.nan_to_num(group[features].to_numpy(dtype=float))
         height = int(np.ceil(np.log2(max(len(x), 2))))
-        nodes = grow_tree(x, np.random.default_rng([seed, tree]), height)
+        nodes = grow_tree(x, lambda place: draws(seed, tree, place), height)
         out = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "size", "depth"])
         out.insert(0, "node_id", range(len(out)))
         out.insert(0, "tree_id", tree)
         return out
 
-    return samples.select("tree_id", "ticket", *key, *features).groupBy("tree_id").applyInPandas(fit, NODES)
+    return samples.select("tree_id", *features).groupBy("tree_id").applyInPandas(fit, NODES)
 
 
 def expected_path(n: np.ndarray) -> np.ndarray:
@@ -148,9 +170,13 @@ def forest_scores(x: np.ndarray, forest: dict, block: int = 64) -> np.ndarray:
     return np.exp2(-mean / forest["norm"])
 
 
-def score_forest(rows: DataFrame, nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+def score_forest(
+    rows: DataFrame, nodes: DataFrame, features: Sequence[str], decimals: int = 9
+) -> DataFrame:
     """Append `anomaly_score`. Map-only, and only the features travel to Python.
 
+    Scores are rounded, so that equal rows tie whatever the order in which paths are averaged.
+
     The model is gathered and broadcast: its size is bounded by the number of trees times twice
     the sample size, whatever the size of the data.
     """
@@ -162,7 +188,8 @@ def score_forest(rows: DataFrame, nodes: DataFrame, features: Sequence[str]) ->
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             yield pd.Series(forest_scores(np.nan_to_num(x), model.value))
 
-    return rows.withColumn("anomaly_score", score(*[F.col(f).cast("double") for f in features]))
+    scored = score(*[F.col(f).cast("double") for f in features])
+    return rows.withColumn("anomaly_score", F.round(scored, decimals))
 
 
 def isolation_forest(
@@ -178,4 +205,4 @@ def isolation_forest(
     if n == 0:
         return rows.withColumn("anomaly_score", F.lit(None).cast("double"))
     samples = tree_samples(rows, key, n, trees, sample_size, seed)
-    return score_forest(rows, fit_forest(samples, key, features, seed), features)
+    return score_forest(rows, fit_forest(samples, features, seed), features)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom.anomaly.features import host_hour_excess, host_hour_features, model_features
@@ -17,6 +20,11 @@ KEY = ["agent", "hour"]
 SHOWN = ("alerts", "distinct_rules", "distinct_tactics", "distinct_users", "external_ips")
 
 
+def same_key(prefix: str) -> Column:
+    """Equal host and hour on both sides of a join, where unknown hosts are equal too."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in KEY])
+
+
 def malicious_host_hours(alerts: DataFrame, planted: DataFrame) -> DataFrame:
     """Distinct (agent, hour) with at least one alert known to be malicious."""
     return (
@@ -27,10 +35,10 @@ def malicious_host_hours(alerts: DataFrame, planted: DataFrame) -> DataFrame:
 
 
 def flag_malicious(rows: DataFrame, truth: DataFrame) -> DataFrame:
-    known = truth.select(*KEY).withColumn("_known", F.lit(True))
-    return rows.join(known, KEY, "left").withColumn(
-        "is_malicious", F.coalesce("_known", F.lit(False))
-    ).drop("_known")
+    known = truth.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.lit(True).alias("_known"))
+    return rows.join(known, same_key("_"), "left").select(
+        *rows.columns, F.coalesce("_known", F.lit(False)).alias("is_malicious")
+    )
 
 
 def excess_table(alerts: DataFrame) -> DataFrame:
@@ -47,7 +55,22 @@ def anomaly_scores(
 
 
 def _order(col: str) -> list[Column]:
-    return [F.col(col).desc(), *map(F.col, KEY)]
+    return [F.col(col).desc_nulls_last(), *_by_key()]
+
+
+def _by_key() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in KEY]
+
+
+def _with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Ranks were found on keys and scores only; each host-hour gets its own back."""
+    names = [c for c in ranks.columns if c not in rows.columns]
+    own = ranks.select(*[F.col(c).alias(f"_{c}") for c in KEY], *names)
+    return rows.join(own, same_key("_")).select(*rows.columns, *names)
+
+
+def _baselines(narrow: DataFrame) -> DataFrame:
+    return global_rank(global_rank(narrow, _order("excess_score"), "heur_rank"), _order("alerts"), "volume_rank")
 
 
 def baseline_ranking(rows: DataFrame) -> DataFrame:
@@ -55,22 +78,21 @@ def baseline_ranking(rows: DataFrame) -> DataFrame:
 
     Sorting samples its input first: pass a stored table.
     """
-    return global_rank(global_rank(rows, _order("excess_score"), "heur_rank"), _order("alerts"), "volume_rank")
+    return _with_ranks(rows, _baselines(rows.select(*KEY, "excess_score", "alerts")))
 
 
 def combined_ranking(scored: DataFrame) -> DataFrame:
     """All rankings of the scored host-hours.
 
     `combined_rank` is the better of the forest's and the heuristic's rank; `combined_position`
-    is the place in that order, where of two equal ranks the higher score goes first.
+    is the place in that order, where of two equal ranks the higher score goes first. Only keys and
+    scores are sorted; the wide rows move once, to meet their ranks. Pass a stored table.
     """
-    ranked = baseline_ranking(global_rank(scored, _order("anomaly_score"), "if_rank"))
+    narrow = scored.select(*KEY, "anomaly_score", "excess_score", "alerts")
+    ranked = _baselines(global_rank(narrow, _order("anomaly_score"), "if_rank"))
     ranked = ranked.withColumn("combined_rank", F.least("if_rank", "heur_rank"))
-    return global_rank(
-        ranked,
-        [F.col("combined_rank"), F.col("anomaly_score").desc(), *map(F.col, KEY)],
-        "combined_position",
-    )
+    order = [F.col("combined_rank"), F.col("anomaly_score").desc_nulls_last(), *_by_key()]
+    return _with_ranks(scored, global_rank(ranked, order, "combined_position"))
 
 
 def host_hour_scores(
@@ -80,3 +102,13 @@ def host_hour_scores(
     scored = anomaly_scores(alerts, trees, sample_size, seed)
     # Stored before ranking: each sort first samples its input, which would score rows twice.
     return combined_ranking(stored(flag_malicious(scored, malicious_host_hours(alerts, planted))))
+
+
+def write_scores(scores: DataFrame, path: str) -> None:
+    """Replace the scored table, one folder per UTC day of the hour."""
+    day = E.instant(F.col("hour")).cast("date")
+    scores.withColumn("day", day).hint("rebalance", F.col("day")).write.mode("overwrite").partitionBy("day").parquet(path)
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("day")

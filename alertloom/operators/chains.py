@@ -17,6 +17,8 @@ window, so the window of an anchor in slot s ends in slot s + 1.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +29,14 @@ from alertloom.session import stored
 HOST, USER = 0, 1
 
 
-def _severe(alerts: DataFrame, min_level: int) -> DataFrame:
+def _severe(alerts: DataFrame, min_level: int, tactics: Sequence[str] | None = None) -> DataFrame:
     """The few columns of the severe alerts, written once: a small part of the alerts, read often.
 
     Rebalanced, so that every task of the large scan does not leave a small file.
     """
     severe = alerts.filter(
         (F.col("level") >= min_level)
-        & F.col("mitre_tactic").isNotNull()
+        & (F.col("mitre_tactic").isNotNull() if tactics is None else F.col("mitre_tactic").isin(*tactics))
         & F.col("ts").isNotNull()
         & (F.col("agent").isNotNull() | F.col("src_user").isNotNull())
     ).select(
@@ -68,7 +70,8 @@ def _tactic_times(severe: DataFrame, window: int) -> DataFrame:
         F.struct(F.col("slot"), F.col("last"), none.alias("first")),
         F.struct((F.col("slot") - 1).alias("slot"), none.alias("last"), F.col("first")),
     )
-    # A list holds at most two entries per tactic of the vocabulary.
+    # A list holds at most two entries per tactic. Tactics come from the detection rules, a vocabulary
+    # of tens of names; pass `tactics` to `attack_chains` where the field is free text.
     return (
         times.select("kind", "key", "tactic", F.inline(both))
         .groupBy("kind", "key", "slot")
@@ -76,7 +79,33 @@ def _tactic_times(severe: DataFrame, window: int) -> DataFrame:
     )
 
 
-_NO_TIMES = "array<struct<tactic:string,last:bigint,first:bigint>>"
+# Tasks that anchors without a host, or without a user, are spread over.
+_SPREAD = 64
+
+
+def _seen_by(anchors: DataFrame, times: DataFrame, kind: int, key: str, window: int) -> DataFrame:
+    """Add what the anchor's host or user saw: `<key>_tactics` in the window, `<key>_before` in the slot.
+
+    The list of times is reduced to the window's tactics right after the join, so only these travel
+    on. Anchors without a key see nothing; they are spread over the tasks instead of meeting in one.
+    """
+    seen = times.filter(F.col("kind") == kind).select(F.col("key").alias("_key"), F.col("slot").alias("_slot"), "times")
+    nobody = F.pmod(F.xxhash64(*[F.col(c) for c in anchors.columns if c != key]), F.lit(_SPREAD))
+    # The slot of a key that is unknown is one that no alert can have.
+    slot = F.when(F.col(key).isNull(), F.lit(-(2**62)) + nobody).otherwise(F.col("slot"))
+    inside = F.filter("times", lambda x: (x["last"] >= F.col("t")) | (x["first"] <= F.col("t") + window))
+    tactics = F.array_distinct(F.transform(inside, lambda x: x["tactic"]))
+    placed = anchors.withColumns({"_at": slot, "_of": F.coalesce(F.col(key), F.lit(""))})
+    joined = placed.join(seen, (F.col("_of") == F.col("_key")) & (F.col("_at") == F.col("_slot")), "left")
+    return joined.select(
+        *anchors.columns,
+        F.coalesce(tactics, _none()).alias(f"{key}_tactics"),
+        F.array_max(F.transform("times", lambda x: x["last"])).alias(f"{key}_before"),
+    )
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _candidates(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
@@ -85,33 +114,17 @@ def _candidates(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
     `before` is the latest alert of the anchor's own slot.
     """
     times = _tactic_times(severe, window)
-
-    def of(kind: int, key: str, name: str) -> DataFrame:
-        return times.filter(F.col("kind") == kind).select(
-            F.col("key").alias(key), "slot", F.col("times").alias(name)
-        )
-
-    anchors = (
-        severe.select("agent", "src_user", "t")
-        .distinct()
-        .withColumn("slot", slot_of(F.col("t"), window))
-        .join(of(HOST, "agent", "host_times"), ["agent", "slot"], "left")
-        .join(of(USER, "src_user", "user_times"), ["src_user", "slot"], "left")
-    )
-    none = F.array().cast(_NO_TIMES)
-    both = F.concat(F.coalesce("host_times", none), F.coalesce("user_times", none))
-    inside = F.filter(
-        "times", lambda x: (x["last"] >= F.col("t")) | (x["first"] <= F.col("t") + window)
-    )
+    anchors = severe.select("agent", "src_user", "t").distinct().withColumn("slot", slot_of(F.col("t"), window))
+    by_host = _seen_by(anchors, times, HOST, "agent", window)
+    by_both = _seen_by(by_host, times, USER, "src_user", window)
     return (
-        anchors.withColumn("times", both)
-        .select(
+        by_both.select(
             "agent",
             "src_user",
             "t",
             "slot",
-            F.array_sort(F.array_distinct(F.transform(inside, lambda x: x["tactic"]))).alias("tactics"),
-            F.array_max(F.transform("times", lambda x: x["last"])).alias("before"),
+            F.array_sort(F.array_union("agent_tactics", "src_user_tactics")).alias("tactics"),
+            F.greatest("agent_before", "src_user_before").alias("before"),
         )
         .filter(F.size("tactics") >= min_tactics)
     )
@@ -158,13 +171,14 @@ def _host_changes(severe: DataFrame, wanted: DataFrame, window: int) -> DataFram
 def _windows(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
     """Windows with at least `min_tactics` tactics, one row per distinct (host, user, start).
 
-    The candidates are written once. Windows of several tactics are rare, so what remains to be
-    asked of the alerts usually concerns few hosts, users and slots.
+    The candidates are written once, with a number each. Only the number goes through the time line;
+    what else is known of a candidate joins its answers at the end.
     """
-    candidates = stored(_candidates(severe, min_tactics, window))
+    found = _candidates(severe, min_tactics, window)
+    candidates = stored(found.withColumn("candidate", F.monotonically_increasing_id()))
 
-    # A question stands at the window's nominal end, and carries its candidate along.
-    asked = _by_key(candidates.withColumn("candidate", F.struct(*candidates.columns))).select(
+    # A question stands at the window's nominal end.
+    asked = _by_key(candidates).select(
         "kind",
         "key",
         (F.col("slot") + 1).alias("slot"),
@@ -186,24 +200,24 @@ def _windows(severe: DataFrame, min_tactics: int, window: int) -> DataFrame:
     )
     answers = running(line, ["kind", "key", "slot"], "at", {"hosts": F.sum, "latest": F.max})
     # Host and user answers of one candidate meet again. Without a user only the host itself counts.
-    return (
+    ends = (
         answers.filter(F.col("candidate").isNotNull())
         .groupBy("candidate")
         .agg(
             F.max("latest").alias("latest"),
             F.max(F.when(F.col("kind") == USER, F.col("hosts"))).alias("hosts"),
         )
-        .select(
-            F.col("candidate.agent").alias("first_host"),
-            F.col("candidate.src_user").alias("src_user"),
-            F.timestamp_micros("candidate.t").alias("window_start"),
-            F.timestamp_micros(F.greatest("candidate.before", "latest")).alias("window_end"),
-            F.size("candidate.tactics").cast("bigint").alias("tactics_in_window"),
-            F.when(F.col("candidate.src_user").isNull(), F.lit(1).cast("bigint"))
-            .otherwise(F.coalesce("hosts", F.lit(0).cast("bigint")))
-            .alias("hosts_in_window"),
-            F.array_join("candidate.tactics", " | ").alias("tactics_seen"),
-        )
+    )
+    return candidates.join(ends, "candidate").select(
+        F.col("agent").alias("first_host"),
+        "src_user",
+        F.timestamp_micros("t").alias("window_start"),
+        F.timestamp_micros(F.greatest("before", "latest")).alias("window_end"),
+        F.size("tactics").cast("bigint").alias("tactics_in_window"),
+        F.when(F.col("src_user").isNull(), F.lit(1).cast("bigint"))
+        .otherwise(F.coalesce("hosts", F.lit(0).cast("bigint")))
+        .alias("hosts_in_window"),
+        F.array_join("tactics", " | ").alias("tactics_seen"),
     )
 
 
@@ -223,13 +237,17 @@ def attack_chains(
     min_level: int = 8,
     window_seconds: int = 7200,
     limit: int | None = 10,
+    tactics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Chains of at least `min_tactics` tactics, broadest first, one row per opening alert."""
-    severe = _severe(alerts, min_level)
+    """Chains of at least `min_tactics` tactics, broadest first, one row per opening alert.
+
+    With `tactics`, alerts of other tactics are left out. Runs jobs when called.
+    """
+    severe = _severe(alerts, min_level, tactics)
     windows = _windows(severe, min_tactics, window_seconds * MICROS)
     if limit is not None:
         # Further windows cannot reach a report of `limit` rows, each having at least one alert.
-        windows = F.broadcast(windows.orderBy(*_order()).limit(limit))
+        windows = windows.orderBy(*_order()).limit(limit)
     opening = severe.select("alert_id", "agent", F.col("src_user").alias("user"), "t")
     # Alerts that open the same window are rows of their own.
     chains = (

@@ -26,14 +26,27 @@ def triage_by_alert(triage: DataFrame) -> DataFrame:
     )
 
 
+def triaged_alerts(alerts: DataFrame, triage: DataFrame) -> DataFrame:
+    """Every alert that was triaged, with the columns that the reports group by, and its outcomes.
+
+    Stored once, it answers for several reports what each would join all alerts with triage for.
+    """
+    wanted = ("alert_id", "ts", "rule_id", "level", "mitre_tactic")
+    return alerts.select(*wanted).join(triage_by_alert(triage), "alert_id")
+
+
 def triage_outcomes(alerts: DataFrame, triage: DataFrame, *dims: str) -> DataFrame:
     """Triage outcome counts per alert dimension, as an alerts-to-triage join would count them.
 
     `triaged`, `true_positives` and `false_positives` count joined rows. `repeats` is the number
     of rows a left join would add beyond one per alert, because some alerts were triaged again.
     """
-    matched = alerts.select("alert_id", *dims).join(triage_by_alert(triage), "alert_id")
-    return matched.groupBy(*dims).agg(
+    return outcomes_of(alerts.select("alert_id", *dims).join(triage_by_alert(triage), "alert_id"), *dims)
+
+
+def outcomes_of(triaged: DataFrame, *dims: str) -> DataFrame:
+    """`triage_outcomes` from alerts that have their outcomes already."""
+    return triaged.groupBy(*dims).agg(
         F.sum("n").alias("triaged"),
         F.sum("tp").alias("true_positives"),
         F.sum("fp").alias("false_positives"),
@@ -44,14 +57,12 @@ def triage_outcomes(alerts: DataFrame, triage: DataFrame, *dims: str) -> DataFra
 def triage_latency(alerts: DataFrame, triage: DataFrame, *dims: str) -> DataFrame:
     """Triage actions joined to their alert: `dims`, seconds to open, seconds worked, copies.
 
-    Identical triage rows are counted first and travel as one row.
+    Each triage row travels once, by its alert; copies are few and are added up afterwards.
     """
-    actions = (
-        triage.filter(F.col("alert_id").isNotNull())
-        .groupBy("alert_id", "opened_at", "closed_at")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    actions = triage.filter(F.col("alert_id").isNotNull()).select("alert_id", "opened_at", "closed_at")
+    joined = actions.join(alerts.select("alert_id", "ts", *dims), "alert_id").withColumn(
+        "copies", F.lit(1).cast("bigint")
     )
-    joined = actions.join(alerts.select("alert_id", "ts", *dims), "alert_id")
     return joined.select(
         *dims,
         "ts",

@@ -1,4 +1,4 @@
-"""Gaps: tactics without detections, severe alerts without triage, triage recorded twice."""
+"""Gaps: tactics without detections, severe alerts without triage."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
-from alertloom.operators.joins import triage_outcomes
+from alertloom.operators.joins import outcomes_of, triaged_alerts
 
 
 def _or_zero(name: str) -> Column:
@@ -17,18 +17,20 @@ def _or_zero(name: str) -> Column:
 
 
 def mitre_coverage(
-    alerts: DataFrame, triage: DataFrame, tactics: Sequence[str] = S.TACTICS
+    alerts: DataFrame, triage: DataFrame, tactics: Sequence[str] = S.TACTICS, triaged: DataFrame | None = None
 ) -> DataFrame:
     """Rules that fired, alerts and confirmed detections per listed tactic."""
     spark = alerts.sparkSession
     listed = spark.range(1).select(F.explode(F.array(*map(F.lit, tactics))).alias("tactic"))
-    relevant = alerts.filter(F.col("mitre_tactic").isin(*tactics)).withColumnRenamed(
-        "mitre_tactic", "tactic"
-    )
+
+    def of_listed(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("mitre_tactic").isin(*tactics)).withColumnRenamed("mitre_tactic", "tactic")
+
+    relevant = of_listed(alerts)
     volume = relevant.groupBy("tactic").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("rule_id").alias("fired")
     )
-    outcomes = triage_outcomes(relevant, triage, "tactic")
+    outcomes = outcomes_of(of_listed(triaged or triaged_alerts(alerts, triage)), "tactic")
     confirmed = _or_zero("true_positives")
     status = (
         F.when(F.col("n").isNull(), S.BLIND_SPOT).when(confirmed == 0, S.UNCONFIRMED).otherwise(S.COVERED)
@@ -47,11 +49,14 @@ def mitre_coverage(
     )
 
 
-def untriaged_high_severity(alerts: DataFrame, triage: DataFrame, min_level: int = 7) -> DataFrame:
+def untriaged_high_severity(
+    alerts: DataFrame, triage: DataFrame, min_level: int = 7, triaged: DataFrame | None = None
+) -> DataFrame:
     """Alerts and triage actions per level, from `min_level` up."""
     severe = alerts.filter(F.col("level") >= min_level)
     volume = severe.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
-    outcomes = triage_outcomes(severe, triage, "level").withColumnRenamed("triaged", "seen")
+    known = triaged or triaged_alerts(severe, triage)
+    outcomes = outcomes_of(known.filter(F.col("level") >= min_level), "level").withColumnRenamed("triaged", "seen")
     joined = F.col("n") + _or_zero("repeats")
     return (
         volume.join(outcomes, "level", "left")

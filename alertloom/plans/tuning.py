@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
-from alertloom.operators.joins import triage_outcomes
+from alertloom.operators.joins import outcomes_of, triaged_alerts
 
 
 def noisy_rules(
@@ -16,15 +16,16 @@ def noisy_rules(
     min_alerts: int = 2000,
     max_tp_share: float = 0.03,
     keep_tp_share: float = 0.5,
+    triaged: DataFrame | None = None,
 ) -> DataFrame:
     """Volume per (rule, text, level), outcome rates per rule, and a recommendation.
 
-    A rule nobody triaged has no rates and is left to review.
+    A rule nobody triaged has no rates and is left to review. `triaged` saves the join if at hand.
     """
     volume = alerts.groupBy("rule_id", "rule_description", "level").agg(
         F.count(F.lit(1)).alias("alerts")
     )
-    outcomes = triage_outcomes(alerts, triage, "rule_id")
+    outcomes = outcomes_of(triaged or triaged_alerts(alerts, triage), "rule_id")
     # The grand total is a scalar subquery over row counts, not a window over every rule.
     total = alerts.agg(F.count(F.lit(1))).scalar()
     tp_share = E.ratio(F.col("true_positives"), F.col("triaged"))

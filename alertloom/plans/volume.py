@@ -7,19 +7,16 @@ from pyspark.sql import functions as F
 
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
-from alertloom.operators.joins import triage_outcomes
+from alertloom.operators.joins import outcomes_of, triage_outcomes, triaged_alerts
 
 
 def daily_volume_by_severity(alerts: DataFrame) -> DataFrame:
     """Alerts per day and severity band. An alert without a level is only in `total`."""
-    level = F.col("level")
+    band = F.when(F.col("level").isNotNull(), E.severity_band(F.col("level")))
     return (
         alerts.groupBy(E.instant(F.col("ts")).cast("date").alias("day"))
         .agg(
-            F.count_if(level <= 6).alias("low"),
-            F.count_if(level.between(7, 9)).alias("medium"),
-            F.count_if(level.between(10, 11)).alias("high"),
-            F.count_if(level >= 12).alias("critical"),
+            *[F.count_if(band == name).alias(name) for name in reversed(S.SEVERITY_ORDER)],
             F.count(F.lit(1)).alias("total"),
         )
         .orderBy(F.col("day").asc_nulls_last())
@@ -83,6 +80,7 @@ def weekly_trend_after_tuning(
     triage: DataFrame,
     min_alerts: int = 2000,
     max_tp_share: float = 0.03,
+    triaged: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly alerts, and how many would remain with the tuning candidates suppressed.
 
@@ -95,7 +93,8 @@ def weekly_trend_after_tuning(
         F.count(F.lit(1)).alias("n")
     )
     volume = weekly_rules.groupBy("rule_id").agg(F.sum("n").alias("n"))
-    tune = _tunable(volume, triage_outcomes(alerts, triage, "rule_id"), min_alerts, max_tp_share).select(
+    outcomes = outcomes_of(triaged or triaged_alerts(alerts, triage), "rule_id")
+    tune = _tunable(volume, outcomes, min_alerts, max_tp_share).select(
         F.col("rule_id").alias("tuned"), F.lit(True).alias("hit")
     )
     found = tune.agg(

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 
 from alertloom.operators.chains import attack_chains
+from alertloom.operators.joins import triaged_alerts
 from alertloom.plans import bursts, coverage, latency, tuning, volume
+from alertloom.session import stored
 
 PREVIEW_ROWS = 60
 
@@ -18,32 +20,36 @@ class Report:
     number: str
     name: str
     question: str
-    build: Callable[[DataFrame, DataFrame], DataFrame]
+    build: Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]
+    # Whether it asks which alerts were triaged; several such reports share the answer.
+    joins: bool = False
 
 
 REPORTS = (
     Report("01", "daily_volume_by_severity", "Is the daily load stable or spiky, by severity?",
-           lambda a, t: volume.daily_volume_by_severity(a)),
-    Report("02", "noisy_rules", "Which rules fire most, and how often are they real?", tuning.noisy_rules),
+           lambda a, t, j: volume.daily_volume_by_severity(a)),
+    Report("02", "noisy_rules", "Which rules fire most, and how often are they real?",
+           lambda a, t, j: tuning.noisy_rules(a, t, triaged=j), joins=True),
     Report("03", "time_to_triage", "How long until an alert is opened and closed, and is the SLA met?",
-           latency.time_to_triage),
-    Report("04", "triage_by_hour", "Does time to triage degrade overnight?", latency.triage_by_hour),
+           lambda a, t, j: latency.time_to_triage(j or a, t), joins=True),
+    Report("04", "triage_by_hour", "Does time to triage degrade overnight?",
+           lambda a, t, j: latency.triage_by_hour(j or a, t), joins=True),
     Report("05", "mitre_coverage", "Which tactics have detections, confirmations or neither?",
-           coverage.mitre_coverage),
+           lambda a, t, j: coverage.mitre_coverage(a, t, triaged=j), joins=True),
     Report("06", "hourly_heatmap", "When do alerts fire, by weekday and hour?",
-           lambda a, t: volume.hourly_heatmap(a)),
+           lambda a, t, j: volume.hourly_heatmap(a)),
     Report("07", "burst_detection", "In which hours did a rule on a host exceed its own normal?",
-           lambda a, t: bursts.burst_detection(a)),
+           lambda a, t, j: bursts.burst_detection(a)),
     Report("08", "top_source_ips", "Which external sources touch the most rules and hosts?",
-           lambda a, t: bursts.top_source_ips(a)),
+           lambda a, t, j: bursts.top_source_ips(a)),
     Report("09", "attack_chains", "Which alerts start a sequence of several tactics?",
-           lambda a, t: attack_chains(a)),
+           lambda a, t, j: attack_chains(a)),
     Report("10", "analyst_workload", "How much does each analyst close, and with which outcomes?",
-           lambda a, t: latency.analyst_workload(t)),
+           lambda a, t, j: latency.analyst_workload(t)),
     Report("11", "untriaged_high_severity", "Which severe alerts did nobody open?",
-           coverage.untriaged_high_severity),
+           lambda a, t, j: coverage.untriaged_high_severity(a, t, triaged=j), joins=True),
     Report("12", "weekly_trend_after_tuning", "What would the volume be with the noisy rules suppressed?",
-           volume.weekly_trend_after_tuning),
+           lambda a, t, j: volume.weekly_trend_after_tuning(a, t, triaged=j), joins=True),
 )
 
 
@@ -57,8 +63,16 @@ def select(names: Iterable[str] = ()) -> list[Report]:
 
 
 def run(alerts: DataFrame, triage: DataFrame, names: Iterable[str] = ()) -> dict[str, DataFrame]:
-    """Lazy result per report name."""
-    return {r.name: r.build(alerts, triage) for r in select(names)}
+    """A result per report name.
+
+    Most results are plans that have not run. If several of the chosen reports ask which alerts were
+    triaged, all alerts are joined with triage here, once, and the triaged ones are written to the
+    scratch folder. The latency reports (03, 04) and attack chains (09) also run jobs here: each writes a
+    part that it uses more than once.
+    """
+    chosen = select(names)
+    shared = stored(triaged_alerts(alerts, triage)) if sum(r.joins for r in chosen) > 1 else None
+    return {r.name: r.build(alerts, triage, shared) for r in chosen}
 
 
 def write_results(results: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:

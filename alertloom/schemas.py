@@ -9,6 +9,13 @@ from pyspark.sql import types as T
 # Lowest level of each band; anything below 7 is "low".
 SEVERITY_FLOORS = (("critical", 12), ("high", 10), ("medium", 7))
 DEFAULT_SEVERITY = "low"
+
+
+def floor_of(severity: str) -> int:
+    """The lowest level of a band above the default one."""
+    return dict(SEVERITY_FLOORS)[severity]
+
+
 SEVERITY_ORDER = ("critical", "high", "medium", "low")
 
 # Minutes an analyst has to open an alert.

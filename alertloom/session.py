@@ -17,16 +17,15 @@ SETTINGS = {
 }
 
 
-def sized_settings(shuffle_bytes: int, partition_mb: int = 128, most: int = 50_000) -> dict[str, str]:
+def sized_settings(shuffle_bytes: int, partition_mb: int = 128) -> dict[str, str]:
     """Settings for a run whose largest shuffle moves up to `shuffle_bytes`.
 
-    There are enough shuffle partitions for each to fit in memory; adaptive execution merges those
-    that turn out small, up to the target size. Beyond `most` partitions the number of blocks costs
-    more than larger, spilling partitions do.
+    Shuffles start with enough partitions for each to fit in memory; adaptive execution merges those
+    that turn out small, up to the target size.
     """
     target = partition_mb * 1024 * 1024
     return {
-        "spark.sql.shuffle.partitions": str(min(most, max(200, -(-shuffle_bytes // target)))),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, -(-shuffle_bytes // target))),
         "spark.sql.files.maxPartitionBytes": str(2 * target),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -41,11 +40,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "alertloom", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "alertloom", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings above; `shuffle_bytes` sizes it for its largest shuffle."""
+    sized = {} if shuffle_bytes is None else sized_settings(shuffle_bytes)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, "spark.ui.enabled": "false", **conf}.items():
+    for key, value in {**SETTINGS, "spark.ui.enabled": "false", **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -59,18 +62,32 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="alertloom-")
         sc.setCheckpointDir(folder)
     return folder
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one, for all that it writes on the way."""
+    return f"{shared_dir(spark)}/alertloom-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has written on the way. Results still being read from it are lost.
+
+    Call it after the last result was written elsewhere.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder once and continue from the written copy.
 
     Cuts the lineage like a checkpoint, but as Parquet: later steps read only their columns.
     """
-    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,8 +8,14 @@ from pyspark.sql import types as T
 
 from alertloom import schemas as S
 
-# Accepts milliseconds or microseconds and a numeric UTC offset.
+# Accepts milliseconds or microseconds and a numeric UTC offset, with or without a colon.
 ALERT_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]Z"
+_COLON = r"([+-][0-9]{2}):([0-9]{2})$"
+
+
+def _stamp() -> Column:
+    return F.regexp_replace("timestamp", _COLON, "$1$2")
+
 
 # Alert column -> path in the raw record, for the columns that are copied unchanged.
 _COPIED = {
@@ -33,7 +39,7 @@ def flatten_alerts(raw: DataFrame, strict: bool = True) -> DataFrame:
 
     Strict fails on a value that cannot be converted; otherwise it becomes NULL.
     """
-    stamp, level = F.col("timestamp"), F.col("rule.level")
+    stamp, level = _stamp(), F.col("rule.level")
     converted = {
         "alert_id": F.col("id"),
         "ts": F.to_timestamp(stamp, ALERT_TIME) if strict else F.try_to_timestamp(stamp, F.lit(ALERT_TIME)),
@@ -48,16 +54,16 @@ def flatten_alerts(raw: DataFrame, strict: bool = True) -> DataFrame:
 def read_raw_alerts(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """One JSON object per line. Unknown keys are ignored, missing ones are NULL.
 
-    Strict stops at a malformed line; otherwise the line is kept in `_corrupt_record`.
+    Strict stops at a malformed line. Otherwise every record comes with its `line`, and the text of a
+    malformed one is in `_corrupt_record` too; empty lines are skipped either way.
     """
     if strict:
         return spark.read.schema(S.RAW_ALERT).option("mode", "FAILFAST").json(path)
     schema = T.StructType([*S.RAW_ALERT.fields, T.StructField(S.CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", S.CORRUPT)
-        .json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.col("value").alias("line"), F.from_json("value", schema, options).alias("r")).select(
+        "line", "r.*"
     )
 
 
@@ -68,10 +74,10 @@ def load_alerts(spark: SparkSession, path: str) -> DataFrame:
 def load_alerts_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(alerts, rejects): lines that cannot be parsed or converted go to `rejects`.
 
-    A reject carries the line, or the alert id where the line itself is well formed.
+    A reject carries its line, and the alert id where that could be read.
     """
     raw = read_raw_alerts(spark, path, strict=False)
-    bad_time = F.try_to_timestamp(F.col("timestamp"), F.lit(ALERT_TIME)).isNull() & F.col("timestamp").isNotNull()
+    bad_time = F.try_to_timestamp(_stamp(), F.lit(ALERT_TIME)).isNull() & F.col("timestamp").isNotNull()
     bad_level = F.col("rule.level").isNotNull() & F.col("rule.level").try_cast("int").isNull()
     marked = raw.withColumn(
         "reason",
@@ -81,7 +87,7 @@ def load_alerts_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame,
     )
     good = flatten_alerts(marked.filter(F.col("reason").isNull()), strict=False)
     rejects = marked.filter(F.col("reason").isNotNull()).select(
-        F.col("id").alias("alert_id"), F.col(S.CORRUPT).alias("line"), "reason"
+        F.col("id").alias("alert_id"), "line", "reason"
     )
     return good, rejects
 

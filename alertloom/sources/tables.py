@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom.functions import exprs as E
@@ -28,8 +30,24 @@ def write_triage(triage: DataFrame, path: str) -> None:
     triage.write.mode("overwrite").parquet(path)
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DAY)
+def read_alerts(
+    spark: SparkSession, path: str, since: dt.datetime | None = None, until: dt.datetime | None = None
+) -> DataFrame:
+    """The alerts table, from `since` (included) to `until` (excluded), both in UTC.
+
+    Only the folders of those days are read.
+    """
+    alerts = spark.read.parquet(path)
+    ts = E.instant(F.col("ts"))
+    if since is not None:
+        alerts = alerts.filter((F.col(DAY) >= F.lit(since.date())) & (ts >= _utc(since)))
+    if until is not None:
+        alerts = alerts.filter((F.col(DAY) <= F.lit(until.date())) & (ts < _utc(until)))
+    return alerts.drop(DAY)
+
+
+def _utc(moment: dt.datetime) -> Column:
+    return E.instant(F.lit(moment.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
 
 
 def read_triage(spark: SparkSession, path: str) -> DataFrame:
@@ -37,18 +55,16 @@ def read_triage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "alert_id") -> None:
-    """Replace a catalog table bucketed and sorted by `key`; with a `ts` column also by UTC day.
+    """Replace a catalog table bucketed and sorted by `key`.
 
-    With alerts and triage bucketed alike, the joins between them move no alerts. Six of the
-    twelve reports contain such a join, so this is the layout for running them all. Rows are
-    gathered by bucket first, so that a bucket is one file (per day) and not one per task.
+    With alerts and triage bucketed alike, the joins between them neither move nor sort alerts. Rows are
+    gathered by bucket first, so that a bucket is one file; rows without a key, which join with
+    nothing, are spread over the tasks. There are no day folders here: they would multiply the
+    number of files and break the order within a bucket. For reading by time, use `write_alerts`.
     """
-    rows = df.repartition(buckets, key)
-    if "ts" in df.columns:
-        writer = rows.withColumn(DAY, E.instant(F.col("ts")).cast("date")).write.partitionBy(DAY)
-    else:
-        writer = rows.write
-    writer.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+    spread = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = df.repartition(buckets, key, spread)
+    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
 def load_counts(**tables: DataFrame) -> DataFrame:

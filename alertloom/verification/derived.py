@@ -5,6 +5,8 @@ The same derivation exists as a SQL prefix in `oracle.py`.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from alertloom.session import configure
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
+# A stretch of the events' time that starts and ends within a day.
+DAYS = (dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 12, 18, 30))
+
 # Alerts taken as malicious: the highest level, from one rule.
 PLANTED_LEVEL, PLANTED_RULE = 15, "error"
 
@@ -34,7 +39,9 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("rule_id"),
         F.least(F.lit(15), 3 + F.floor(F.col("value") / 16)).cast("int").alias("level"),
         F.concat(F.lit("rule "), "event_type").alias("rule_description"),
-        F.lit(None).cast("string").alias("mitre_technique"),
+        F.when(F.col("k") % 13 < 8, F.concat(F.lit("T"), (1000 + F.col("k") % 50).cast("string"))).alias(
+            "mitre_technique"
+        ),
         F.when(F.col("k") % 13 < 8, tactic).alias("mitre_tactic"),
         F.concat(F.lit("host-"), (F.col("k") % 12).cast("string")).alias("agent"),
         F.when(F.col("k") % 5 == 0, None)
@@ -42,8 +49,10 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("185.220.0."), text))
         .alias("src_ip"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("src_user"),
-        F.lit(None).cast("string").alias("dst_user"),
-        F.lit(None).cast("string").alias("location"),
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("t"), (F.col("event_id") % 9).cast("string"))).alias(
+            "dst_user"
+        ),
+        F.concat(F.lit("/var/log/"), "event_type", F.lit("-"), (F.col("k") % 3).cast("string")).alias("location"),
     )
 
 
@@ -93,7 +102,7 @@ def raw_alert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts as nested JSON text, one object per line, with keys the loader ignores."""
     a = alerts(spark, sf_dir)
     listed = F.when(F.col("mitre_tactic").isNotNull(), F.array("mitre_tactic"))
-    mitre = F.struct(listed.alias("tactic"))
+    mitre = F.struct(F.array("mitre_technique").alias("id"), listed.alias("tactic"))
     return a.select(
         F.to_json(
             F.struct(
@@ -107,7 +116,26 @@ def raw_alert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(listed.isNotNull(), mitre).alias("mitre"),
                 ).alias("rule"),
                 F.struct(F.lit("001").alias("id"), F.col("agent").alias("name")).alias("agent"),
-                F.struct(F.col("src_ip").alias("srcip"), F.col("src_user").alias("srcuser")).alias("data"),
+                F.struct(
+                    F.col("src_ip").alias("srcip"),
+                    F.col("src_user").alias("srcuser"),
+                    F.col("dst_user").alias("dstuser"),
+                ).alias("data"),
+                "location",
             )
         ).alias("value")
     )
+
+
+def truth_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ground truth as one JSON document: ids of malicious alerts, and each incident's first hour."""
+    # One document, as the format has it; both lists are as short as what an investigation finds.
+    ids = F.array_sort(F.collect_list("alert_id"))
+    hours = F.collect_list(F.struct("incident", F.date_format("hour", "yyyy-MM-dd'T'HH")))
+    named = incidents(spark, sf_dir).agg(F.map_from_entries(hours)).scalar()
+    found = planted(spark, sf_dir).agg(ids.alias("planted_alert_ids")).withColumn("incidents", named)
+    return found.select(F.to_json(F.struct("planted_alert_ids", "incidents")).alias("value"))
+
+
+# The host of each incident, as the loader is told it.
+INCIDENT_HOSTS = {f"first_on_host-{i}": f"host-{i}" for i in range(12)}

@@ -1,15 +1,20 @@
 """SQL the registered queries are compared with, over the same tables.
 
-Every statement starts from the derived `alerts` and `triage` of `derived.py`. The statements say
-plainly what is wanted and take other ways than the Spark code: pairs for chains, joined-back
-baselines for bursts, elapsed epochs for latency.
+Every statement starts from the derived `alerts` and `triage` of `derived.py` and reads as the question it
+answers. Where it can be put in another way than in the Spark code, it is: chains from pairs, baselines and
+medians joined back, distinct values as a table of their own, weekdays from a calendar, bands and
+maintenance windows as tables, forest trees grown level by level.
 """
 
 from __future__ import annotations
 
+import math
+
 from alertloom import schemas as S
+from alertloom.anomaly.evaluate import BASELINES, METHODS
+from alertloom.anomaly.forest import PRIME, TERMS
 from alertloom.functions.exprs import tactic_column
-from alertloom.verification.derived import PLANTED_LEVEL, PLANTED_RULE
+from alertloom.verification.derived import DAYS, PLANTED_LEVEL, PLANTED_RULE
 
 _LISTED = ", ".join(f"'{t}'" for t in S.FEATURE_TACTICS)
 _TACTICS = ", ".join(f"'{t}'" for t in S.TACTICS)
@@ -26,15 +31,15 @@ alerts as (
            event_type as rule_id,
            cast(least(15, 3 + floor(value / 16)) as int) as level,
            'rule ' || event_type as rule_description,
-           cast(null as varchar) as mitre_technique,
+           case when k % 13 < 8 then 'T' || (1000 + k % 50) end as mitre_technique,
            case when k % 13 < 8 then ([{_LISTED}])[k % 13 + 1] end as mitre_tactic,
            'host-' || cast(k % 12 as varchar) as agent,
            case when k % 5 = 0 then null
                 when k % 2 = 0 then '10.10.0.' || cast(k as varchar)
                 else '185.220.0.' || cast(k as varchar) end as src_ip,
            'u' || cast(user_id as varchar) as src_user,
-           cast(null as varchar) as dst_user,
-           cast(null as varchar) as location
+           case when event_id % 4 = 0 then 't' || (event_id % 9) end as dst_user,
+           '/var/log/' || event_type || '-' || (k % 3) as location
     from ev
 ),
 triage as (
@@ -53,103 +58,243 @@ planted as (
     select alert_id from alerts where level >= {PLANTED_LEVEL} and rule_id = '{PLANTED_RULE}'
 )"""
 
-_TACTIC_COUNTS = ",\n           ".join(
-    f"count(case when coalesce(mitre_tactic, '') = '{t}' then 1 end) as {tactic_column(t)}" for t in S.FEATURE_TACTICS
-)
-_COUNTS = [
-    "alerts",
-    "distinct_rules",
-    "distinct_users",
-    "distinct_src_ips",
-    "external_ips",
-    "high_sev_alerts",
+# Model features come from these counts of a host-hour.
+_BREADTH = [
+    "alerts", "distinct_rules", "distinct_users", "distinct_src_ips", "external_ips", "high_sev_alerts",
     "distinct_tactics",
-    *[tactic_column(t) for t in S.FEATURE_TACTICS],
-]
+]
+_COUNTS = [*_BREADTH, *[tactic_column(t) for t in S.FEATURE_TACTICS]]
+_MODEL = [f"{c}_excess" for c in _COUNTS] + ["max_level", "avg_level"]
+_SHOWN = ["alerts", "distinct_rules", "distinct_tactics", "distinct_users", "external_ips"]
+
+_OF_TACTIC = ",\n           ".join(
+    f"count(*) filter (where mitre_tactic = '{t}') as {tactic_column(t)}" for t in S.FEATURE_TACTICS
+)
+_WINDOWS = ", ".join(f"({day}, {first}, {last})" for day, first, last in S.MAINTENANCE_WINDOWS)
 
+# What was seen in a host-hour is a table of its distinct values, counted by kind.
 FEATURES = f"""{BASE},
-hours as (
-    select *, date_trunc('hour', ts) as hour,
-           case when not starts_with(src_ip, '10.') then src_ip end as outside
-    from alerts
+hours as (select *, date_trunc('hour', ts) as hour from alerts),
+seen as (
+    select distinct agent, hour, 'rule' as kind, rule_id as value from hours where rule_id is not null
+    union all
+    select distinct agent, hour, 'user', src_user from hours where src_user is not null
+    union all
+    select distinct agent, hour, 'address', src_ip from hours where src_ip is not null
+    union all
+    select distinct agent, hour, 'tactic', mitre_tactic from hours where mitre_tactic is not null
 ),
-counted as (
+breadth as (
     select agent, hour,
-           count(*) as alerts,
-           len(list(distinct rule_id) filter (rule_id is not null)) as distinct_rules,
-           len(list(distinct src_user) filter (src_user is not null)) as distinct_users,
-           len(list(distinct src_ip) filter (src_ip is not null)) as distinct_src_ips,
-           len(list(distinct outside) filter (outside is not null)) as external_ips,
-           len(list(distinct mitre_tactic) filter (mitre_tactic is not null)) as distinct_tactics,
-           max(level) as max_level,
-           cast(sum(level) as double) / count(level) as avg_level,
-           count(case when level >= 10 then 1 end) as high_sev_alerts,
-           {_TACTIC_COUNTS}
-    from hours
-    group by all
+           count(*) filter (where kind = 'rule') as distinct_rules,
+           count(*) filter (where kind = 'user') as distinct_users,
+           count(*) filter (where kind = 'address') as distinct_src_ips,
+           count(*) filter (where kind = 'address' and value not like '10.%') as external_ips,
+           count(*) filter (where kind = 'tactic') as distinct_tactics
+    from seen group by agent, hour
+),
+volume as (
+    select agent, hour, count(*) as alerts, max(level) as max_level, avg(level) as avg_level,
+           count(*) filter (where level >= 10) as high_sev_alerts,
+           {_OF_TACTIC}
+    from hours group by agent, hour
 ),
+patching (weekday, opens, closes) as (values {_WINDOWS}),
 features as (
-    select agent, hour, alerts, max_level, avg_level, high_sev_alerts,
-           coalesce(distinct_rules, 0) as distinct_rules,
-           coalesce(distinct_users, 0) as distinct_users,
-           coalesce(distinct_src_ips, 0) as distinct_src_ips,
-           coalesce(external_ips, 0) as external_ips,
-           coalesce(distinct_tactics, 0) as distinct_tactics,
-           {", ".join(tactic_column(t) for t in S.FEATURE_TACTICS)},
-           cast(strftime(hour, '%H') as int) as hour_of_day,
-           cast(strftime(hour, '%u') as bigint) as weekday,
-           cast(strftime(hour, '%u%H') in ('202', '203') as int) as maintenance_window
-    from counted
+    select v.*, coalesce(b.distinct_rules, 0) as distinct_rules, coalesce(b.distinct_users, 0) as distinct_users,
+           coalesce(b.distinct_src_ips, 0) as distinct_src_ips, coalesce(b.external_ips, 0) as external_ips,
+           coalesce(b.distinct_tactics, 0) as distinct_tactics,
+           cast(extract(hour from v.hour) as int) as hour_of_day, isodow(v.hour) as weekday,
+           cast(p.weekday is not null as int) as maintenance_window
+    from volume v
+    left join breadth b on b.agent is not distinct from v.agent and b.hour is not distinct from v.hour
+    left join patching p on p.weekday = isodow(v.hour) and extract(hour from v.hour) between p.opens and p.closes
 )"""
 
-_MED = ",\n           ".join(
-    f"{c} - quantile_cont({c}, 0.5) over (partition by agent, maintenance_window) as d_{c}" for c in _COUNTS
-)
-_MAD = ",\n           ".join(
-    f"quantile_cont(abs(d_{c}), 0.5) over (partition by agent, maintenance_window) as m_{c}" for c in _COUNTS
-)
+# Medians per host and kind of hour, joined back; then the same for the distances from them.
+_MEDIANS = ", ".join(f"median({c}) as mid_{c}" for c in _COUNTS)
+_DISTANCES = ", ".join(f"{c} - mid_{c} as off_{c}" for c in _COUNTS)
+_SPREADS = ", ".join(f"median(abs(off_{c})) as mad_{c}" for c in _COUNTS)
 _EXCESS = ",\n           ".join(
-    f"ln(1 + greatest(0.0::double, d_{c} / (case when m_{c} = 0 then 1.0::double else m_{c} end))) as {c}_excess"
+    f"round(ln(1 + greatest(off_{c} / (case mad_{c} when 0 then 1 else mad_{c} end), 0)), 9) as {c}_excess"
     for c in _COUNTS
 )
-_SUM = " + ".join(f"{c}_excess" for c in _COUNTS)
+_SAME = "x.agent is not distinct from y.agent and x.maintenance_window = y.maintenance_window"
 
 EXCESS = f"""{FEATURES},
-away as (
-    select agent, hour, maintenance_window, max_level, avg_level,
-           alerts, distinct_rules, distinct_tactics, distinct_users, external_ips,
-           {_MED}
-    from features
-),
-spread as (
-    select *, {_MAD}
-    from away
-),
+normal as (select agent, maintenance_window, {_MEDIANS} from features group by agent, maintenance_window),
+away as (select x.*, {_DISTANCES} from features x join normal y on {_SAME}),
+spread as (select agent, maintenance_window, {_SPREADS} from away group by agent, maintenance_window),
 parts as (
-    select *, {_EXCESS}
-    from spread
+    select x.agent, x.hour, x.max_level, x.avg_level, {", ".join("x." + c for c in _SHOWN)},
+           {_EXCESS}
+    from away x join spread y on {_SAME}
 ),
-excess as (
-    select *, round({_SUM}, 9) as excess_score from parts
-)"""
+excess as (select *, round({" + ".join(f"{c}_excess" for c in _COUNTS)}, 9) as excess_score from parts)"""
 
-TRUTH = f"""
+TRUTH = """
 truth as (
-    select agent, date_trunc('hour', ts) as hour
-    from alerts semi join planted using (alert_id) group by all
+    select distinct agent, date_trunc('hour', ts) as hour from alerts where alert_id in (select alert_id from planted)
 )"""
 
+_KNOWN = "exists (select 1 from truth t where t.agent is not distinct from e.agent and t.hour = e.hour)"
+
 RANKED = f"""{EXCESS},
 {TRUTH},
 ranked as (
     select e.*,
-           row_number() over (order by excess_score desc, agent, hour) as heur_rank,
-           row_number() over (order by alerts desc, agent, hour) as volume_rank,
-           exists (select 1 from truth t where t.agent = e.agent and t.hour = e.hour) as is_malicious
+           row_number() over (order by excess_score desc, agent nulls last, hour) as heur_rank,
+           row_number() over (order by alerts desc, agent nulls last, hour) as volume_rank,
+           {_KNOWN} as is_malicious
     from excess e
 )"""
 
-_MODEL = [f"{c}_excess" for c in _COUNTS] + ["max_level", "avg_level"]
+
+def forest(trees: int = 300, sample: int = 256, seed: int = 42) -> str:
+    """The isolation forest: every tree is grown level by level, then every row walks down all trees.
+
+    Assumes at least `sample` rows, which sets the height. A node is known by its place: the root is 1, the
+    children of p are 2p and 2p + 1.
+    """
+    height = math.ceil(math.log2(sample))
+    terms = ", ".join(f"('0x' || substr(h, {1 + 8 * i}, 8))::bigint % {PRIME} as x{i}" for i in range(TERMS))
+    ticket = "0"
+    for i in range(TERMS):
+        ticket = f"(({ticket}) * t + x{i}) % {PRIME}"
+    grown = [
+        f"""
+tickets as (
+    select r, t, key, {ticket} as ticket
+    from (select *, {terms} from points), (select unnest(range({trees})) as t)
+),
+level0 as (
+    select t, r, 1 as place from tickets
+    qualify row_number() over (partition by t order by ticket, key) <= {sample}
+)"""
+    ]
+    for i in range(height):
+        grown.append(
+            f"""
+splits{i} as (
+    select t, place, picked.f as f, picked.low + share * (picked.high - picked.low) as cut
+    from (
+        select t, place, options[1 + choice % len(options)] as picked, share
+        from (
+            select t, place, list(struct_pack(f := f, low := low, high := high) order by f) as options,
+                   ('0x' || substr(md5('{seed}|' || t || '|' || place), 1, 8))::bigint as choice,
+                   ('0x' || substr(md5('{seed}|' || t || '|' || place), 9, 8))::bigint / 4294967296.0::double as share
+            from (
+                select t, place, f, min(xs[f]) as low, max(xs[f]) as high
+                from level{i} join points using (r), (select unnest(range(1, {len(_MODEL) + 1})) as f)
+                group by t, place, f having min(xs[f]) < max(xs[f])
+            )
+            group by t, place
+        )
+    )
+),
+level{i + 1} as (
+    select t, r, 2 * place + (xs[f] > cut)::int as place from level{i} join splits{i} using (t, place) join points using (r)
+)"""
+        )
+    sizes = " union all ".join(f"select t, place, count(*) as n from level{i} group by t, place" for i in range(height + 1))
+    walks = ["walk0 as (select r, t, 1 as place from points, (select unnest(range(%d)) as t))" % trees]
+    for i in range(height):
+        walks.append(
+            f"""walk{i + 1} as (
+    select w.r, w.t, case when s.f is null then w.place else 2 * w.place + (xs[s.f] > s.cut)::int end as place
+    from walk{i} w join points using (r) left join splits{i} s on s.t = w.t and s.place = w.place
+)"""
+        )
+    path = "case when {n} > 2 then 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n}::double when {n} = 2 then 1 else 0 end"
+    return f"""points as materialized (
+    select row_number() over () as r, agent, hour, [{", ".join(f"{c}::double" for c in _MODEL)}] as xs,
+           coalesce(agent, '<null>') || '|' || hour::varchar as key,
+           md5('{seed}|' || coalesce(agent, '<null>') || '|' || hour::varchar) as h
+    from excess
+),{",".join(grown)},
+sizes as ({sizes}),
+{", ".join(walks)},
+scores as (
+    select r, round(pow(2, -avg(floor(log2(place)) + {path.format(n="coalesce(n, 0)")}) / ({path.format(n=sample)})), 9) as anomaly_score
+    from walk{height} left join sizes using (t, place) group by r
+),
+scored as (
+    select e.*, anomaly_score
+    from excess e join points p on p.agent is not distinct from e.agent and p.hour = e.hour join scores using (r)
+)"""
+
+
+SCORED = f"{EXCESS},\n{forest()}"
+
+COMBINED = f"""{SCORED},
+{TRUTH},
+three as (
+    select e.*, {_KNOWN} as is_malicious,
+           row_number() over (order by anomaly_score desc, agent nulls last, hour) as if_rank,
+           row_number() over (order by excess_score desc, agent nulls last, hour) as heur_rank,
+           row_number() over (order by alerts desc, agent nulls last, hour) as volume_rank
+    from scored e
+),
+ranked as (
+    select *, least(if_rank, heur_rank) as combined_rank,
+           row_number() over (order by least(if_rank, heur_rank), anomaly_score desc, agent nulls last, hour)
+               as combined_position
+    from three
+)"""
+
+
+def _precision(ranked: str, methods: dict[str, str]) -> str:
+    long = " union all ".join(f"select '{m}' as method, {rank} as r, is_malicious from ranked" for m, rank in methods.items())
+    return f"""{ranked},
+long as ({long}),
+ks as (select unnest([10, 25, 50, 100]) as k),
+known as (select count(*) as n from ranked where is_malicious)
+select method, k, count(*) filter (where is_malicious and r <= k) as hits,
+       hits::double / k as precision, hits::double / nullif((select n from known), 0) as recall
+from long, ks group by method, k"""
+
+
+def _incident_ranks(ranked: str, methods: dict[str, str]) -> str:
+    return f"""{ranked},
+incidents as (select 'first_on_' || agent as incident, agent, min(hour) as hour from truth group by agent)
+select i.incident, i.agent, i.hour, {", ".join(f"r.{rank} as {m}" for m, rank in methods.items())}
+from incidents i left join ranked r on r.agent is not distinct from i.agent and r.hour = i.hour"""
+
+
+def _top(ranked: str, rank: str, score: str) -> str:
+    return f"""{ranked}
+select {rank} as rank, agent, strftime(hour, '%Y-%m-%d %H:00') as hour, alerts,
+       distinct_rules as rules, distinct_tactics as tactics, distinct_users as users, external_ips,
+       max_level, round({score}, 3) as score, is_malicious
+from ranked where {rank} <= 15"""
+
+
+def _importance(ranked: str, rank: str) -> str:
+    long = " union all ".join(f"select '{f}' as feature, {rank} as r, {f}::double as x from ranked" for f in _MODEL)
+    return f"""{ranked},
+long as ({long}),
+moved as (
+    select feature, abs((avg(x) filter (where r <= 25) - avg(x)) / nullif(stddev_samp(x), 0)) as z
+    from long group by feature
+)
+select feature, round(z, 1) as abs_z from moved order by z desc nulls last, feature limit 6"""
+
+
+def _histogram(ranked: str, score: str) -> str:
+    return f"""{ranked},
+edges as (
+    select is_malicious, min({score}) as lo, max({score}) as hi, case when is_malicious then 40 else 80 end as bins
+    from ranked group by is_malicious
+),
+binned as (
+    select e.is_malicious, least(floor((r.{score} - e.lo) / (e.hi - e.lo) * e.bins)::int, e.bins - 1) as bin,
+           count(*) as n
+    from ranked r join edges e using (is_malicious) group by 1, 2
+),
+grid as (select *, unnest(range(0, bins))::int as bin from edges)
+select g.is_malicious, g.bin, round(lo + g.bin * ((hi - lo) / bins), 6) as bin_start,
+       round(lo + (g.bin + 1) * ((hi - lo) / bins), 6) as bin_end, coalesce(c.n, 0) as host_hours
+from grid g left join binned c using (is_malicious, bin)"""
 
 
 def _chains(tail: str) -> str:
@@ -198,8 +343,8 @@ where h.alerts - n.usual > 5 * n.spread {tail}"""
 # Triage rows per alert id, and what each alert contributes to a left join with triage.
 JOINED = f"""{BASE},
 seen as (
-    select alert_id, count(*) as n, count(case when disposition = 'true_positive' then 1 end) as tp,
-           count(case when disposition = 'false_positive' then 1 end) as fp
+    select alert_id, count(*) as n, count(*) filter (where disposition = 'true_positive') as tp,
+           count(*) filter (where disposition = 'false_positive') as fp
     from triage where alert_id is not null group by all
 ),
 per_alert as (
@@ -238,18 +383,23 @@ tune as (
 )"""
 
 
+# Lowest and highest level of each severity.
+_LEVELS = "levels (severity, lowest, highest) as (values ('low', 0, 6), ('medium', 7, 9), ('high', 10, 11), ('critical', 12, 15))"
+
 _DAILY = f"""{BASE},
-banded as (
-    select cast(ts as date) as day,
-           case when level >= 12 then 'critical' when level >= 10 then 'high'
-                when level >= 7 then 'medium' when level is not null then 'low' end as band
-    from alerts
-)
-select day, count(case when band = 'low' then 1 end) as low, count(case when band = 'medium' then 1 end) as medium,
-       count(case when band = 'high' then 1 end) as high, count(case when band = 'critical' then 1 end) as critical, count(*) as total
-from banded group by all"""
+{_LEVELS},
+banded as (select ts::date as day, severity from alerts left join levels on level between lowest and highest)
+select day, {", ".join(f"count(*) filter (where severity = '{x}') as {x}" for x in ("low", "medium", "high", "critical"))},
+       count(*) as total
+from banded group by day"""
 
-_GRID = ", ".join(f"nullif(count(case when hour = {h} then 1 end), 0) as h{h:02d}" for h in range(24))
+# The days on record with their weekdays, and each alert's day and hour.
+_CALENDAR = f"""{BASE},
+fired as (select ts::date as day, extract(hour from ts)::int as hour from alerts),
+calendar as (select distinct day, dayname(day) as weekday, isodow(day) as dow_num from fired),
+cells as (select weekday, dow_num, hour, count(*) as alerts from fired join calendar using (day) group by all)"""
+
+_GRID = ", ".join(f"sum(alerts) filter (where hour = {h})::bigint as h{h:02d}" for h in range(24))
 
 
 def statements(min_alerts: int) -> dict[str, str]:
@@ -268,6 +418,13 @@ t as (
     return {
         "load_alerts": f"{BASE} select * from alerts",
         "load_triage": f"{BASE} select * from triage",
+        "load_planted": f"{BASE} select * from planted",
+        "load_incidents": f"""{BASE}, {TRUTH}
+select 'first_on_' || agent as incident, agent, min(hour) as hour from truth group by agent""",
+        "daily_volume_of_days": f"""
+select * from (
+    {_DAILY.replace("from alerts left join", f"from (select * from alerts where ts >= '{DAYS[0]}' and ts < '{DAYS[1]}') left join")}
+)""",
         "load_counts": f"""{BASE}
 select 'alerts' as table_name, count(*) as row_count from alerts
 union all select 'triage', count(*) from triage""",
@@ -285,7 +442,7 @@ select severity, count(*) as triaged,
        round(quantile_cont(to_open, 0.5) / 60.0, 1) as p50_min_to_triage,
        round(quantile_cont(to_open, 0.9) / 60.0, 1) as p90_min_to_triage,
        round(cast(sum(working) as double) / count(working) / 60.0, 1) as mean_min_working,
-       round(100.0 * count(case when to_open <= 60 * minutes then 1 end) / count(*), 1) as pct_within_sla
+       round(100.0 * count(*) filter (where to_open <= 60 * minutes) / count(*), 1) as pct_within_sla
 from t group by all""",
         "triage_by_hour": f"""{latency}
 select cast(extract(hour from ts) as int) as hour_fired, count(*) as triaged,
@@ -305,13 +462,8 @@ select *, case when alerts = 0 then 'BLIND SPOT: no detection rule'
                when confirmed_true_positives = 0 then 'no confirmed detections in 30 days'
                else 'covered' end as status
 from found""",
-        "hourly_heatmap": f"""{BASE}
-select strftime(ts, '%A') as weekday, cast(strftime(ts, '%u') as bigint) as dow_num,
-       cast(strftime(ts, '%H') as int) as hour, count(*) as alerts
-from alerts group by all""",
-        "hourly_heatmap_grid": f"""{BASE},
-cells as (select cast(strftime(ts, '%u') as bigint) as dow_num, date_part('hour', ts) as hour from alerts)
-select dow_num, {_GRID} from cells group by all""",
+        "hourly_heatmap": f"{_CALENDAR} select * from cells",
+        "hourly_heatmap_grid": f"{_CALENDAR} select dow_num, {_GRID} from cells group by dow_num",
         "burst_detection": _bursts("order by z_score desc, hour, rule_id, agent limit 15"),
         "all_bursts": _bursts(""),
         "top_source_ips": f"""{BASE},
@@ -332,9 +484,9 @@ work as (
 )
 select analyst, count(*) as alerts_closed,
        round(cast(sum(seconds) as double) / count(seconds) / 60.0, 1) as mean_min_per_alert,
-       round(100.0 * count(case when disposition = 'true_positive' then 1 end) / count(*), 1) as tp_pct,
-       round(100.0 * count(case when disposition = 'false_positive' then 1 end) / count(*), 1) as fp_pct,
-       count(case when escalated then 1 end) as escalations
+       round(100.0 * count(*) filter (where disposition = 'true_positive') / count(*), 1) as tp_pct,
+       round(100.0 * count(*) filter (where disposition = 'false_positive') / count(*), 1) as fp_pct,
+       count(*) filter (where escalated) as escalations
 from work group by all""",
         "untriaged_high_severity": f"""{JOINED}
 select level, cast(sum(joined) as bigint) as alerts, cast(sum(n) as bigint) as triaged,
@@ -350,8 +502,8 @@ flagged as (
     select cast(date_trunc('week', ts) as date) as week, rule_id not in (select rule_id from tune) as stays
     from alerts
 )
-select week, count(*) as alerts, count(case when stays then 1 end) as alerts_after_tuning,
-       round(100.0 * (count(*) - count(case when stays then 1 end)) / count(*), 1) as pct_reduction
+select week, count(*) as alerts, count(*) filter (where stays) as alerts_after_tuning,
+       round(100.0 * (count(*) - count(*) filter (where stays)) / count(*), 1) as pct_reduction
 from flagged group by all""",
         "host_hour_features": f"{FEATURES} select * from features",
         "host_hour_excess": f"""{EXCESS}
@@ -359,56 +511,27 @@ select agent, hour, {", ".join(f"round({c}, 9) as {c}" for c in _MODEL)}, excess
         "malicious_host_hours": f"{BASE}, {TRUTH} select * from truth",
         "baseline_ranking": f"""{RANKED}
 select agent, hour, alerts, excess_score, is_malicious, heur_rank, volume_rank from ranked""",
-        "baseline_precision_recall_at_k": f"""{RANKED},
-long as (
-    select 'excess_heuristic' as method, heur_rank as r, is_malicious from ranked
-    union all select 'raw_volume', volume_rank, is_malicious from ranked
-),
-ks as (select unnest([10, 25, 50, 100]) as k)
-select method, k, count(case when is_malicious and r <= k then 1 end) as hits,
-       cast(count(case when is_malicious and r <= k then 1 end) as double) / k as precision,
-       cast(count(case when is_malicious and r <= k then 1 end) as double)
-           / nullif(count(case when is_malicious then 1 end), 0) as recall
-from long, ks group by 1, 2""",
-        "baseline_incident_ranks": f"""{RANKED},
-incidents as (select 'first_on_' || agent as incident, agent, min(hour) as hour from truth group by 2)
-select i.incident, i.agent, i.hour, r.heur_rank as excess_heuristic, r.volume_rank as raw_volume
-from incidents i left join ranked r using (agent, hour)""",
-        "baseline_top_anomalies": f"""{RANKED}
-select heur_rank as rank, agent, strftime(hour, '%Y-%m-%d %H:00') as hour, alerts,
-       distinct_rules as rules, distinct_tactics as tactics, distinct_users as users, external_ips,
-       max_level, round(excess_score, 3) as score, is_malicious
-from ranked where heur_rank <= 15""",
-        "baseline_feature_importance": f"""{RANKED},
-long as ({" union all ".join(
-            f"select '{f}' as feature, heur_rank as r, cast({f} as double) as x from ranked" for f in _MODEL
-        )})
-select feature,
-       round(abs((avg(x) filter (where r <= 25) - avg(x)) / nullif(stddev_samp(x), 0)), 1) as abs_z
-from long group by 1
-order by abs((avg(x) filter (where r <= 25) - avg(x)) / nullif(stddev_samp(x), 0)) desc nulls last, feature
-limit 6""",
-        "baseline_score_histogram": f"""{RANKED},
-edges as (
-    select is_malicious, min(excess_score) as lo, max(excess_score) as hi,
-           case when is_malicious then 40 else 80 end as bins
-    from ranked group by 1
-),
-binned as (
-    select e.is_malicious,
-           least(cast(floor((r.excess_score - e.lo) / (e.hi - e.lo) * e.bins) as int), e.bins - 1) as bin,
-           count(*) as n
-    from ranked r join edges e using (is_malicious) group by 1, 2
-),
-grid as (select *, unnest(range(0, bins))::int as bin from edges)
-select g.is_malicious, g.bin,
-       round(lo + g.bin * ((hi - lo) / bins), 6) as bin_start,
-       round(lo + (g.bin + 1) * ((hi - lo) / bins), 6) as bin_end,
-       coalesce(c.n, 0) as host_hours
-from grid g left join binned c using (is_malicious, bin)""",
+        "baseline_precision_recall_at_k": _precision(RANKED, BASELINES),
+        "baseline_incident_ranks": _incident_ranks(RANKED, BASELINES),
+        "baseline_top_anomalies": _top(RANKED, "heur_rank", "excess_score"),
+        "baseline_feature_importance": _importance(RANKED, "heur_rank"),
+        "baseline_score_histogram": _histogram(RANKED, "excess_score"),
+        "anomaly_scores": f"{SCORED} select agent, hour, anomaly_score from scored",
+        "combined_ranking": f"""{COMBINED}
+select agent, hour, anomaly_score, excess_score, if_rank, heur_rank, volume_rank, combined_rank, combined_position
+from ranked""",
+        "host_hour_scores": f"""{COMBINED}
+select agent, hour, {", ".join(_SHOWN + _MODEL)}, excess_score, anomaly_score, is_malicious, if_rank, heur_rank,
+       volume_rank, combined_rank, combined_position
+from ranked""",
+        "precision_recall_at_k": _precision(COMBINED, METHODS),
+        "incident_ranks": _incident_ranks(COMBINED, METHODS),
+        "top_anomalies": _top(COMBINED, "if_rank", "anomaly_score"),
+        "feature_importance": _importance(COMBINED, "if_rank"),
+        "score_histogram": _histogram(COMBINED, "anomaly_score"),
         "scoring_summary": f"""{RANKED}
 select count(*) as host_hours, count(distinct agent) as hosts,
-       count(case when is_malicious then 1 end) as malicious_host_hours,
-       round(100.0 * count(case when is_malicious then 1 end) / count(*), 2) as malicious_pct
+       count(*) filter (where is_malicious) as malicious_host_hours,
+       round(100.0 * count(*) filter (where is_malicious) / count(*), 2) as malicious_pct
 from ranked""",
     }

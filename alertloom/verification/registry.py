@@ -12,7 +12,7 @@ from alertloom.anomaly import evaluate, features, ranking
 from alertloom.operators import chains
 from alertloom.operators.joins import untriaged_alerts
 from alertloom.plans import bursts, coverage, latency, tuning, volume
-from alertloom.session import shared_dir, stored
+from alertloom.session import scratch_dir, stored
 from alertloom.sources import raw, tables
 from alertloom.verification import derived
 
@@ -31,7 +31,7 @@ def _on_both(fn: Callable[..., DataFrame], **params) -> Query:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _load_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,6 +61,26 @@ def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _truth_path(spark: SparkSession, sf: str) -> str:
+    path = _scratch(spark, "truth")
+    derived.truth_document(spark, sf).write.text(path)
+    return path
+
+
+def _volume_of_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores the alerts by day and reads some days, from and to the middle of one."""
+    path = _scratch(spark, "alerts")
+    tables.write_alerts(derived.alerts(spark, sf), path)
+    return volume.daily_volume_by_severity(tables.read_alerts(spark, path, *derived.DAYS))
+
+
+def _stored_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes the scored table and reads it back."""
+    path = _scratch(spark, "scores")
+    ranking.write_scores(_ranked(spark, sf), path)
+    return ranking.read_scores(spark, path)
+
+
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     return features.host_hour_features(derived.alerts(spark, sf))
 
@@ -115,7 +135,12 @@ def queries() -> dict[str, Query]:
     return {
         "load_alerts": _load_alerts,
         "load_triage": _load_triage,
+        "load_planted": lambda spark, sf: raw.load_planted(spark, _truth_path(spark, sf)),
+        "load_incidents": lambda spark, sf: raw.load_incidents(
+            spark, _truth_path(spark, sf), derived.INCIDENT_HOSTS
+        ),
         "load_counts": _load_counts,
+        "daily_volume_of_days": _volume_of_days,
         "daily_volume_by_severity": _on_alerts(volume.daily_volume_by_severity),
         "chart_daily_volume": _on_alerts(volume.chart_daily_volume),
         "noisy_rules": _on_both(tuning.noisy_rules, **tuned),
@@ -159,7 +184,7 @@ def queries() -> dict[str, Query]:
             "agent", "hour", "anomaly_score"
         ),
         "combined_ranking": _combined,
-        "host_hour_scores": _ranked,
+        "host_hour_scores": _stored_scores,
         "precision_recall_at_k": lambda spark, sf: evaluate.precision_recall_at_k(_ranked(spark, sf)),
         "incident_ranks": lambda spark, sf: evaluate.incident_ranks(
             _ranked(spark, sf), derived.incidents(spark, sf)

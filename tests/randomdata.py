@@ -26,7 +26,7 @@ def tables(seed: int, n: int = 400):
                 f"text {rule} {r.randrange(2)}" if r.random() > 0.05 else None,
                 None,
                 r.choice([None, "Made Up", *S.FEATURE_TACTICS[:6]]),
-                "hot" if hot else r.choice(["h1", "h2", "h3", "h4"]),
+                "hot" if hot else r.choice(["h1", "h2", "h3", "h4", None]),
                 r.choice([None, "10.0.0.1", "10.0.0.2", "192.168.0.1", "8.8.8.8", "9.9.9.9"]),
                 r.choice([None, "u1", "u2", "u3", "u4", "svc", "svc"]),
                 None,

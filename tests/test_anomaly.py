@@ -85,6 +85,36 @@ def test_every_tree_gets_its_full_sample(spark):
         assert sizes == {min(256, n)}
 
 
+def test_one_rule_samples_at_every_size(spark):
+    """Every row has the same chance in every tree, whatever the number of rows."""
+    for n in (10_000, 1_000_000):
+        df = spark.range(n).select(F.concat(F.lit("h"), (F.col("id") % 50).cast("string")).alias("agent"), F.timestamp_seconds(F.col("id")).alias("hour"), "id")
+        got = forest.tree_samples(df, ranking.KEY, n, trees=40)
+        stats = got.agg(F.count_distinct("id"), F.count("*"), F.avg("id")).first()
+        # 40 samples of 256 rows share few rows and lie evenly over the table.
+        distinct = n * (1 - (1 - 256 / n) ** 40)
+        assert stats[1] == 40 * 256
+        assert abs(stats[0] - distinct) < 0.02 * distinct
+        assert abs(stats[2] / n - 0.5) < 0.02
+
+
+def test_unknown_host_keeps_its_row_and_its_flag(spark):
+    rows = [(f"a{i}", START, "r", 15, "t", None, None, None, None, "u", None, None) for i in range(2)]
+    alerts = spark.createDataFrame(rows, S.ALERTS)
+    truth = ranking.malicious_host_hours(alerts, alerts.select("alert_id"))
+    got = ranking.flag_malicious(ranking.excess_table(alerts), truth).collect()
+    assert [(r["agent"], r["is_malicious"]) for r in got] == [(None, True)]
+
+
+def test_scores_are_written_and_read_back(spark, tmp_path):
+    rows = [("h", START + dt.timedelta(hours=13 * i), float(i)) for i in range(5)]
+    scores = spark.createDataFrame(rows, "agent string, hour timestamp, anomaly_score double")
+    ranking.write_scores(scores, str(tmp_path / "s"))
+    back = ranking.read_scores(spark, str(tmp_path / "s"))
+    assert back.columns == scores.columns
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
 def test_path_normaliser():
     assert list(forest.expected_path(np.array([1, 2]))) == [0, 1]
     harmonic = math.log(255) + np.euler_gamma
@@ -92,7 +122,7 @@ def test_path_normaliser():
 
 
 def test_identical_points_grow_no_tree():
-    nodes = forest.grow_tree(np.ones((10, 2)), np.random.default_rng(0), 4)
+    nodes = forest.grow_tree(np.ones((10, 2)), lambda place: forest.draws(0, 0, place), 4)
     assert nodes == [(-1, 0.0, -1, -1, 10, 0)]
 
 

@@ -6,6 +6,8 @@ import pytest
 from randomdata import frames
 
 import __spark_entry__ as entry
+from alertloom import reports
+from alertloom.operators import chains, joins
 from alertloom.plans import bursts, coverage, volume
 from alertloom.sources import tables
 
@@ -54,3 +56,42 @@ def test_filters_reach_the_scan(stored):
         assert "level#" not in columns or "GreaterThanOrEqual(level,7)" in pushed
     (_, pushed), = scans(bursts.top_source_ips(stored[0]))
     assert "Not(StringStartsWith(src_ip,10.))" in pushed
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def by_alert(df):
+    return plan(df).count("Exchange hashpartitioning(alert_id")
+
+
+def test_latency_moves_triage_and_alerts_once(stored, no_broadcast):
+    assert by_alert(joins.triage_latency(*stored, "level")) == 2
+
+
+def test_reports_share_one_join_of_all_alerts(stored, no_broadcast, monkeypatch):
+    joined = []
+    shared = joins.triaged_alerts(*stored)
+    monkeypatch.setattr(reports, "triaged_alerts", lambda a, t: joined.append(1) or shared)
+    results = reports.run(*stored)
+    # One exchange for alerts and one for triage, once; then no report joins alerts with triage again.
+    assert joined == [1] and by_alert(shared) == 2
+    for name in ("noisy_rules", "mitre_coverage", "untriaged_high_severity", "weekly_trend_after_tuning"):
+        assert by_alert(results[name]) == 0, name
+
+
+def test_chains_carry_tactics_and_not_times(spark, stored, no_broadcast):
+    severe = chains._severe(stored[0], 8)
+    window = 7200 * 10**6
+    text = plan(chains._candidates(severe, 3, window))
+    assert "NestedLoop" not in text and "Broadcast" not in text
+    anchors = severe.select("agent", "src_user", "t").withColumn("slot", chains.slot_of(chains.F.col("t"), window))
+    by_host = chains._seen_by(anchors, chains._tactic_times(severe, window), chains.HOST, "agent", window)
+    # What goes on to the join by user are names, not the list of times.
+    assert dict(by_host.dtypes)["agent_tactics"] == "array<string>" and "times" not in by_host.columns
+

@@ -5,10 +5,13 @@ import pytest
 from compare import differences, spark_rows, sql_rows
 from randomdata import frames, load_duckdb
 
-from alertloom.anomaly import features, ranking
+from pyspark.sql import functions as F
+
+from alertloom.anomaly import evaluate, features, ranking
 from alertloom.operators.chains import attack_chains
 from alertloom.operators.joins import untriaged_alerts
 from alertloom.plans import bursts, coverage, latency, tuning, volume
+from alertloom.session import stored
 from alertloom.verification import oracle
 
 MIN_ALERTS = 90
@@ -32,7 +35,25 @@ OPERATORS = {
     "tuning_candidates": lambda a, t: volume.tuning_candidates(a, t, min_alerts=MIN_ALERTS),
     "weekly_trend_after_tuning": lambda a, t: volume.weekly_trend_after_tuning(a, t, min_alerts=MIN_ALERTS),
     "host_hour_features": lambda a, t: features.host_hour_features(a),
+    "host_hour_excess": lambda a, t: _rounded(features.host_hour_excess(features.host_hour_features(a))),
+    "baseline_ranking": lambda a, t: _ranked(a).select(*BASELINE),
+    "baseline_precision_recall_at_k": lambda a, t: evaluate.precision_recall_at_k(_ranked(a), methods=evaluate.BASELINES),
 }
+BASELINE = ["agent", "hour", "alerts", "excess_score", "is_malicious", "heur_rank", "volume_rank"]
+
+
+def _rounded(excess):
+    model = features.model_features()
+    return excess.select("agent", "hour", *[F.round(c, 9).alias(c) for c in model], "excess_score")
+
+
+def _planted(alerts):
+    return alerts.filter("level = 15 and rule_id = 'r1'").select("alert_id")
+
+
+def _ranked(alerts):
+    truth = ranking.malicious_host_hours(alerts, _planted(alerts))
+    return ranking.baseline_ranking(stored(ranking.flag_malicious(ranking.excess_table(alerts), truth)))
 
 
 def expected(con, name):
@@ -90,6 +111,5 @@ def test_latency(spark, con, name, seed):
 def test_malicious_host_hours(spark, con, seed):
     load_duckdb(con, seed)
     a, _ = frames(spark, seed)
-    planted = a.filter("level = 15 and rule_id = 'r1'").select("alert_id")
-    mine = spark_rows(ranking.malicious_host_hours(a, planted))
+    mine = spark_rows(ranking.malicious_host_hours(a, _planted(a)))
     assert differences(mine, expected(con, "malicious_host_hours")) == []

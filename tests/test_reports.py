@@ -139,6 +139,6 @@ def test_quantiles_of_a_wide_histogram(spark):
 def test_settings_grow_with_the_data():
     from alertloom.session import sized_settings
 
-    assert sized_settings(10**6)["spark.sql.shuffle.partitions"] == "200"
-    assert sized_settings(10**12)["spark.sql.shuffle.partitions"] == "7451"
-    assert sized_settings(10**14)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_settings(10**6)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+    assert sized_settings(10**12)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "7451"
+    assert sized_settings(10**14)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "745059"
