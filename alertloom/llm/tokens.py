@@ -23,8 +23,8 @@ SPECIAL = "<|endoftext|>"
 # Characters up to here have a class; texts with others are not split here.
 _KNOWN = 0x250
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
-# New pieces beyond this number start the cache anew, which bounds its memory at about 200 MB.
-_MOST_CACHED = 1_200_000
+# New pieces beyond this number start the cache anew, which bounds its memory at about 100 MB.
+_MOST_CACHED = 3_000_000
 _SUFFIXES = ("s", "t", "m", "d", "re", "ve", "ll")
 
 
@@ -54,7 +54,8 @@ class Tokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self._known: dict[int, int] = {}
+        # Hashes of the encoded pieces, sorted, and the number of each.
+        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self._flat = np.zeros(1 << 16, np.uint16)
         self._bounds = np.zeros(1 << 16, np.int64)
         self._size = 0
@@ -71,6 +72,14 @@ class Tokenizer:
 
     def _encode(self, texts: Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
         raw = [texts.raw(i).decode() for i in range(len(texts))]
+        joined = "".join(raw)
+        if self._is_plain(joined):
+            ids, at = self._encode_plain(raw)
+            out = np.full(len(ids) + len(raw), end, np.uint32)
+            own = np.ones(len(out), bool)
+            own[at[1:] + np.arange(len(raw))] = False
+            out[own] = ids
+            return out, np.diff(at) + 1
         plain = [self._is_plain(t) for t in raw]
         chosen = [t for t, p in zip(raw, plain) if p]
         ids, at = self._encode_plain(chosen)
@@ -88,7 +97,8 @@ class Tokenizer:
 
     @staticmethod
     def _is_plain(text: str) -> bool:
-        return (text.isascii() or max(text) < chr(_KNOWN)) and "<|" not in text
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        return "<|" not in text and not (code >= _KNOWN).any()
 
     def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
@@ -117,33 +127,39 @@ class Tokenizer:
             for i in np.flatnonzero(lengths > len(_POWER)):
                 keys[i] = np.uint64(hash(joined[starts[i] : ends[i]]) & (2**64 - 1))
         distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self._known) + len(distinct) > _MOST_CACHED:
+        if len(self._keys) + len(distinct) > _MOST_CACHED:
             self._clear()
-        known = self._known
-        numbers = np.array([known.get(k, -1) for k in distinct.tolist()], np.int64)
-        new = np.flatnonzero(numbers < 0)
+        spots = np.searchsorted(self._keys, distinct)
+        if len(self._keys):
+            known = self._keys[np.minimum(spots, len(self._keys) - 1)] == distinct
+        else:
+            known = np.zeros(len(distinct), bool)
+        new = np.flatnonzero(~known)
         if len(new):
-            spots = first[new]
-            words = [joined[a:b] for a, b in zip(starts[spots].tolist(), ends[spots].tolist())]
-            for j, key, ids in zip(new.tolist(), distinct[new].tolist(), self._encode_pieces(words)):
-                numbers[j] = known[key] = self._add(ids)
-        return numbers[back]
-
-    def _encode_pieces(self, words: list[str]):
+            at = first[new]
+            words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            added = self._add(words)
+            self._numbers = np.insert(self._numbers, spots[new], added)
+            self._keys = np.insert(self._keys, spots[new], distinct[new])
+            spots = np.searchsorted(self._keys, distinct)
+        return self._numbers[spots[back]]
+
+    def _add(self, words: list[str]) -> np.ndarray:
+        """Encode new pieces; their numbers."""
+        pieces = []
         for low in range(0, len(words), 4096):
-            for x in self._library.encode_batch_fast(words[low : low + 4096], add_special_tokens=False):
-                yield x.ids
-
-    def _add(self, ids: list[int]) -> int:
-        number = len(self._known)
-        if number + 2 > len(self._bounds):
+            pieces += [x.ids for x in self._library.encode_batch_fast(words[low : low + 4096], add_special_tokens=False)]
+        lengths = np.array([len(x) for x in pieces])
+        flat = np.fromiter((i for x in pieces for i in x), np.uint16, int(lengths.sum()))
+        number = len(self._keys)
+        while number + len(words) + 1 > len(self._bounds):
             self._bounds = np.concatenate([self._bounds, np.zeros_like(self._bounds)])
-        while self._size + len(ids) > len(self._flat):
+        while self._size + len(flat) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-        self._flat[self._size : self._size + len(ids)] = ids
-        self._size += len(ids)
-        self._bounds[number + 1] = self._size
-        return number
+        self._flat[self._size : self._size + len(flat)] = flat
+        self._bounds[number + 1 : number + len(words) + 1] = self._size + np.cumsum(lengths)
+        self._size += len(flat)
+        return np.arange(number, number + len(words))
 
 
 def split(code: np.ndarray, firsts: np.ndarray) -> np.ndarray:
