@@ -13,8 +13,8 @@ are of each size. Rarity comes from counts over all documents in a table of fixe
 shingles that meet a frequent one look frequent; any order finds the same links, only at another cost.
 
 For groups of links (`jaccard_components`) not every pair is needed. In each list, members are first
-compared with one member chosen by a hash of the shingle. Then every pair that is still in different groups is
-compared, so no link is lost. Pairs whose sizes, places in the order or parity bits already rule a
+compared with one member chosen by a hash of the shingle, then those outside the list's largest group with a
+few of that group. Last, every pair that is still in different groups is compared, so no link is lost. Pairs whose sizes, places in the order or parity bits already rule a
 link out are not compared. Comparing means intersecting whole sets, of whole texts.
 
 Defined cases: null or empty texts and texts without words have no shingles and link with nothing;
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom.llm.graph import components
-from alertloom.llm.text import SPACE, Texts, Words, mix
+from alertloom.llm.text import SPACE, Texts, Words, columns_of, mix
 from alertloom.session import stored
 
 SHINGLE = 4
@@ -45,6 +45,8 @@ SHINGLE = 4
 PERCENT = 85
 LARGEST_LIGHT = 32
 VERIFY_COST = 8
+# Members of a list's largest group that others in the list are compared with before all pairs are.
+LEADERS = 4
 BIT_WORDS = 8
 
 
@@ -266,14 +268,31 @@ def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return pairs.select(*_pair("x", "l")).distinct()
 
 
+def _mixed(entries: DataFrame) -> DataFrame:
+    """The lists whose members are in several groups, with each list's largest group as `main`."""
+    sizes = entries.groupBy("token", "group").agg(F.count("*").alias("c"))
+    lists = sizes.groupBy("token").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"))
+    return entries.join(lists.where("groups > 1").drop("groups"), "token")
+
+
+def _main_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """In mixed lists, the members outside the largest group with a few of that group."""
+    mixed = _mixed(entries)
+    kept = [c for c in entries.columns if c != "token"]
+    picked = [F.min_by(F.struct(*kept), F.struct(F.xxhash64("token", "node", F.lit(i)), "node")) for i in range(LEADERS)]
+    leaders = mixed.where("group = main").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("l"))
+    leaders = leaders.select("token", F.explode("l").alias("l")).select("token", "l.*")
+    rest = mixed.where("group != main").alias("x")
+    pairs = rest.join(leaders.alias("l"), F.expr("x.token = l.token") & _may_link("x", "l", percent))
+    return pairs.select(*_pair("x", "l")).distinct()
+
+
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list that are in different groups. `entries` has a column group.
 
     In each list the members outside its largest group are compared with all others.
     """
-    sizes = entries.groupBy("token", "group").agg(F.count("*").alias("c"))
-    lists = sizes.groupBy("token").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"))
-    mixed = entries.join(lists.where("groups > 1").drop("groups"), "token")
+    mixed = _mixed(entries)
     rest = mixed.where("group != main").alias("x")
     once = F.expr("x.token = y.token and x.group != y.group and (y.group = y.main or x.node < y.node)")
     return rest.join(mixed.alias("y"), once & _may_link("x", "y", percent)).select(*_pair("x", "y")).distinct()
@@ -353,16 +372,22 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def _groups(p: _Prepared, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, component) for every class with a link."""
-    star = stored(_star_pairs(p.entries, percent))
-    links = stored(_linked(docs, p.classes, star, k, percent).union(p.light))
-    found = stored(components(links))
-    grouped = p.entries.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    rest = stored(_cross_pairs(grouped, percent).join(star, ["a", "b"], "left_anti"))
-    if rest.isEmpty():
-        return found
-    more = _linked(docs, p.classes, rest, k, percent)
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    """(node, component) for every class with a link.
+
+    Three rounds: one member of each list with all others; what is left outside a list's largest group
+    with a few of that group; every pair still in different groups.
+    """
+    done = stored(_star_pairs(p.entries, percent))
+    found = stored(components(_linked(docs, p.classes, done, k, percent).union(p.light)))
+    for compared in (_main_pairs, _cross_pairs):
+        grouped = p.entries.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+        pairs = stored(compared(grouped, percent).join(done, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        links = _linked(docs, p.classes, pairs, k, percent)
+        found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)))
+        done = done.union(pairs)
+    return found
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -400,4 +425,4 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
         name = f"_{name}"
     kept = _labelled(docs, k, percent).where("is_kept").select(F.col("row").alias(name))
     numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return numbered.join(kept, name, "left_semi").select(*docs.columns)
+    return numbered.join(kept, name, "left_semi").select(*columns_of(docs))
