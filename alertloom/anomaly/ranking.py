@@ -54,14 +54,26 @@ def anomaly_scores(
     return isolation_forest(table, KEY, model_features(), trees, sample_size, seed)
 
 
-def _order(col: str) -> list[Column]:
-    return [F.col(col).desc_nulls_last(), *_by_key()]
-
-
 def _by_key() -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in KEY]
 
 
+def _ranks(rows: DataFrame, scores: dict[str, str]) -> DataFrame:
+    """Per host-hour one rank for each entry of `scores` (rank -> score), all from one sort.
+
+    The rankings are stacked and sorted one after the other; a rank is the place behind the first row of
+    its ranking. Ties go to the first (agent, hour).
+    """
+    stack = F.array(*[F.struct(F.lit(name).alias("_which"), F.col(score).cast("double").alias("_score")) for name, score in scores.items()])
+    placed = global_rank(
+        rows.select(*KEY, F.inline(stack)), [F.col("_which"), F.col("_score").desc_nulls_last(), *_by_key()], "_place"
+    )
+    # One row for each ranking.
+    first = placed.groupBy("_which").agg(F.min("_place").alias("_first"))
+    ranked = placed.join(F.broadcast(first), "_which").withColumn("_rank", F.col("_place") - F.col("_first") + 1)
+    return ranked.groupBy(*KEY).agg(*[F.max(F.when(F.col("_which") == name, F.col("_rank"))).alias(name) for name in scores])
+
+
 def _with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """Ranks were found on keys and scores only; each host-hour gets its own back."""
     names = [c for c in ranks.columns if c not in rows.columns]
@@ -69,8 +81,7 @@ def _with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     return rows.join(own, same_key("_")).select(*rows.columns, *names)
 
 
-def _baselines(narrow: DataFrame) -> DataFrame:
-    return global_rank(global_rank(narrow, _order("excess_score"), "heur_rank"), _order("alerts"), "volume_rank")
+BASELINES = {"heur_rank": "excess_score", "volume_rank": "alerts"}
 
 
 def baseline_ranking(rows: DataFrame) -> DataFrame:
@@ -78,7 +89,7 @@ def baseline_ranking(rows: DataFrame) -> DataFrame:
 
     Sorting samples its input first: pass a stored table.
     """
-    return _with_ranks(rows, _baselines(rows.select(*KEY, "excess_score", "alerts")))
+    return _with_ranks(rows, _ranks(rows, BASELINES))
 
 
 def combined_ranking(scored: DataFrame) -> DataFrame:
@@ -86,11 +97,11 @@ def combined_ranking(scored: DataFrame) -> DataFrame:
 
     `combined_rank` is the better of the forest's and the heuristic's rank; `combined_position`
     is the place in that order, where of two equal ranks the higher score goes first. Only keys and
-    scores are sorted; the wide rows move once, to meet their ranks. Pass a stored table.
+    scores are sorted, twice; the wide rows move once, to meet their ranks. Pass a stored table.
     """
-    narrow = scored.select(*KEY, "anomaly_score", "excess_score", "alerts")
-    ranked = _baselines(global_rank(narrow, _order("anomaly_score"), "if_rank"))
-    ranked = ranked.withColumn("combined_rank", F.least("if_rank", "heur_rank"))
+    three = _ranks(scored, {"if_rank": "anomaly_score", **BASELINES})
+    narrow = _with_ranks(scored.select(*KEY, "anomaly_score"), three)
+    ranked = narrow.withColumn("combined_rank", F.least("if_rank", "heur_rank"))
     order = [F.col("combined_rank"), F.col("anomaly_score").desc_nulls_last(), *_by_key()]
     return _with_ranks(scored, global_rank(ranked, order, "combined_position"))
 
