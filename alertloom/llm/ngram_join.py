@@ -19,6 +19,7 @@ link out are not compared. Comparing means intersecting whole sets, of whole tex
 
 Defined cases: null or empty texts and texts without words have no shingles and link with nothing;
 their group is their own id. Texts with fewer words than a shingle have one, their whole sequence.
+`docs` must give its rows in the same parts when read twice, as files do.
 A group's id is its smallest non-null doc_id. Equal texts always link. Only doc_id and text are read.
 Shingles are compared by 64-bit hashes, classes by two of these.
 """
@@ -236,22 +237,27 @@ def _listed(classes: DataFrame, light: int, percent: int) -> DataFrame:
     """The entries of all inverted lists with two members or more."""
     listable = classes.where((F.col("n") > light) | (100 * F.col("n") >= percent * (light + 1)))
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    entries = listable.select("node", "n", *_BITS, F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("pos", "token"))
-    narrow = entries.select("token", "node", "n", "pos")
-    often = narrow.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    live = stored(narrow.join(often, "token"))
-    # The bits are only fetched for sets that have an entry.
-    return stored(live.join(classes.select("node", *_BITS), "node"))
+    entries = listable.select("node", "n", F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("pos", "token"))
+    often = entries.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    return stored(entries.join(often, "token"))
+
+
+def _need(a: str, b: str, percent: int) -> Column:
+    return F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * percent / (100 + percent))
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """False only for pairs that cannot link: by size, by place in the order, by parity bits."""
+    """False only for pairs that cannot link: by their sizes, or by the token's places in the order."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    need = F.ceil((n + m) * percent / (100 + percent))
     both = F.least(f"{a}.pos", f"{b}.pos") + 1 + F.least(n - F.col(f"{a}.pos") - 1, m - F.col(f"{b}.pos") - 1)
-    apart = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _BITS)
     fits = (100 * n >= percent * m) & (100 * m >= percent * n)
-    return fits & (both >= need) & (apart <= n + m - 2 * need)
+    return fits & (both >= _need(a, b, percent))
+
+
+def _bits_allow(a: str, b: str, percent: int) -> Column:
+    """False only for pairs that cannot link: each parity bit that differs is a shingle that one set lacks."""
+    apart = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _BITS)
+    return apart <= F.col(f"{a}.n") + F.col(f"{b}.n") - 2 * _need(a, b, percent)
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -259,43 +265,44 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
 
 
-def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Each list's members with one of them, another one for each list of the same members."""
-    kept = [c for c in entries.columns if c != "token"]
-    chosen = F.min_by(F.struct(*kept), F.struct(F.xxhash64("token", "node"), "node"))
+    chosen = F.min_by(F.struct("node", "n", "pos"), F.struct(F.xxhash64("token", "node"), "node"))
     leaders = entries.groupBy("token").agg(chosen.alias("l")).select("token", "l.*")
     pairs = entries.alias("x").join(leaders.alias("l"), F.expr("x.token = l.token and x.node != l.node") & _may_link("x", "l", percent))
-    return pairs.select(*_pair("x", "l")).distinct()
+    found = pairs.select(*_pair("x", "l")).distinct()
+    known = found.join(bits.alias("x"), F.col("a") == F.col("x.node")).join(bits.alias("y"), F.col("b") == F.col("y.node"))
+    return known.where(_bits_allow("x", "y", percent)).select("a", "b")
 
 
-def _mixed(entries: DataFrame) -> DataFrame:
-    """The lists whose members are in several groups, with each list's largest group as `main`."""
+def _mixed(entries: DataFrame, bits: DataFrame, least: int) -> DataFrame:
+    """Lists of `least` members or more in several groups, with each list's largest group as `main`, and bits."""
     sizes = entries.groupBy("token", "group").agg(F.count("*").alias("c"))
-    lists = sizes.groupBy("token").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"))
-    return entries.join(lists.where("groups > 1").drop("groups"), "token")
+    lists = sizes.groupBy("token").agg(
+        F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"), F.sum("c").alias("size")
+    )
+    chosen = lists.where((F.col("groups") > 1) & (F.col("size") >= least)).select("token", "main")
+    return stored(entries.join(chosen, "token").join(bits.drop("n"), "node"))
 
 
-def _main_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def _main_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     """In mixed lists, the members outside the largest group with a few of that group."""
-    mixed = _mixed(entries)
-    kept = [c for c in entries.columns if c != "token"]
+    kept = [c for c in mixed.columns if c not in ("token", "group", "main")]
     picked = [F.min_by(F.struct(*kept), F.struct(F.xxhash64("token", "node", F.lit(i)), "node")) for i in range(LEADERS)]
     leaders = mixed.where("group = main").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("l"))
     leaders = leaders.select("token", F.explode("l").alias("l")).select("token", "l.*")
     rest = mixed.where("group != main").alias("x")
-    pairs = rest.join(leaders.alias("l"), F.expr("x.token = l.token") & _may_link("x", "l", percent))
+    possible = _may_link("x", "l", percent) & _bits_allow("x", "l", percent)
+    pairs = rest.join(leaders.alias("l"), F.expr("x.token = l.token") & possible)
     return pairs.select(*_pair("x", "l")).distinct()
 
 
-def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list that are in different groups. `entries` has a column group.
-
-    In each list the members outside its largest group are compared with all others.
-    """
-    mixed = _mixed(entries)
+def _cross_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a mixed list that are in different groups: members outside its largest with all others."""
     rest = mixed.where("group != main").alias("x")
     once = F.expr("x.token = y.token and x.group != y.group and (y.group = y.main or x.node < y.node)")
-    return rest.join(mixed.alias("y"), once & _may_link("x", "y", percent)).select(*_pair("x", "y")).distinct()
+    possible = _may_link("x", "y", percent) & _bits_allow("x", "y", percent)
+    return rest.join(mixed.alias("y"), once & possible).select(*_pair("x", "y")).distinct()
 
 
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -357,15 +364,16 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     square of a group of near copies; where only the groups matter, use `jaccard_components`.
     """
     p = _prepare(docs, k, percent)
+    bits = p.classes.select("node", "n", *_BITS)
     alone = p.entries.withColumn("group", F.col("node"))
-    pairs = stored(_cross_pairs(alone, percent))
+    pairs = stored(_cross_pairs(_mixed(alone, bits, 2), percent))
     # The light links found lead to the smallest set only; for all pairs, light sets are listed too.
     light = p.light.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     small = p.classes.where(F.col("n") <= LARGEST_LIGHT)
-    lists = small.select("node", "n", *_BITS, F.posexplode("tokens").alias("pos", "token"))
+    lists = small.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
     lists = lists.where(F.col("pos") < length).withColumn("group", F.col("node"))
-    every = stored(pairs.union(_cross_pairs(lists, percent)).distinct())
+    every = stored(pairs.union(_cross_pairs(_mixed(lists, bits, 2), percent)).distinct())
     links = _linked(docs, p.classes, every, k, percent).union(light).distinct()
     members = p.sets.where("n > 0").join(p.classes.select("n", "s1", "s2", "node"), ["n", "s1", "s2"])
     return links, members.select("node", "doc_id")
@@ -374,14 +382,16 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
 def _groups(p: _Prepared, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) for every class with a link.
 
-    Three rounds: one member of each list with all others; what is left outside a list's largest group
-    with a few of that group; every pair still in different groups.
+    Three rounds: one member of each list with all others, which is all there is to compare in lists of two;
+    what is left outside a list's largest group with a few of that group; every pair still in
+    different groups.
     """
-    done = stored(_star_pairs(p.entries, percent))
+    bits = p.classes.select("node", "n", *_BITS)
+    done = stored(_star_pairs(p.entries, bits, percent))
     found = stored(components(_linked(docs, p.classes, done, k, percent).union(p.light)))
     for compared in (_main_pairs, _cross_pairs):
         grouped = p.entries.join(found, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-        pairs = stored(compared(grouped, percent).join(done, ["a", "b"], "left_anti"))
+        pairs = stored(compared(_mixed(grouped, bits, 3), percent).join(done, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
         links = _linked(docs, p.classes, pairs, k, percent)
