@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from alertloom import schemas as S
+from alertloom import reports, schemas as S
 from alertloom.plans import bursts, coverage, latency, tuning, volume
 from alertloom.verification import derived
+from randomdata import frames as random_frames
 
 DAY = dt.datetime(2026, 8, 3)
 
@@ -142,3 +143,29 @@ def test_settings_grow_with_the_data():
     assert sized_settings(10**6)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
     assert sized_settings(10**12)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "7451"
     assert sized_settings(10**14)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "745059"
+
+
+# Reports that write a part of theirs when they are built; all others only build a plan.
+RUN_JOBS = {"time_to_triage", "triage_by_hour", "attack_chains"}
+
+
+@pytest.mark.parametrize("name", [r.name for r in reports.REPORTS])
+def test_building_a_report_runs_no_jobs_unless_it_says_so(spark, name):
+    a, t = random_frames(spark, 9)
+    group = f"build {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        reports.run(a, t, [name])
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    assert bool(jobs) == (name in RUN_JOBS)
+
+
+def test_scratch_is_dropped_on_request(spark, tmp_path, monkeypatch):
+    from alertloom import session
+
+    monkeypatch.setattr(session, "scratch_dir", lambda spark: str(tmp_path / "scratch"))
+    assert session.stored(spark.range(3)).count() == 3
+    assert session.drop_scratch(spark)
+    assert not (tmp_path / "scratch").exists()
