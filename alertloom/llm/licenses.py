@@ -19,6 +19,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertloom.operators.once import computed_once
 from alertloom.session import stored
 
 # The least coefficient, in percent.
@@ -113,13 +114,13 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percen
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     whole_and_lines = F.concat(F.array("text"), F.split("text", "\n"))
     units = numbered.where("text is not null").select("row", F.posexplode(whole_and_lines).alias("unit", "part"))
-    words = units.select("row", "unit", _normalised(F.col("part")).alias("words"))
+    # Computed once: the bigrams below take the words apart one by one.
+    words = computed_once(units, "words", _normalised(F.col("part"))).drop("part")
     n = F.size("words") - 1
     near = F.lit(False)
     for low, high in bounds:
         near = near | n.between(max(low, 1), high)
     sized = words.where(near).withColumn("n", n)
-    # A function of the place, so that the words are not copied for each bigram.
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat_ws(" ", F.col("words")[i], F.col("words")[i + 1]))
     grams = sized.select("row", "unit", "n", F.explode(pairs).alias("bigram"))
     known = F.broadcast(template_bigrams(spark, templates, percent))
