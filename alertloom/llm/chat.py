@@ -9,7 +9,7 @@ Such matrices multiply (least sum for product), so a conversation is cut into ch
 chunks, and only matrices go up. States at the chunks' borders come down the same way. No task sees
 more than `CHUNK` turns of a conversation together, however long it is.
 
-Defined cases: turns are taken in order of turn (null first), then role, then text. A null conv_id is a
+Defined cases: turns are taken in order of turn (null first), then role, then a hash of the text. A null conv_id is a
 conversation of its own. Null and unknown roles have to be relabelled; null texts are empty. Repeated
 rows are turns of their own. Of equally cheap repairs one is taken, always the same. An empty table
 gives no rows. Other columns are ignored.
@@ -199,8 +199,8 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), chunk: int = CHUNK)
     automaton = Automaton(costs)
     known = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
     label = F.coalesce(known[F.lower(F.trim("role"))], F.lit(0))
-    order = ["conv_id", "turn", "role", "text"]
-    turns = numbered(conversations.select(*order), order, "place")
+    rows = conversations.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("mixed"))
+    turns = numbered(rows, ["conv_id", "turn", "role", "mixed"], "place").drop("mixed")
     spans = turns.groupBy("conv_id").agg(F.min("place").alias("conv"), F.count("*").alias("turns"))
     # Each conversation goes by the number of its first turn, which also tells nulls from ids.
     placed = turns.alias("t").join(spans.alias("s"), F.expr("t.conv_id <=> s.conv_id")).select(
