@@ -1,11 +1,15 @@
 """A context-mixing range coder for token ids, working on many lanes at once.
 
 A block of ids is cut into lanes, each a stretch of the block with a range coder of its own. All lanes take
-a step together as numpy vectors and share one adaptive model, which starts anew in every block. An
-id is coded as hexadecimal digits. For each digit, the digits before it and the last none, one or two
-ids each select a row of adaptive cumulative frequencies; the three rows are mixed with weights learnt for
-how often the longer contexts were seen before. All arithmetic is on whole numbers, so a block decodes
-alike everywhere. A block ends with a checksum of its ids.
+a step together as numpy vectors and share one adaptive model, which starts anew in every block.
+
+Four predictions are mixed for each id: the id last seen after the two ids before (order 2), the last two
+different ids seen after the id before (order 1), and the frequencies of all ids so far (order 0). Their
+weights are learnt for each combination of how well the contexts predicted before. The coder narrows its
+range by the weight of the first prediction that holds and, where none of order 1 or 2 does, by the id's
+frequency. All arithmetic is on whole numbers, so a block decodes alike everywhere.
+
+A block has its own header and ends with a checksum of all before it and of its ids.
 """
 
 from __future__ import annotations
@@ -15,110 +19,102 @@ import zlib
 
 import numpy as np
 
-LANES = 1024
+LANES = 4096
 STEPS = 256
-_TOTAL_BITS = 12
-_TOTAL = 1 << _TOTAL_BITS
-_LEAST = 4
-_WEIGHT_BITS = 4
-_RATES = (5, 4, 2)
-_BITS1, _BITS2 = 16, 18
-_SEEN = 4
-_HEADER = struct.Struct("<4sBIII")
+_HEADER = struct.Struct("<4sBIIII")
 _MAGIC = b"TIDC"
-_W48, _W32 = np.uint64(1 << 48), np.uint64(1 << 32)
-_S16, _S48, _ST = np.uint64(16), np.uint64(48), np.uint64(_TOTAL_BITS)
+# Ids below this are their own symbols; a block with larger ones lists its ids.
+_DIRECT = 1 << 17
 
-# Where the rows move to after each digit: all of the total above it.
-_TARGET = np.where(np.arange(16)[None, :] > np.arange(16)[:, None], _TOTAL, 0).astype(np.int16)
-# Every digit keeps a least share of the mixed total.
-_FLOOR = (np.arange(16) * _LEAST).astype(np.uint16)
-_SCALE = np.uint16(_TOTAL // (16 * _LEAST))
+_WEIGHT_BITS = 12
+_STATES = 4
+_CLASSES = 4 * _STATES * _STATES
+_GAIN, _MOST = 24, 1 << 22
+_BITS1, _BITS2 = 16, 18
+_NOTHING = np.uint32(2**32 - 1)
+
+# The range has 64 bits; 16 leave it at a time, and it is never narrower than 40.
+_S16, _S48, _SW = np.uint64(16), np.uint64(48), np.uint64(_WEIGHT_BITS)
+_ZERO, _W48, _W40 = np.uint64(0), np.uint64(1 << 48), np.uint64(1 << 40)
 
 
 class _Model:
-    """Adaptive frequencies of digits in contexts of order 0, 1 and 2."""
-
-    def __init__(self, lanes: int, digits: int):
-        self.digits = digits
-        start = (np.arange(16) * (_TOTAL // 16)).astype(np.int16)
-        nodes = sum(16**j for j in range(min(digits, 4)))
-        self.tables = [np.tile(start, (n, 1)) for n in (nodes if digits <= 4 else 1 << 17, 1 << _BITS1, 1 << _BITS2)]
-        self.seen = [np.zeros(1 << _BITS1, np.uint8), np.zeros(1 << _BITS2, np.uint8)]
-        self.scores = np.ones((digits, _SEEN * _SEEN, 3), np.int64) * (1 << 14)
-        self.weights = np.zeros((digits, _SEEN * _SEEN, 3), np.uint16)
-        for j in range(digits):
-            self._weigh(j)
-        self.last1 = np.zeros(lanes, np.uint32)
-        self.last2 = np.zeros(lanes, np.uint32)
-        self.lanes = np.arange(lanes)
-
-    def begin(self) -> None:
-        """Start an id in every lane."""
-        self.node = np.zeros(len(self.lanes), np.uint32)
-        self.base = 0
+    """The predictions of all lanes, their weights, and the frequencies of all symbols."""
+
+    def __init__(self, lanes: int, symbols: int):
+        self.second = np.full(1 << _BITS2, _NOTHING)
+        self.first = np.full((2, 1 << _BITS1), _NOTHING)
+        self.trust = [np.zeros(1 << _BITS2, np.uint8), np.zeros(1 << _BITS1, np.uint8)]
+        self.counts = np.ones(symbols, np.uint64)
+        self.total = symbols
+        self.below = np.zeros(symbols + 1, np.uint64)
+        self.last1, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        # How often each prediction was the first to hold, by class; the last column is none.
+        self.held = np.ones((_CLASSES, 4), np.int64)
+        self._weigh()
+        self._sum()
+
+    def _sum(self) -> None:
+        """The frequencies below each symbol; all are halved when their sum gets too large."""
+        if self.total > _MOST:
+            self.counts = (self.counts + np.uint64(1)) >> np.uint64(1)
+            self.total = int(self.counts.sum())
+        np.cumsum(self.counts, out=self.below[1:])
+
+    def _weigh(self) -> None:
+        """Weights from counts, at least one of 2 ** _WEIGHT_BITS for each prediction."""
+        spare = (1 << _WEIGHT_BITS) - 4
+        w = self.held * spare // self.held.sum(axis=1, keepdims=True) + 1
+        w[:, 3] += (1 << _WEIGHT_BITS) - w.sum(axis=1)
+        bounds = np.zeros((_CLASSES, 5), np.int64)
+        np.cumsum(w, axis=1, out=bounds[:, 1:])
+        self.bounds = bounds.astype(np.uint64)
+
+    def predict(self) -> None:
         h = self.last1 * np.uint32(0x9E3779B1)
-        self.h1 = h ^ (h >> np.uint32(15))
-        h = (self.h1 ^ (self.last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
-        self.h2 = h ^ (h >> np.uint32(13))
-
-    def predict(self, j: int) -> np.ndarray:
-        """Lower bounds of the digits' shares of the total, a row for each lane."""
-        node = self.node + np.uint32(self.base)
-        spot = node * np.uint32(0x27D4EB2F)
-        c0 = node if self.digits <= 4 else (spot >> np.uint32(15))
-        c1 = (self.h1 + spot) * np.uint32(0x165667B1) >> np.uint32(32 - _BITS1)
-        c2 = (self.h2 + spot) * np.uint32(0x165667B1) >> np.uint32(32 - _BITS2)
-        self.at = (c0, c1, c2)
-        self.rows = [t.take(c, axis=0) for t, c in zip(self.tables, self.at)]
-        self.kind = self.seen[0].take(c1) * np.uint8(_SEEN) + self.seen[1].take(c2)
-        w = self.weights[j].take(self.kind, axis=0)
-        mixed = self.rows[0].view(np.uint16) * w[:, 0:1]
-        mixed += self.rows[1].view(np.uint16) * w[:, 1:2]
-        mixed += self.rows[2].view(np.uint16) * w[:, 2:3]
-        mixed >>= np.uint16(_WEIGHT_BITS)
-        mixed -= mixed // _SCALE
-        mixed += _FLOOR
-        return mixed
-
-    def update(self, j: int, digit: np.ndarray) -> None:
-        target = _TARGET.take(digit, axis=0)
-        flat = self.lanes * 16 + digit
-        last = digit == 15
-        gained = np.empty((len(digit), 3))
-        for k, (table, at, row) in enumerate(zip(self.tables, self.at, self.rows)):
-            low = row.ravel().take(flat)
-            high = np.where(last, np.int16(_TOTAL), row.ravel().take(np.minimum(flat + 1, row.size - 1)))
-            gained[:, k] = high - low
-            # Of lanes in the same row, the last one's change holds.
-            row += (target - row) >> np.int16(_RATES[k])
-            table[at] = row
-        for k in range(3):
-            more = np.bincount(self.kind, gained[:, k], _SEEN * _SEEN).astype(np.int64)
-            self.scores[j, :, k] += more - (self.scores[j, :, k] >> 5)
-        self._weigh(j)
-        for seen, at in zip(self.seen, self.at[1:]):
-            seen[at] = np.minimum(seen.take(at) + np.uint8(1), np.uint8(_SEEN - 1))
-        self.node = (self.node << np.uint32(4)) | digit.astype(np.uint32)
-        self.base += 16**j
-
-    def _weigh(self, j: int) -> None:
-        squares = (self.scores[j] >> 4) ** 2 + 1
-        total = squares.sum(axis=1)
-        w = (squares << _WEIGHT_BITS) // total[:, None]
-        w[:, 0] += (1 << _WEIGHT_BITS) - w.sum(axis=1)
-        self.weights[j] = w
-
-    def end(self, ids: np.ndarray) -> None:
-        self.last2 = self.last1
-        self.last1 = ids
-
-
-def _shares(bounds: np.ndarray, flat: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    every = bounds.ravel()
-    low = every.take(flat)
-    high = np.where(last, np.uint16(_TOTAL), every.take(np.minimum(flat + 1, every.size - 1)))
-    return low.astype(np.uint64), (high - low).astype(np.uint64)
+        self.at1 = h >> np.uint32(32 - _BITS1)
+        h = (h ^ (h >> np.uint32(15)) ^ (self.last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
+        self.at2 = h >> np.uint32(32 - _BITS2)
+        self.guesses = self.second.take(self.at2), self.first[0].take(self.at1), self.first[1].take(self.at1)
+        self.trusted = self.trust[0].take(self.at2), self.trust[1].take(self.at1)
+        a, b, c = self.guesses
+        kind = self.trusted[0] * np.uint8(_STATES) + self.trusted[1]
+        kind += (a == b).view(np.uint8) * np.uint8(_STATES * _STATES)
+        kind += (a == c).view(np.uint8) * np.uint8(2 * _STATES * _STATES)
+        self.kind = kind.astype(np.intp)
+
+    def which(self, ids: np.ndarray) -> np.ndarray:
+        """The first prediction that holds, 3 for none."""
+        a, b, c = self.guesses
+        out = np.full(len(ids), 3, np.intp)
+        out[c == ids] = 2
+        out[b == ids] = 1
+        out[a == ids] = 0
+        return out
+
+    def share(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        flat = self.kind * 5 + which
+        low = self.bounds.ravel().take(flat)
+        return low, self.bounds.ravel().take(flat + 1) - low
+
+    def update(self, ids: np.ndarray, which: np.ndarray) -> None:
+        self.held += np.bincount(self.kind * 4 + which, minlength=4 * _CLASSES).reshape(_CLASSES, 4)
+        self.held -= self.held >> 4
+        np.maximum(self.held, 1, out=self.held)
+        self._weigh()
+        a, b, _ = self.guesses
+        # Of lanes in the same context, the last one's change holds.
+        for trust, at, old, hit in ((self.trust[0], self.at2, self.trusted[0], a == ids), (self.trust[1], self.at1, self.trusted[1], b == ids)):
+            trust[at] = np.where(hit, np.minimum(old + np.uint8(1), np.uint8(_STATES - 1)), np.uint8(1))
+        self.second[self.at2] = ids
+        moved = np.flatnonzero(b != ids)
+        at, new = self.at1[moved], ids[moved]
+        self.first[1][at] = b[moved]
+        self.first[0][at] = new
+        np.add.at(self.counts, ids, np.uint64(_GAIN))
+        self.total += _GAIN * len(ids)
+        self._sum()
+        self.last2, self.last1 = self.last1, ids
 
 
 def _shape(n: int, lanes: int, steps: int) -> tuple[int, int]:
@@ -126,108 +122,132 @@ def _shape(n: int, lanes: int, steps: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _narrow(low: np.ndarray, width: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    low += width * start
+    width *= size
+
+
+def _settled(low: np.ndarray, width: np.ndarray, among: np.ndarray | None) -> np.ndarray:
+    """Lanes whose highest 16 bits are settled; those that got too narrow are cut to be so."""
+    here, wide = (low, width) if among is None else (low[among], width[among])
+    same = (here ^ (here + wide)) < _W48
+    narrow = (wide < _W40) & ~same
+    if narrow.any():
+        hit = np.flatnonzero(narrow) if among is None else among[narrow]
+        width[hit] = (~low[hit] + np.uint64(1)) & (_W40 - np.uint64(1))
+        same |= narrow
+    return np.flatnonzero(same) if among is None else among[same]
+
+
 def encode_block(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> bytes:
     """The ids, unsigned and below 2**32, as one independent block."""
     ids = np.ascontiguousarray(ids, np.uint32)
     n = len(ids)
-    check = zlib.crc32(ids.astype("<u4").tobytes())
-    if not n:
-        return _HEADER.pack(_MAGIC, 1, 0, 0, 0) + struct.pack("<I", check)
-    digits = max(1, -(-int(ids.max()).bit_length() // 4))
-    lanes, steps = _shape(n, lanes, steps)
+    listed, symbols = np.zeros(0, np.uint32), ids
+    if n and int(ids.max()) >= _DIRECT:
+        listed, symbols = np.unique(ids, return_inverse=True)
+    size = len(listed) or (int(ids.max()) + 1 if n else 0)
+    lanes, steps = _shape(n, lanes, steps) if n else (0, 0)
+    words = _encode(symbols.astype(np.uint32), size, lanes, steps) if n else b""
+    body = _HEADER.pack(_MAGIC, len(listed) > 0, n, lanes, steps, size) + listed.astype("<u4").tobytes() + words
+    return body + struct.pack("<II", zlib.crc32(body), zlib.crc32(ids.astype("<u4").tobytes()))
+
+
+def _encode(ids: np.ndarray, symbols: int, lanes: int, steps: int) -> bytes:
     full = np.zeros(lanes * steps, np.uint32)
-    full[:n] = ids
+    full[: len(ids)] = ids
     columns = np.ascontiguousarray(full.reshape(lanes, steps).T)
-    model = _Model(lanes, digits)
+    model = _Model(lanes, symbols)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     where: list[np.ndarray] = []
     what: list[np.ndarray] = []
     for now in columns:
-        model.begin()
-        for j in range(digits):
-            digit = ((now >> np.uint32(4 * (digits - 1 - j))) & np.uint32(15)).astype(np.int64)
-            bounds = model.predict(j)
-            start, size = _shares(bounds, model.lanes * 16 + digit, digit == 15)
-            width >>= _ST
-            low += width * start
-            width *= size
-            while True:
-                lanes_out = _settled(low, width)
-                if not len(lanes_out):
-                    break
-                where.append(lanes_out)
-                what.append((low[lanes_out] >> _S48).astype(np.uint16))
-                low[lanes_out] <<= _S16
-                width[lanes_out] <<= _S16
-            model.update(j, digit)
-        model.end(now)
-    for shift in (48, 32, 16, 0):
-        where.append(model.lanes)
+        model.predict()
+        which = model.which(now)
+        width >>= _SW
+        _narrow(low, width, *model.share(which))
+        none = which == 3
+        total = np.uint64(model.total)
+        width //= total
+        _narrow(low, width, np.where(none, model.below.take(now), _ZERO), np.where(none, model.counts.take(now), total))
+        out = _settled(low, width, None)
+        while len(out):
+            where.append(out)
+            what.append((low[out] >> _S48).astype(np.uint16))
+            low[out] <<= _S16
+            width[out] <<= _S16
+            out = _settled(low, width, out)
+        model.update(now, which)
+    # 24 bits tell any number in a range of 40 from all others; the decoder reads zeros after them.
+    low += _W40 - np.uint64(1)
+    low &= ~(_W40 - np.uint64(1))
+    every = np.arange(lanes)
+    for shift in (48, 32):
+        where.append(every)
         what.append((low >> np.uint64(shift)).astype(np.uint16))
     lane = np.concatenate(where)
     words = np.concatenate(what)[np.argsort(lane, kind="stable")]
-    lengths = np.bincount(lane, minlength=lanes).astype("<u4")
-    head = _HEADER.pack(_MAGIC, digits, n, lanes, steps)
-    return head + lengths.tobytes() + words.astype("<u2").tobytes() + struct.pack("<I", check)
-
-
-def _settled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Lanes whose highest 16 bits are settled; those that got too narrow are cut to be so."""
-    same = (low ^ (low + width)) < _W48
-    narrow = (width < _W32) & ~same
-    if narrow.any():
-        width[narrow] = (~low[narrow] + np.uint64(1)) & (_W32 - np.uint64(1))
-        same |= narrow
-    return np.flatnonzero(same)
+    return np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + words.astype("<u2").tobytes()
 
 
 def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; an error if the block is damaged."""
-    magic, digits, n, lanes, steps = _HEADER.unpack_from(block)
-    if magic != _MAGIC:
+    if len(block) < _HEADER.size + 8 or block[:4] != _MAGIC:
         raise ValueError("not a block of token ids")
-    (check,) = struct.unpack("<I", block[-4:])
-    ids = _decode(block, digits, n, lanes, steps) if n else np.zeros(0, np.uint32)
-    if zlib.crc32(ids.astype("<u4").tobytes()) != check:
+    body, (whole, check) = block[:-8], struct.unpack("<II", block[-8:])
+    if zlib.crc32(body) != whole:
         raise ValueError("the checksum of a block does not hold")
+    _, is_listed, n, lanes, steps, symbols = _HEADER.unpack_from(body)
+    at = _HEADER.size
+    listed = np.frombuffer(body, "<u4", symbols if is_listed else 0, at)
+    ids = _decode(body[at + 4 * len(listed) :], symbols, n, lanes, steps) if n else np.zeros(0, np.uint32)
+    if is_listed:
+        ids = listed.astype(np.uint32)[ids]
+    if zlib.crc32(ids.astype("<u4").tobytes()) != check:
+        raise ValueError("the checksum of a block's ids does not hold")
     return ids
 
 
-def _decode(block: bytes, digits: int, n: int, lanes: int, steps: int) -> np.ndarray:
-    lengths = np.frombuffer(block, "<u4", lanes, _HEADER.size).astype(np.int64)
-    words = np.frombuffer(block[_HEADER.size + 4 * lanes : -4], "<u2").astype(np.uint64)
-    if len(words) != lengths.sum():
-        raise ValueError("a block is cut off")
-    words = np.append(words, np.zeros(4, np.uint64))
-    at = np.cumsum(lengths) - lengths
+def _decode(data: bytes, symbols: int, n: int, lanes: int, steps: int) -> np.ndarray:
+    lengths = np.frombuffer(data, "<u4", lanes).astype(np.int64)
+    words = np.frombuffer(data, "<u2", offset=4 * lanes).astype(np.uint64)
+    # Each lane ends in zeros, so that none reads what belongs to the next.
+    ends = np.cumsum(lengths)
+    padded = np.zeros(len(words) + 4 * lanes, np.uint64)
+    padded[np.arange(len(words)) + 4 * np.repeat(np.arange(lanes), lengths)] = words
+    at = ends - lengths + 4 * np.arange(lanes)
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
-        code = (code << _S16) | words[at]
+        code = (code << _S16) | padded[at]
         at += 1
-    model = _Model(lanes, digits)
+    model = _Model(lanes, symbols)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     out = np.zeros((steps, lanes), np.uint32)
-    most = np.uint64(_TOTAL - 1)
-    end = len(words) - 1
+    most = np.uint64((1 << _WEIGHT_BITS) - 1)
+    end = len(padded) - 1
     for t in range(steps):
-        model.begin()
-        for j in range(digits):
-            bounds = model.predict(j)
-            width >>= _ST
-            value = np.minimum((code - low) // np.maximum(width, np.uint64(1)), most).astype(np.uint16)
-            digit = (bounds <= value[:, None]).sum(axis=1) - 1
-            start, size = _shares(bounds, model.lanes * 16 + digit, digit == 15)
-            low += width * start
-            width *= size
-            while True:
-                lanes_in = _settled(low, width)
-                if not len(lanes_in):
-                    break
-                low[lanes_in] <<= _S16
-                width[lanes_in] <<= _S16
-                code[lanes_in] = (code[lanes_in] << _S16) | words[np.minimum(at[lanes_in], end)]
-                at[lanes_in] += 1
-            model.update(j, digit)
-        out[t] = model.node
-        model.end(out[t])
+        model.predict()
+        width >>= _SW
+        value = np.minimum((code - low) // width, most)
+        bounds = model.bounds.take(model.kind, axis=0)
+        which = (value[:, None] >= bounds[:, 1:4]).sum(axis=1)
+        _narrow(low, width, *model.share(which))
+        total = np.uint64(model.total)
+        width //= total
+        value = np.minimum((code - low) // width, total - np.uint64(1))
+        none = which == 3
+        found = np.flatnonzero(none)
+        ids = np.where(which == 0, model.guesses[0], np.where(which == 1, model.guesses[1], model.guesses[2]))
+        ids[found] = np.searchsorted(model.below, value[found], side="right") - 1
+        ids[ids >= symbols] = 0  # only in a damaged block, which the checksum tells
+        _narrow(low, width, np.where(none, model.below.take(ids), _ZERO), np.where(none, model.counts.take(ids), total))
+        read = _settled(low, width, None)
+        while len(read):
+            low[read] <<= _S16
+            width[read] <<= _S16
+            code[read] = (code[read] << _S16) | padded[np.minimum(at[read], end)]
+            at[read] += 1
+            read = _settled(low, width, read)
+        out[t] = ids
+        model.update(ids, which)
     return out.T.reshape(-1)[:n].copy()
