@@ -21,6 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    prepare(spark)
     return ngram_join.drop_near_copies(docs)
 
 
@@ -31,11 +32,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced in their texts."""
+    prepare(spark)
     return pii.redact_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences."""
+    prepare(spark)
     return packing.pack_documents(docs)
 
 
@@ -56,7 +59,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
-        out = stage(prepare(spark), docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         path = f"{folder}/{number}-{name}"
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
