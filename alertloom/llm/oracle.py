@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from alertloom.llm import chat
 from alertloom.llm.licenses import PERCENT, TEMPLATES, bigrams_of
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -153,8 +154,72 @@ from docs left join covered using (d) left join named using (d)
 """
 
 
+def _chat() -> str:
+    """The repair one turn at a time: costs of all states forwards, then the cheapest states backwards."""
+    automaton = chat.Automaton()
+    steps = str(automaton.steps.tolist())
+    closing = str(automaton.closing.tolist())
+    far = int(automaton.steps.max())
+    names = ", ".join(f"('{name}', {label})" for name, label in chat.ALIASES.items())
+    acts, ends = [], []
+    for label in range(4):
+        for s in range(4):
+            for r, role in chat.ROLES.items():
+                inserted, merged = automaton.actions(label, s, r) if automaton.steps[label, s, r] < far else ([], False)
+                done = ["merge"] * merged + ["relabel"] * (label != r) + [f"insert {chat.ROLES[x]}" for x in inserted]
+                opening = chat._piece("", s, r, inserted, merged, None)
+                acts.append(f"({label}, {s + 1}, {r + 1}, '{role}', '{', '.join(done)}', '{opening}')")
+    for r in range(4):
+        left = chat._CLOSING[r]
+        added = ", ".join(f"close {chat.ROLES[x]}" for x in left)
+        ends.append(f"({r + 1}, '{added}', '{chat._piece('', r, r, [], True, left)[1:]}')")
+    return f"""
+with recursive labels (name, label) as (values {names}),
+turns as (
+    select conv_id, turn, coalesce(text, '') as text, coalesce(label, 0) as label,
+           row_number() over (partition by conv_id order by turn nulls first, role nulls first) - 1 as position,
+           count(*) over (partition by conv_id) as n
+    from conversations left join labels on name = lower(trim(role))
+),
+ahead as (
+    select distinct conv_id, -1::bigint as position, [0, {far}, {far}, {far}]::bigint[] as costs from turns
+    union all
+    select t.conv_id, t.position, [
+        least({far}, list_min([a.costs[s] + ({steps})[t.label + 1][s][r] for s in [1, 2, 3, 4]])) for r in [1, 2, 3, 4]]
+    from ahead a join turns t on t.conv_id is not distinct from a.conv_id and t.position = a.position + 1
+),
+last as (
+    select a.conv_id, a.position, [a.costs[s] + ({closing})[s] for s in [1, 2, 3, 4]] as costs
+    from ahead a join turns t on t.conv_id is not distinct from a.conv_id and t.position = a.position
+    where t.position = t.n - 1
+),
+behind as (
+    select conv_id, position, list_position(costs, list_min(costs)) as state from last
+    union all
+    select conv_id, position, list_position(costs, list_min(costs)) as state from (
+        select b.conv_id, a.position, [a.costs[s] + ({steps})[t.label + 1][s][b.state] for s in [1, 2, 3, 4]] as costs
+        from behind b
+        join turns t on t.conv_id is not distinct from b.conv_id and t.position = b.position
+        join ahead a on a.conv_id is not distinct from b.conv_id and a.position = b.position - 1
+    )
+),
+acts (label, before, state, role, action, opening) as (values {", ".join(acts)}),
+ends (state, action, ending) as (values {", ".join(ends)})
+select t.conv_id, t.turn, t.position, acts.role,
+       coalesce(nullif(concat_ws(', ', nullif(acts.action, ''),
+           case when t.position = t.n - 1 then nullif(ends.action, '') end), ''), 'keep') as action,
+       acts.opening || t.text || case when t.position = t.n - 1 then ends.ending else '' end as rendered
+from turns t
+join behind b on b.conv_id is not distinct from t.conv_id and b.position = t.position
+join behind p on p.conv_id is not distinct from t.conv_id and p.position = t.position - 1
+join acts on acts.label = t.label and acts.before = p.state and acts.state = b.state
+join ends on ends.state = b.state
+"""
+
+
 def statements() -> dict[str, str]:
     return {
+        "op2_chat_formatting": _chat(),
         "op1_ngram_jaccard_join": _ngram_join(),
         "op3_warc_assembly": _warc(),
         "op4_license_scan": _licenses(),
