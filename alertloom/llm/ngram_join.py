@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom.llm.graph import components
-from alertloom.llm.text import SPACE, Texts, Words, columns_of, mix
+from alertloom.llm.text import SPACE, Texts, Words, columns_of, mix, release
 from alertloom.session import stored
 
 SHINGLE = 4
@@ -118,6 +118,7 @@ def count_shingles(docs: DataFrame, k: int = SHINGLE) -> Rarity:
             [pa.array(range(-1, len(parts) - 1), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
             names=["chunk", "data"],
         )
+        release()
 
     def add(kind):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -199,6 +200,7 @@ def _with_sets(docs: DataFrame, rarity: Rarity, light: int, k: int, percent: int
                 ],
                 names=[f.name for f in fields],
             )
+        release()
 
     return source.mapInArrow(run, T.StructType(fields))
 
@@ -316,6 +318,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, perce
             sets = shingle_sets(Texts.of(batch.column(1)), k)
             data = pa.array([s.tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), data], names=["node", "tokens"])
+        release()
 
     sets = stored(source.mapInArrow(tokenise, "node long, tokens binary"))
 
@@ -328,6 +331,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, perce
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     both = first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")

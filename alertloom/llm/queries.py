@@ -25,8 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Texts are long: a batch sent to Python has few rows and bytes.
 BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
