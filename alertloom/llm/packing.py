@@ -4,7 +4,8 @@ A document's ids, with an end id, are cut into pieces of the sequence length; th
 rest. Whole pieces are sequences of their own. All others are packed online: the smallest free space
 that fits takes the next piece. A fixed number of bins is open, found through a bitset keyed by free
 space; when there is one more, the fullest is closed. Pieces are dealt evenly into lanes of bounded
-size, each packed by one task that holds the open bins only; a lane leaves at most `OPEN` bins unfilled.
+size, each packed by one task that holds the open bins only. In a lane they arrive longest first, so that
+short ones fill what long ones left; with room for that many open bins, few bins close unfilled.
 
 Defined cases: a null or empty text is its end id alone. Copies and repeated rows are packed each.
 An empty table gives no pieces. Only doc_id and text are read.
@@ -27,7 +28,7 @@ from alertloom.session import stored
 
 CAPACITY = 1024
 END = 2
-OPEN = 64
+OPEN = 8192
 LANE = 20_000
 
 
@@ -122,7 +123,7 @@ def pack_pieces(cut_up: DataFrame, capacity: int = CAPACITY, most_open: int = OP
     """`cut_up` (a stored table with length, task and seat) with sequence_id and offset.
 
     Whole pieces stay where they are. The others are dealt into lanes by a hash of their place in the
-    table, so lanes are even whatever the documents' ids, and are packed in the order of that hash.
+    table, so lanes are even whatever the documents' ids, and arrive in order of length.
     """
     short = cut_up.where(F.col("length") < capacity)
     lanes = max(1, -(-short.count() // lane))
@@ -146,7 +147,7 @@ def pack_pieces(cut_up: DataFrame, capacity: int = CAPACITY, most_open: int = OP
                 names=["task", "seat", "sequence_id", "offset"],
             )
 
-    ordered = dealt.repartition(lanes, "lane").sortWithinPartitions("lane", "mixed", "task", "seat")
+    ordered = dealt.repartition(lanes, "lane").sortWithinPartitions("lane", F.desc("length"), "mixed", "task", "seat")
     placed = ordered.select("task", "seat", "length", "lane").mapInArrow(
         run, "task long, seat long, sequence_id long, offset long"
     )

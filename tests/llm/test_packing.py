@@ -82,6 +82,13 @@ def test_full_bins_close_and_sizes_fit():
     assert sum(sizes) / (1024 * len(fill)) > 0.93
 
 
+def test_longest_first_fills_nearly_all():
+    r = random.Random(2)
+    sizes = sorted((r.randrange(1, 1024) for _ in range(packing.LANE)), reverse=True)
+    bins = 1 + max(b for b, _ in packing.pack_sizes(sizes))
+    assert sum(sizes) / (1024 * bins) > 0.99
+
+
 def test_cut():
     assert packing.cut(1) == [(0, 1)]
     assert packing.cut(1024) == [(0, 1024)]
