@@ -34,7 +34,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int =
     """Write the ids of all documents to `folder`."""
     path = path or vocabulary_path()
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("mixed"))
-    ordered = source.repartitionByRange("doc_id", "mixed", "text").sortWithinPartitions("doc_id", "mixed", "text")
+    ordered = source.repartitionByRange("doc_id", "mixed").sortWithinPartitions("doc_id", "mixed")
     key = source.schema["doc_id"].dataType
     kind = T.StructType(
         [
