@@ -5,6 +5,11 @@ compared as a multiset of word bigrams. A template of b bigrams can reach a coef
 of t / (2 - t) * b to (2 - t) / t * b bigrams, so most texts meet few templates or none. Only DataFrame
 functions are used. The bigrams of the templates, a fixed table, are the only thing sent to all tasks.
 
+With `windows`, notices that are wrapped over lines or stand inside a longer line are found too: for templates
+that neither the document nor a line of it matches, every stretch of the document's words, across line breaks, that
+begins and ends with a bigram of the template is compared. No other stretch has a higher coefficient than these.
+A notice that holds another template, as the Apache notice does, then reports both.
+
 Defined cases: null texts, and texts of fewer than two words, match nothing. A text that matches several
 templates reports each; of equal coefficients the template first in the alphabet is the best. Rows with
 equal ids are reported each. Columns other than doc_id and text are ignored.
@@ -16,7 +21,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertloom.operators.once import computed_once
@@ -95,6 +100,27 @@ def size_bounds(size: int, percent: int = PERCENT) -> tuple[int, int]:
     return -(-low.numerator // low.denominator), high.numerator // high.denominator
 
 
+def telling_words(templates: dict[str, str], percent: int) -> list[str]:
+    """Words of which each text that reaches the coefficient with a template has at least one.
+
+    A text lacks at most `size - low` bigrams of a template, so words that touch more than those are enough.
+    Words in few templates, and long ones, are taken first.
+    """
+    common = Counter(w for text in templates.values() for w in set(words_of(text)))
+    out: set[str] = set()
+    for text in templates.values():
+        grams = bigrams_of(text)
+        size = sum(grams.values())
+        mine: set[str] = set()
+        for word in sorted(set(words_of(text)), key=lambda w: (common[w], -len(w), w)):
+            touched = sum(n for g, n in grams.items() if mine & set(g.split()))
+            if touched > size - size_bounds(size, percent)[0]:
+                break
+            mine.add(word)
+        out |= mine
+    return sorted(out)
+
+
 def template_bigrams(spark: SparkSession, templates: dict[str, str], percent: int) -> DataFrame:
     rows = []
     for name, text in templates.items():
@@ -104,7 +130,39 @@ def template_bigrams(spark: SparkSession, templates: dict[str, str], percent: in
     return spark.createDataFrame(rows, "license string, bigram string, there int, size int, low int, high int")
 
 
-def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
+def best_windows(met: DataFrame, most: list[int], percent: int) -> DataFrame:
+    """Per row and license with a stretch of words that reaches the coefficient: the highest one.
+
+    `met` has the places of the template's bigrams in each document, `most` how often templates have one. All places of one document and template
+    are put into one array, which is never longer than the document.
+    """
+    order = Window.partitionBy("row", "license", "bigram").orderBy("place")
+    # A bigram counts as often as the template has it: not if that many lie between it and the stretch's begin.
+    back = F.coalesce(*[F.when(F.col("there") == k, F.lag("place", k).over(order)) for k in most], F.lit(-1))
+    placed = met.repartition("row", "license").withColumn("back", back)
+    listed = placed.groupBy("row", "license", "size", "low", "high").agg(F.collect_list(F.struct("place", "back")).alias("all"))
+    listed = computed_once(listed.where(F.size("all") >= F.greatest("low", F.lit(1))), "at", F.array_sort("all")).drop("all")
+    at, low = F.col("at"), F.greatest("low", F.lit(1))
+    dense = F.filter(F.sequence(F.lit(0), F.size(at) - low), lambda i: at[i + low - 1]["place"] - at[i]["place"] < F.col("high"))
+
+    def best_from(i: Column) -> Column:
+        begin = at[i]["place"]
+
+        def longer(so_far: Column, hit: Column) -> Column:
+            both = so_far["both"] + F.when(hit["back"] < begin, 1).otherwise(0)
+            total = hit["place"] - begin + 1 + F.col("size")
+            dice = F.when(200 * both >= percent * total, 2 * both / total).otherwise(0.0)
+            return F.struct(both.alias("both"), F.greatest(so_far["dice"], dice).alias("dice"))
+
+        start = F.struct(F.lit(0).alias("both"), F.lit(0.0).alias("dice"))
+        return F.aggregate(F.slice(at, i + 1, F.col("high")), start, longer, lambda x: x["dice"])
+
+    return listed.select("row", "license", F.array_max(F.transform(dense, best_from)).alias("dice")).where("dice > 0")
+
+
+def find_licenses(
+    docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT, windows: bool = False
+) -> DataFrame:
     """Per document: doc_id, n_licenses, licenses (names, comma-joined), best_license, best_dice (6 places).
 
     `docs` must give its rows in the same parts when read twice, as files do.
@@ -120,16 +178,28 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percen
     near = F.lit(False)
     for low, high in bounds:
         near = near | n.between(max(low, 1), high)
+    fits = F.col("n").between(F.col("low"), F.col("high"))
+    if windows:
+        telling = F.array(*[F.lit(w) for w in telling_words(templates, percent)])
+        near = near | ((F.col("unit") == 0) & (n >= 1) & F.arrays_overlap("words", telling))
     sized = words.where(near).withColumn("n", n)
     pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat_ws(" ", F.col("words")[i], F.col("words")[i + 1]))
-    grams = sized.select("row", "unit", "n", F.explode(pairs).alias("bigram"))
+    grams = sized.select("row", "unit", "n", F.posexplode(pairs).alias("place", "bigram"))
     known = F.broadcast(template_bigrams(spark, templates, percent))
-    met = grams.join(known, (grams["bigram"] == known["bigram"]) & F.col("n").between(F.col("low"), F.col("high")))
-    here = met.groupBy("row", "unit", "n", "license", "size", "there", known["bigram"]).agg(F.count("*").alias("here"))
+    met = grams.join(known, "bigram").where(fits | (F.col("unit") == 0) if windows else fits)
+    if windows:
+        # Read twice below; only bigrams of templates are written, not the texts.
+        met = stored(met)
+    here = met.where(fits).groupBy("row", "unit", "n", "license", "size", "there", "bigram").agg(F.count("*").alias("here"))
     both = here.groupBy("row", "unit", "n", "license", "size").agg(F.sum(F.least("here", "there")).alias("both"))
     total = F.col("n") + F.col("size")
     hits = both.where(200 * F.col("both") >= percent * total).groupBy("row", "license")
     dice = hits.agg(F.max(2 * F.col("both") / total).alias("dice"))
+    if windows:
+        dice = stored(dice)
+        most = sorted({n for t in templates.values() for n in bigrams_of(t).values()})
+        others = met.where("unit = 0").join(dice.select("row", "license"), ["row", "license"], "left_anti")
+        dice = dice.unionByName(best_windows(others, most, percent))
     listed = stored(
         dice.groupBy("row").agg(
             F.count("*").alias("n_licenses"),

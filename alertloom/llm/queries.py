@@ -53,7 +53,7 @@ def op3_warc_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return licenses.find_licenses(table(spark, sf, "documents"))
+    return licenses.find_licenses(table(spark, sf, "documents"), windows=True)
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

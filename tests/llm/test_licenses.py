@@ -3,7 +3,7 @@ from collections import Counter
 import awkward
 import pytest
 
-from alertloom.llm import licenses
+from alertloom.llm import licenses, queries
 
 
 def brute(text, templates, percent):
@@ -58,3 +58,66 @@ def test_only_spark_functions_run(spark):
 
 def test_empty_table(spark):
     assert licenses.find_licenses(awkward.frame(spark, [])).count() == 0
+
+
+def best_window(text, body, percent):
+    """The highest coefficient of all stretches of words, and 0 if none reaches `percent`."""
+    words, w = licenses.words_of(text), licenses.words_of(body)
+    grams, theirs = list(zip(words, words[1:])), Counter(zip(w, w[1:]))
+    size, best = len(w) - 1, 0
+    for a in range(len(grams)):
+        mine, both = Counter(), 0
+        for n, gram in enumerate(grams[a : a + 3 * size], 1):
+            mine[gram] += 1
+            both += mine[gram] <= theirs[gram]
+            if 200 * both >= percent * (n + size):
+                best = max(best, 2 * both / (n + size))
+    return best
+
+
+def wrapped_documents():
+    out = [*documents()[:20], "mit", "the mit license", None, "", "of the software to the software " * 50]
+    for body in licenses.TEMPLATES.values():
+        words = body.split()
+        lines = "\n * ".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+        out += [f"title\n\n{'some words before. ' * 30}\n * {lines}\n\n{'and more words after ' * 30}"]
+        out += [f"{'some words before. ' * 40}{body} {'and more words after ' * 40}", f"{body} {body}"]
+        out += [f"{'word ' * 300}{' '.join(words[:-1])} odd {' '.join(words[1:])} {'word ' * 300}"]
+    return out
+
+
+@pytest.mark.parametrize("percent", [85, 70])
+def test_wrapped_notices_and_notices_in_mid_line(spark, percent):
+    texts = wrapped_documents()
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in licenses.find_licenses(awkward.frame(spark, rows), percent=percent, windows=True).collect()}
+    assert len(got) == len(rows)
+    for i, text in enumerate(texts):
+        _, names, _, _ = brute(text, licenses.TEMPLATES, percent)
+        dice = {x: None for x in names.split(",") if x}
+        for name, body in licenses.TEMPLATES.items():
+            if text is not None and name not in dice and (d := best_window(text, body, percent)):
+                dice[name] = d
+        r = got[i]
+        assert (r["n_licenses"], r["licenses"]) == (len(dice), ",".join(sorted(dice)))
+        if dice and None not in dice.values():
+            assert r["best_license"] == min(dice, key=lambda x: (-dice[x], x)) and abs(r["best_dice"] - max(dice.values())) < 1.5e-6
+
+
+def test_the_query_finds_a_wrapped_notice(spark, tmp_path):
+    words = licenses.TEMPLATES["MIT text"].split()
+    lines = "\n# ".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+    rows = [(1, f"{'code before ' * 200}\n# {lines}\n{'code after ' * 200}", "en", "s", 0), (2, "code " * 400, "en", "s", 0)]
+    awkward.frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op4_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, "MIT text", "MIT text", 1.0), 2: (0, "", None, None)}
+
+
+def test_telling_words_lose_no_match():
+    for percent in (60, 85, 100):
+        telling = set(licenses.telling_words(licenses.TEMPLATES, percent))
+        for body in licenses.TEMPLATES.values():
+            grams = licenses.bigrams_of(body)
+            size = sum(grams.values())
+            others = sum(n for g, n in grams.items() if not telling & set(g.split()))
+            assert others < licenses.size_bounds(size, percent)[0]
