@@ -3,11 +3,12 @@
 A block of ids is cut into lanes, each a stretch of the block with a range coder of its own. All lanes take
 a step together as numpy vectors and share one adaptive model, which starts anew in every block.
 
-Four predictions are mixed for each id: the id last seen after the two ids before (order 2), the last two
-different ids seen after the id before (order 1), and the frequencies of all ids so far (order 0). Their
-weights are learnt for each combination of how well the contexts predicted before. The coder narrows its
-range by the weight of the first prediction that holds and, where none of order 1 or 2 does, by the id's
-frequency. All arithmetic is on whole numbers, so a block decodes alike everywhere.
+Three distributions are mixed for each id: the frequencies of the ids that followed the two ids before
+(order 2), of those that followed the id before (order 1), and of all ids so far (order 0). A context of order 1
+or 2 keeps the ids most frequent in it, eight and four; contexts share a place if their hashes are equal. The
+distributions are added with weights, learnt for each combination of how much the contexts have seen, by
+what each distribution contributed to the ids that came. The coder narrows its range to the id's share of the
+sum. All arithmetic is on whole numbers, so a block decodes alike everywhere.
 
 A block has its own header and ends with a checksum of all before it and of its ids.
 """
@@ -26,92 +27,139 @@ _MAGIC = b"TIDC"
 # Ids below this are their own symbols; a block with larger ones lists its ids.
 _DIRECT = 1 << 17
 
-_WEIGHT_BITS = 12
-_STATES = 4
-_CLASSES = 4 * _STATES * _STATES
+_TOTAL_BITS = 30
+_TOTAL = 1 << _TOTAL_BITS
+_LEAST0, _LEAST = 1 << 23, 1 << 20
+_STATES = 6
 _GAIN, _MOST = 24, 1 << 22
-_BITS1, _BITS2 = 16, 18
+# Hash bits and ids kept of contexts of order 1 and 2, and the sum of frequencies at which these are halved.
+_BITS, _KEPT, _FULL = (16, 18), (8, 4), 255
 _NOTHING = np.uint32(2**32 - 1)
 
 # The range has 64 bits; 16 leave it at a time, and it is never narrower than 40.
-_S16, _S48, _SW = np.uint64(16), np.uint64(48), np.uint64(_WEIGHT_BITS)
-_ZERO, _W48, _W40 = np.uint64(0), np.uint64(1 << 48), np.uint64(1 << 40)
+_S16, _S48, _ST = np.uint64(16), np.uint64(48), np.uint64(_TOTAL_BITS)
+_W48, _W40 = np.uint64(1 << 48), np.uint64(1 << 40)
+
+
+class _Context:
+    """The frequencies of the ids that followed each context of one order."""
+
+    def __init__(self, bits: int, kept: int):
+        self.symbols = np.full((1 << bits, kept), _NOTHING)
+        self.counts = np.zeros((1 << bits, kept), np.uint16)
+
+    def look(self, at: np.ndarray) -> None:
+        """Take the rows of all lanes, one column for each lane."""
+        self.at = at
+        self.ids = np.ascontiguousarray(self.symbols.take(at, axis=0).T)
+        self.seen = np.ascontiguousarray(self.counts.take(at, axis=0).T)
+        self.total = self.seen.sum(axis=0, dtype=np.int64)
+        most = self.seen.max(axis=0)
+        # Nothing, one id once, one id a few times and often, several ids with and without a frequent one.
+        one = np.where(self.total < 2, self.total, np.where(self.total < 4, 2, 3))
+        self.state = np.where(most == self.total, one, np.where(2 * most.astype(np.int64) < self.total, 4, 5))
+
+    def share(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The frequencies of all ids below, and of the ids."""
+        none = np.uint16(0)
+        self.hit = self.ids == ids
+        before = np.where(self.ids < ids, self.seen, none).sum(axis=0, dtype=np.int64)
+        return before, np.where(self.hit, self.seen, none).sum(axis=0, dtype=np.int64)
+
+    def update(self, ids: np.ndarray) -> None:
+        """Count the ids; a new one takes the place of the least frequent."""
+        seen = self.seen + self.hit
+        new = np.flatnonzero(~self.hit.any(axis=0))
+        place = self.seen[:, new].argmin(axis=0)
+        self.ids[place, new] = ids[new]
+        seen[place, new] = 1
+        full = np.flatnonzero(self.total >= _FULL)
+        seen[:, full] = (seen[:, full] + 1) >> 1
+        seen[self.ids == _NOTHING] = 0
+        # Of lanes in the same context, the last one's change holds.
+        self.symbols[self.at] = self.ids.T
+        self.counts[self.at] = seen.T
 
 
 class _Model:
-    """The predictions of all lanes, their weights, and the frequencies of all symbols."""
+    """The mixed distribution of all lanes, its weights, and the frequencies of all symbols."""
 
     def __init__(self, lanes: int, symbols: int):
-        self.second = np.full(1 << _BITS2, _NOTHING)
-        self.first = np.full((2, 1 << _BITS1), _NOTHING)
-        self.trust = [np.zeros(1 << _BITS2, np.uint8), np.zeros(1 << _BITS1, np.uint8)]
-        self.counts = np.ones(symbols, np.uint64)
+        self.contexts = [_Context(bits, kept) for bits, kept in zip(_BITS, _KEPT)]
+        self.counts = np.ones(symbols, np.int64)
         self.total = symbols
-        self.below = np.zeros(symbols + 1, np.uint64)
+        self.below = np.zeros(symbols + 1, np.int64)
         self.last1, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        # How often each prediction was the first to hold, by class; the last column is none.
-        self.held = np.ones((_CLASSES, 4), np.int64)
+        # Every symbol keeps a share: order 0 has at least as many parts as the sum of frequencies can reach.
+        self.least0 = max(_LEAST0, 4 * symbols)
+        # What each order contributed to the ids that came, by class.
+        self.gained = np.full((_STATES * _STATES, 3), 1 << 16, np.int64)
         self._weigh()
         self._sum()
 
     def _sum(self) -> None:
         """The frequencies below each symbol; all are halved when their sum gets too large."""
         if self.total > _MOST:
-            self.counts = (self.counts + np.uint64(1)) >> np.uint64(1)
+            self.counts = (self.counts + 1) >> 1
             self.total = int(self.counts.sum())
         np.cumsum(self.counts, out=self.below[1:])
 
     def _weigh(self) -> None:
-        """Weights from counts, at least one of 2 ** _WEIGHT_BITS for each prediction."""
-        spare = (1 << _WEIGHT_BITS) - 4
-        w = self.held * spare // self.held.sum(axis=1, keepdims=True) + 1
-        w[:, 3] += (1 << _WEIGHT_BITS) - w.sum(axis=1)
-        bounds = np.zeros((_CLASSES, 5), np.int64)
-        np.cumsum(w, axis=1, out=bounds[:, 1:])
-        self.bounds = bounds.astype(np.uint64)
+        """Weights of order 1 and 2; order 0 has the rest."""
+        spare = _TOTAL - self.least0 - 2 * _LEAST
+        shares = (self.gained[:, 1:] << 12) // self.gained.sum(axis=1, keepdims=True)
+        self.weights = ((shares * spare) >> 12) + _LEAST
 
     def predict(self) -> None:
         h = self.last1 * np.uint32(0x9E3779B1)
-        self.at1 = h >> np.uint32(32 - _BITS1)
+        self.contexts[0].look(h >> np.uint32(32 - _BITS[0]))
         h = (h ^ (h >> np.uint32(15)) ^ (self.last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
-        self.at2 = h >> np.uint32(32 - _BITS2)
-        self.guesses = self.second.take(self.at2), self.first[0].take(self.at1), self.first[1].take(self.at1)
-        self.trusted = self.trust[0].take(self.at2), self.trust[1].take(self.at1)
-        a, b, c = self.guesses
-        kind = self.trusted[0] * np.uint8(_STATES) + self.trusted[1]
-        kind += (a == b).view(np.uint8) * np.uint8(_STATES * _STATES)
-        kind += (a == c).view(np.uint8) * np.uint8(2 * _STATES * _STATES)
-        self.kind = kind.astype(np.intp)
-
-    def which(self, ids: np.ndarray) -> np.ndarray:
-        """The first prediction that holds, 3 for none."""
-        a, b, c = self.guesses
-        out = np.full(len(ids), 3, np.intp)
-        out[c == ids] = 2
-        out[b == ids] = 1
-        out[a == ids] = 0
-        return out
-
-    def share(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        flat = self.kind * 5 + which
-        low = self.bounds.ravel().take(flat)
-        return low, self.bounds.ravel().take(flat + 1) - low
-
-    def update(self, ids: np.ndarray, which: np.ndarray) -> None:
-        self.held += np.bincount(self.kind * 4 + which, minlength=4 * _CLASSES).reshape(_CLASSES, 4)
-        self.held -= self.held >> 4
-        np.maximum(self.held, 1, out=self.held)
+        self.contexts[1].look(h >> np.uint32(32 - _BITS[1]))
+        self.kind = self.contexts[0].state * _STATES + self.contexts[1].state
+        # The parts that one count is worth; what an empty context leaves goes to order 0.
+        self.units = [self.weights[:, k].take(self.kind) // np.maximum(c.total, 1) for k, c in enumerate(self.contexts)]
+        self.rest = _TOTAL - sum(u * c.total for u, c in zip(self.units, self.contexts))
+
+    def share(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids' share of the mixed total begins, and its size."""
+        start = self.rest * self.below.take(ids) // self.total
+        self.parts = [self.rest * self.below[1:].take(ids) // self.total - start]
+        for unit, context in zip(self.units, self.contexts):
+            before, own = context.share(ids)
+            start += unit * before
+            self.parts.append(unit * own)
+        return start.astype(np.uint64), sum(self.parts).astype(np.uint64)
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids in whose shares the values lie."""
+        first, second = self.contexts
+        shift, mask = np.uint64(32), np.uint64(0xFFFF)
+        keys = [first.ids.astype(np.uint64) << shift | first.seen.astype(np.uint64) << np.uint64(16)]
+        keys.append(second.ids.astype(np.uint64) << shift | second.seen.astype(np.uint64))
+        keys = np.ascontiguousarray(np.sort(np.concatenate(keys).T, axis=1).T)
+        known = keys >> shift
+        own = self.units[0] * (keys >> np.uint64(16) & mask).astype(np.int64) + self.units[1] * (keys & mask).astype(np.int64)
+        upto = np.cumsum(own, axis=0)
+        # Below an id that a context knows lie its share by order 0 and the contexts' shares of smaller ids.
+        at = self.rest * self.below.take(np.minimum(known, len(self.below) - 1).astype(np.intp)) // self.total + upto - own
+        at[known == _NOTHING] = _TOTAL
+        n = (at <= value).sum(axis=0)
+        lane, some = np.arange(len(value)), n > 0
+        least = np.where(some, known[n - 1, lane].astype(np.int64), 0)
+        left = np.maximum(value - np.where(some, upto[n - 1, lane], 0), 0)
+        ids = np.searchsorted(self.below, ((left + 1) * self.total - 1) // self.rest, side="right") - 1
+        return np.maximum(ids, least)
+
+    def update(self, ids: np.ndarray) -> None:
+        whole = sum(self.parts)
+        for k, part in enumerate(self.parts):
+            self.gained[:, k] += np.bincount(self.kind, (part << 12) // whole, len(self.gained)).astype(np.int64)
+        self.gained -= self.gained >> 5
+        np.maximum(self.gained, 1, out=self.gained)
         self._weigh()
-        a, b, _ = self.guesses
-        # Of lanes in the same context, the last one's change holds.
-        for trust, at, old, hit in ((self.trust[0], self.at2, self.trusted[0], a == ids), (self.trust[1], self.at1, self.trusted[1], b == ids)):
-            trust[at] = np.where(hit, np.minimum(old + np.uint8(1), np.uint8(_STATES - 1)), np.uint8(1))
-        self.second[self.at2] = ids
-        moved = np.flatnonzero(b != ids)
-        at, new = self.at1[moved], ids[moved]
-        self.first[1][at] = b[moved]
-        self.first[0][at] = new
-        np.add.at(self.counts, ids, np.uint64(_GAIN))
+        for context in self.contexts:
+            context.update(ids)
+        np.add.at(self.counts, ids, _GAIN)
         self.total += _GAIN * len(ids)
         self._sum()
         self.last2, self.last1 = self.last1, ids
@@ -163,13 +211,8 @@ def _encode(ids: np.ndarray, symbols: int, lanes: int, steps: int) -> bytes:
     what: list[np.ndarray] = []
     for now in columns:
         model.predict()
-        which = model.which(now)
-        width >>= _SW
-        _narrow(low, width, *model.share(which))
-        none = which == 3
-        total = np.uint64(model.total)
-        width //= total
-        _narrow(low, width, np.where(none, model.below.take(now), _ZERO), np.where(none, model.counts.take(now), total))
+        width >>= _ST
+        _narrow(low, width, *model.share(now))
         out = _settled(low, width, None)
         while len(out):
             where.append(out)
@@ -177,7 +220,7 @@ def _encode(ids: np.ndarray, symbols: int, lanes: int, steps: int) -> bytes:
             low[out] <<= _S16
             width[out] <<= _S16
             out = _settled(low, width, out)
-        model.update(now, which)
+        model.update(now)
     # 24 bits tell any number in a range of 40 from all others; the decoder reads zeros after them.
     low += _W40 - np.uint64(1)
     low &= ~(_W40 - np.uint64(1))
@@ -223,24 +266,16 @@ def _decode(data: bytes, symbols: int, n: int, lanes: int, steps: int) -> np.nda
     model = _Model(lanes, symbols)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     out = np.zeros((steps, lanes), np.uint32)
-    most = np.uint64((1 << _WEIGHT_BITS) - 1)
+    most = np.uint64(_TOTAL - 1)
     end = len(padded) - 1
     for t in range(steps):
         model.predict()
-        width >>= _SW
-        value = np.minimum((code - low) // width, most)
-        bounds = model.bounds.take(model.kind, axis=0)
-        which = (value[:, None] >= bounds[:, 1:4]).sum(axis=1)
-        _narrow(low, width, *model.share(which))
-        total = np.uint64(model.total)
-        width //= total
-        value = np.minimum((code - low) // width, total - np.uint64(1))
-        none = which == 3
-        found = np.flatnonzero(none)
-        ids = np.where(which == 0, model.guesses[0], np.where(which == 1, model.guesses[1], model.guesses[2]))
-        ids[found] = np.searchsorted(model.below, value[found], side="right") - 1
+        width >>= _ST
+        value = np.minimum((code - low) // width, most).astype(np.int64)
+        ids = model.find(value)
         ids[ids >= symbols] = 0  # only in a damaged block, which the checksum tells
-        _narrow(low, width, np.where(none, model.below.take(ids), _ZERO), np.where(none, model.counts.take(ids), total))
+        ids = ids.astype(np.uint32)
+        _narrow(low, width, *model.share(ids))
         read = _settled(low, width, None)
         while len(read):
             low[read] <<= _S16
@@ -249,5 +284,5 @@ def _decode(data: bytes, symbols: int, n: int, lanes: int, steps: int) -> np.nda
             at[read] += 1
             read = _settled(low, width, read)
         out[t] = ids
-        model.update(ids, which)
+        model.update(ids)
     return out.T.reshape(-1)[:n].copy()

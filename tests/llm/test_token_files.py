@@ -37,6 +37,40 @@ def test_mixing_beats_the_order_0_model(monkeypatch):
     assert 8 * len(codec.encode_block(ids, 64, 64)) / len(ids) < 0.75 * entropy
 
 
+def test_contexts_keep_frequencies():
+    """Six ids follow each id, with their own frequencies: more than the last one or two seen."""
+    r = random.Random(1)
+    follow = {i: r.sample(range(300), 6) for i in range(300)}
+    shares = [40, 20, 15, 10, 10, 5]
+    ids = [0]
+    for _ in range(60_000):
+        ids.append(r.choices(follow[ids[-1]], shares)[0])
+    entropy = -sum(x / 100 * np.log2(x / 100) for x in shares)
+    block = codec.encode_block(np.array(ids, np.uint32), 64, 64)
+    assert 8 * len(block) / len(ids) < 1.35 * entropy
+    assert codec.decode_block(block).tolist() == ids
+
+
+def test_distributions_are_added():
+    r = np.random.default_rng(4)
+    ids = r.integers(0, 12, (60, 3)).astype(np.uint32)
+    model = codec._Model(3, 12)
+    for now in ids:
+        model.predict()
+        model.share(now)
+        model.update(now)
+    model.predict()
+    starts, sizes = zip(*(model.share(np.full(3, x, np.uint32)) for x in range(12)))
+    assert (np.cumsum(sizes, axis=0)[:-1] == starts[1:]).all() and (np.sum(sizes, axis=0) == codec._TOTAL).all()
+    for x in range(12):
+        expected = model.rest * model.counts[x] / model.total
+        for unit, context in zip(model.units, model.contexts):
+            expected = expected + unit * (context.seen * (context.ids == x)).sum(axis=0)
+        assert np.abs(sizes[x].astype(np.int64) - expected).max() <= 1
+        for value in (starts[x], starts[x] + sizes[x] - np.uint64(1)):
+            assert (model.find(value.astype(np.int64)) == x).all()
+
+
 @pytest.mark.parametrize("at", [0, 9, 40, -1])
 def test_damage_is_noticed(at):
     block = bytearray(codec.encode_block(np.arange(900, dtype=np.uint32), 8, 8))
