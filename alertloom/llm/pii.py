@@ -122,7 +122,7 @@ def shape(word: str) -> str:
     word = word.strip(_AROUND)
     out: list[str] = []
     run = 0
-    for c in word[:24]:
+    for c in word:
         kind = "9" if c in "0123456789" else "a" if c.islower() else "A" if c.isupper() else c
         if out and out[-1] == kind:
             run += 1

@@ -99,6 +99,18 @@ def test_held_out_accuracy(model):
     assert right >= 0.8 * total and wrong <= 1, (right, total, wrong)
 
 
+def test_long_words_are_judged_whole():
+    name = "annabellekatherinesmithsonx"
+    assert pii.shape(f"{name}[at]host[dot]org") == pii.shape("anna[at]host[dot]org") == "a[a]a[a]a"
+    for word, short in ((f"{name}[at]host[dot]org", "anna[at]host[dot]org"), (f"{name}/030", "anna/030")):
+        assert pii._features(word, word, word) == pii._features(short, short, short)
+    model = pii.train(pii.LINES + ["write to {email:anna[at]example[dot]org} soon", "mail {email:info[at]firm[dot]de} please"] * 3)
+    text = f"please mail {name}[at]host[dot]org today"
+    ((_, every),) = pii.find_spans([text], model)
+    assert [text[a:b] for a, b in every[0]] == [f"{name}[at]host[dot]org"]
+    pii.find_spans(["1a" * 200_000 + " dot 030 1234567"], model)
+
+
 def test_viterbi_finds_the_best_path(model):
     import itertools
 
