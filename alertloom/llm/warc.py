@@ -3,7 +3,8 @@
 A page is written as three records: the request, the response with the page's html (or a revisit, if an
 equal payload is a response already), and metadata. Request and metadata name the response's record as
 the one they are concurrent to. Archives are plain WARC/1.1 files; records end where the next separator
-of two empty lines is, so Spark's text writer makes them.
+of two empty lines is, so Spark's text writer makes them. Pages of like size share files, so that a file, which is
+read back as one row, has a bounded number of bytes.
 
 Reading takes records apart by their Content-Length, whatever their payload holds, and joins those of a
 transaction through the concurrent-to identifiers into one nested row per capture.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom.llm.text import free_prefix
@@ -35,7 +36,8 @@ from alertloom.session import shared_dir, stored
 VERSION = "WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-RECORDS_PER_FILE = 6000
+# Pages of up to so many bytes, and the records of such pages in one file: about 32 MB at most, or one page.
+FILE_SIZES = ((16 << 10, 6000), (256 << 10, 375), (4 << 20, 24), (None, 3))
 _LINE, _END = "\r\n", "\r\n\r\n"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -100,6 +102,15 @@ def _revisits(numbered: DataFrame, row: str, least: int) -> DataFrame:
     return stored(joined.where("row != first_row").select("row", "first_row"))
 
 
+def _size_class(html: Column, url: Column) -> Column:
+    """Which of FILE_SIZES a page belongs to: its payload, and its url in three records, each byte escaped."""
+    size = F.coalesce(F.octet_length(html), F.lit(0)).cast("long") + 9 * F.coalesce(F.octet_length(url), F.lit(0))
+    out = F.lit(len(FILE_SIZES) - 1)
+    for number, (most, _) in reversed(list(enumerate(FILE_SIZES[:-1]))):
+        out = F.when(size <= most, number).otherwise(out)
+    return out
+
+
 def write_archives(pages: DataFrame, folder: str, least: int = 0, compression: str = "none") -> None:
     """Write the pages (page_id, url, html) as WARC files."""
     pages = pages.select("page_id", "url", "html")
@@ -108,6 +119,9 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, compression: s
     revisits = _revisits(numbered, row, least)
     # Spark sends the revisits along if their table is small, and moves the pages only if it is not.
     joined = numbered.join(revisits.withColumnRenamed("row", row), row, "left")
+    sized = _size_class(F.col("html"), F.col("url"))
+    # The first class is always written, so that an empty table gives an empty archive.
+    classes = {0, *(r[0] for r in pages.select(sized).distinct().collect())}
 
     def run(batches):
         for batch in batches:
@@ -118,8 +132,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, compression: s
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["value"])
 
     columns = joined.select(row, "page_id", "url", "html", "first_row")
-    writer = columns.mapInArrow(run, "value string").write.option("lineSep", _END)
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", compression).text(folder)
+    for number in sorted(classes):
+        made = columns.where(sized == number).mapInArrow(run, "value string")
+        writer = made.write.mode("append").option("lineSep", _END).option("compression", compression)
+        writer.option("maxRecordsPerFile", FILE_SIZES[number][1]).text(folder)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -104,3 +104,24 @@ def test_lone_and_foreign_records(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert warc.archive_round_trip(pages(spark, tmp_path, [])).count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    sizes = [100] * 50 + [200_000] * 300 + [2_000_000] * 20 + [5_000_000] * 2
+    # A long url is in every record of its page.
+    rows = [(i, "http://a.example/" + "u" * (100_000 if i < 5 else 10), f"{i} " + "z" * n) for i, n in enumerate(sizes)]
+    path, folder = str(tmp_path / "pages"), tmp_path / "warc"
+    spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).coalesce(1).write.parquet(path)
+    given = spark.read.parquet(path)
+    warc.write_archives(given, str(folder))
+    files = [f.stat().st_size for f in folder.glob("part-*")]
+    assert sum(files) > sum(sizes) and max(files) < 34 << 20
+    assert digests(warc.capture_digests(warc.assemble(warc.read_records(spark, str(folder))))) == expected(rows)
+
+
+def test_small_pages_share_files(spark, tmp_path):
+    rows = [(i, f"http://a.example/{i}", f"page {i}") for i in range(300)]
+    path, folder = str(tmp_path / "pages"), tmp_path / "warc"
+    spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).coalesce(1).write.parquet(path)
+    warc.write_archives(spark.read.parquet(path), str(folder))
+    assert len(list(folder.glob("part-*"))) == 1
