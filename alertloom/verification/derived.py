@@ -127,14 +127,27 @@ def raw_alert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def truth_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ground truth as one JSON document: ids of malicious alerts, and each incident's first hour."""
-    # One document, as the format has it; both lists are as short as what an investigation finds.
-    ids = F.array_sort(F.collect_list("alert_id"))
+# Planted ids in one document of the ground truth.
+IDS_PER_DOCUMENT = 10_000
+
+
+def truth_document(spark: SparkSession, sf_dir: str, most: int = IDS_PER_DOCUMENT) -> DataFrame:
+    """The ground truth as JSON documents: each incident's first hour in one, at most `most` ids in each other.
+
+    Planted alerts are a share of all alerts: they are grouped by their place in a partition, so that neither a
+    group nor a document grows with the table. Incidents are one for each host.
+    """
     hours = F.collect_list(F.struct("incident", F.date_format("hour", "yyyy-MM-dd'T'HH")))
-    named = incidents(spark, sf_dir).agg(F.map_from_entries(hours)).scalar()
-    found = planted(spark, sf_dir).agg(ids.alias("planted_alert_ids")).withColumn("incidents", named)
-    return found.select(F.to_json(F.struct("planted_alert_ids", "incidents")).alias("value"))
+    named = incidents(spark, sf_dir).agg(F.map_from_entries(hours).alias("incidents"))
+    # The partition's number is in the upper bits, the place in it in the lower 33.
+    placed = planted(spark, sf_dir).withColumn("place", F.monotonically_increasing_id())
+    part, bucket = F.shiftright("place", 33), F.floor(F.col("place").bitwiseAND((1 << 33) - 1) / most)
+    found = placed.groupBy(part.alias("part"), bucket.alias("bucket")).agg(
+        F.array_sort(F.collect_list("alert_id")).alias("planted_alert_ids")
+    )
+    return named.select(F.to_json(F.struct("incidents")).alias("value")).unionByName(
+        found.select(F.to_json(F.struct("planted_alert_ids")).alias("value"))
+    )
 
 
 # The host of each incident, as the loader is told it.

@@ -63,7 +63,8 @@ def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _truth_path(spark: SparkSession, sf: str) -> str:
     path = _scratch(spark, "truth")
-    derived.truth_document(spark, sf).write.text(path)
+    # A file for each document: the loader reads files whole.
+    derived.truth_document(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

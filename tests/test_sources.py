@@ -12,6 +12,7 @@ from alertloom.operators.joins import triage_outcomes
 from alertloom.plans import volume
 from alertloom.session import scratch_dir, shared_dir, stored
 from alertloom.sources import raw, tables
+from alertloom.verification import derived
 
 
 def line(**changes):
@@ -113,6 +114,19 @@ def test_truth_document(spark, tmp_path):
     ]
 
 
+def test_truth_documents_have_a_bounded_number_of_ids(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"
+    ids = sorted(r["alert_id"] for r in derived.planted(spark, sf).collect())
+    documents = derived.truth_document(spark, sf, most=3)
+    lists = [json.loads(r["value"]).get("planted_alert_ids", []) for r in documents.collect()]
+    assert len(ids) > 3 and max(map(len, lists)) <= 3 and sorted(x for ids_of_one in lists for x in ids_of_one) == ids
+    path = str(tmp_path / "truth")
+    documents.write.option("maxRecordsPerFile", 1).text(path)
+    assert sorted(r[0] for r in raw.load_planted(spark, path).collect()) == ids
+    hours = sorted((r["incident"], r["agent"], r["hour"]) for r in derived.incidents(spark, sf).collect())
+    assert sorted(map(tuple, raw.load_incidents(spark, path, derived.INCIDENT_HOSTS).collect())) == hours
+
+
 def test_stored_tables_keep_rows_and_prune_days(spark, tmp_path):
     a, t = frames(spark, 5)
     pa, pt = str(tmp_path / "a"), str(tmp_path / "t")
