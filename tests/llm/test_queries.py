@@ -71,6 +71,24 @@ def test_join_stage_keeps_one_of_each_group(stages):
     assert len(expected) < len(given)
 
 
+def test_join_stage_tells_and_takes_the_rule_of_op1(spark):
+    told = corpus_pipeline.drop_near_copies.__doc__
+    join = queries.ngram_join
+    assert f"{join.SHINGLE} words a shingle, Jaccard of {join.PERCENT} percent" in told
+    # One changed word of 55: 0.857 on 4 words a shingle. Of 51: 0.846, and 0.808 on 5 words, so only the general rule links them.
+    words = [f"w{i}" for i in range(55)]
+    near = [*words[:20], "odd", *words[21:]]
+    apart = [f"v{i}" for i in range(51)]
+    far = [*apart[:20], "odd", *apart[21:]]
+    texts = [words, near, apart, far]
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    path = f"{queries.warc.shared_dir(spark)}/rule-{id(rows)}"
+    docs.write.parquet(path)
+    kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(path), SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
+
+
 def test_decontamination_stage_drops_the_contaminated(spark, stages):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     given = rows_of(stages[2])
