@@ -5,10 +5,10 @@ item). A window is contained in a document where all its words follow each other
 shingles; since containment must be complete, one necessary token is a sufficient prefix: the window's
 rarest shingle. Rarity is counted over all documents. Documents are joined with the prefix tokens only;
 the token's place in its window bounds where the window must start and that it must end within the
-document; the words between are then compared one by one.
+document; then the shingles at the other places are compared, as many as hold all words of the window.
 
-The benchmark is taken in blocks of at most `BLOCK` windows, each sent to all tasks; a larger benchmark
-takes more passes and never more memory.
+Windows are made in Spark tasks and all joins are shuffles. A filter of fixed size, made from the shingles of all
+windows, is the only thing sent to all tasks: it keeps places in documents that no window can have from being written.
 
 Defined cases: null texts have no words; they, and items without words, match nothing. Copies of
 items each count. Items with a null id count under the empty id. Repeated documents each get a row.
@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,14 +30,16 @@ from alertloom.session import stored
 
 WINDOW = 13
 SHINGLE = 4
-BLOCK = 200_000
+# Windows made at a time, and bits of the filter.
+BLOCK = 5_000
+FILTER_BITS = 24
 # Contaminated from one hit word in twenty on.
 HIT_SHARE = 20
 
 
 @dataclass
 class Windows:
-    """Distinct windows of a block of items. `items[w]` has the ids of the items with window w."""
+    """Distinct windows of some items. `items[w]` has the ids of the items with window w."""
 
     words: list[np.ndarray] = field(default_factory=list)
     items: list[list[str]] = field(default_factory=list)
@@ -66,45 +68,6 @@ def _shingles(words: np.ndarray, k: int) -> np.ndarray:
     return grams.grams(k)
 
 
-def _places(words: Words, k: int, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where in the words a token starts, and which it is. Places may cross the end of a text."""
-    grams = words.grams(k)
-    if not len(tokens) or not len(grams):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # A table of the low bits rules out nearly all words before the search.
-    bits = np.uint64((1 << max(16, int(len(tokens) * 16).bit_length())) - 1)
-    table = np.zeros(int(bits) + 1, bool)
-    table[tokens & bits] = True
-    at = np.flatnonzero(table[grams & bits])
-    which = np.searchsorted(tokens, grams[at])
-    which[which == len(tokens)] = 0
-    same = tokens[which] == grams[at]
-    return at[same], which[same]
-
-
-def token_counts(docs: DataFrame, tokens: dict[int, np.ndarray]) -> dict[tuple[int, int], int]:
-    """How often each token occurs in all documents. Only the block's tokens reach the driver."""
-    kind = "length int, token long, n long"
-
-    def run(batches):
-        total = {k: np.zeros(len(v), np.int64) for k, v in tokens.items()}
-        for batch in batches:
-            for _, _, part in Texts.of(batch.column(0)).slices():
-                words = Words(part, NOT_ALNUM, lower=True)
-                for k, v in tokens.items():
-                    _, which = _places(words, k, v)
-                    total[k] += np.bincount(which, minlength=len(v))
-        for k, v in tokens.items():
-            some = np.flatnonzero(total[k])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * len(some), pa.int32()), pa.array(v[some].view(np.int64)), pa.array(total[k][some])],
-                names=["length", "token", "n"],
-            )
-
-    counted = docs.select("text").mapInArrow(run, kind).groupBy("length", "token").agg(F.sum("n").alias("n"))
-    return {(r["length"], r["token"] & (2**64 - 1)): r["n"] for r in counted.collect()}
-
-
 @dataclass
 class Index:
     """Windows by their prefix token: `tokens[k]` sorted, `windows[k][t]` lists (window, place in it)."""
@@ -124,111 +87,190 @@ class Index:
         tokens = {k: np.array(sorted(v), np.uint64) for k, v in chosen.items()}
         return cls(block, tokens, {k: [chosen[k][t] for t in v.tolist()] for k, v in tokens.items()})
 
-    def search(self, words: Words) -> dict[int, tuple[set[int], np.ndarray]]:
-        """By text: the windows it contains, and which of its words they cover."""
-        found: dict[int, tuple[set[int], np.ndarray]] = {}
-        for k, tokens in self.tokens.items():
-            at, which = _places(words, k, tokens)
-            if not len(at):
-                continue
-            text = np.searchsorted(words.first, at, side="right") - 1
-            for place, token, i in zip(at.tolist(), which.tolist(), text.tolist()):
-                low, high = int(words.first[i]), int(words.first[i + 1])
-                for number, shift in self.windows[k][token]:
-                    window = self.block.words[number]
-                    start = place - shift
-                    if start < low or start + len(window) > high:
-                        continue
-                    if (words.hashes[start : start + len(window)] == window).all():
-                        if i not in found:
-                            found[i] = (set(), np.zeros(high - low, bool))
-                        found[i][0].add(number)
-                        found[i][1][start - low : start - low + len(window)] = True
-        return found
-
-
-FOUND = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.LongType())),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ]
-)
+
+def _windows(benchmark: DataFrame, block: int) -> DataFrame:
+    """Distinct windows of the items: item, words, k (the shingle length). A task makes `block` of them at a time."""
+
+    def run(batches):
+        for batch in batches:
+            for item, text in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                words = Words(Texts.of(pa.array([text], pa.string())), NOT_ALNUM, lower=True).hashes
+                for i in range(0, max(1, len(words) - WINDOW + 1) if len(words) else 0, block):
+                    made = Windows.of([(item, words[i : i + block + WINDOW - 1])]).words
+                    columns = [
+                        pa.array([item] * len(made), pa.string()),
+                        pa.array([w.view(np.int64) for w in made], pa.list_(pa.int64())),
+                        pa.array([min(SHINGLE, len(w)) for w in made], pa.int32()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["item", "words", "k"])
+
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return named.where("text is not null").mapInArrow(run, "item string, words array<long>, k int").distinct()
+
+
+def _block(column: pa.Array) -> Windows:
+    words = [np.array(w, np.int64).view(np.uint64) for w in column.to_pylist()]
+    return Windows(words, [[] for _ in words])
 
 
-def _spans(covered: np.ndarray) -> list[int]:
-    """Starts and ends, in turns, of the covered runs."""
-    return np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]))).tolist()
+def _prefixes(windows: DataFrame) -> DataFrame:
+    """Per window with its shingles' counts: words, k, tokens, and the prefix token and its place."""
+
+    def run(batches):
+        for batch in batches:
+            block = _block(batch.column(0))
+            counts = {}
+            for k, pairs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                counts |= {(k, token & (2**64 - 1)): n for token, n in pairs}
+            index = Index.of(block, counts)
+            rows = []
+            for k, tokens in index.tokens.items():
+                for token, found in zip(tokens.tolist(), index.windows[k]):
+                    if counts.get((k, token), 0):
+                        rows += [(number, k, token, place) for number, place in found]
+            words = [block.words[r[0]] for r in rows]
+            columns = [
+                pa.array([w.view(np.int64) for w in words], pa.list_(pa.int64())),
+                pa.array([r[1] for r in rows], pa.int32()),
+                pa.array([_shingles(w, r[1]).view(np.int64) for w, r in zip(words, rows)], pa.list_(pa.int64())),
+                pa.array(np.array([r[2] for r in rows], np.uint64).view(np.int64)),
+                pa.array([r[3] for r in rows], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["words", "k", "tokens", "token", "shift"])
+
+    kind = "words array<long>, k int, tokens array<long>, token long, shift int"
+    return windows.select("words", "k", "counts").mapInArrow(run, kind)
+
+
+def _tokens(windows: DataFrame) -> DataFrame:
+    """The distinct shingles of each window: words, k, token."""
+
+    def run(batches):
+        for batch in batches:
+            words = batch.column(0)
+            found = [Windows([w], [[]]).shingles() for w in _block(words).words]
+            made = [next(iter(f.values())).view(np.int64) for f in found]
+            columns = [words, batch.column(1), pa.array(made, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["words", "k", "tokens"])
+
+    listed = windows.select("words", "k").distinct().mapInArrow(run, "words array<long>, k int, tokens array<long>")
+    return listed.select("words", "k", F.explode("tokens").alias("token"))
+
+
+def _filter(tokens: DataFrame) -> dict[int, np.ndarray]:
+    """By shingle length: a table of flags, set for the low bits of the windows' shingles."""
+    place = tokens.select("k", F.col("token").bitwiseAND((1 << FILTER_BITS) - 1).alias("low"))
+    slot = place.select("k", F.shiftright("low", 6).alias("slot"), F.expr("shiftleft(1L, cast(low & 63 as int))").alias("flag"))
+    out: dict[int, np.ndarray] = {}
+    for r in slot.groupBy("k", "slot").agg(F.bit_or("flag").alias("flags")).collect():
+        table = out.setdefault(r["k"], np.zeros(1 << (FILTER_BITS - 6), np.int64))
+        table[r["slot"]] = r["flags"]
+    return {k: np.unpackbits(v.astype("<i8").view(np.uint8), bitorder="little") for k, v in out.items()}
 
 
-def _search_block(docs: DataFrame, index: Index, before: str | None, prefix: str) -> DataFrame:
+def _places(numbered: DataFrame, row: str, flags: dict[int, np.ndarray]) -> DataFrame:
+    """Where shingles that pass the filter are in the documents: row, n_words, k, token, place."""
+    packed = {k: np.packbits(v) for k, v in flags.items()}
+    mask = np.uint64((1 << FILTER_BITS) - 1)
+
+    def run(batches):
+        tables = {k: np.unpackbits(v).view(bool) for k, v in packed.items()}
+        for batch in batches:
+            rows = batch.column(0).to_numpy()
+            for low, _, part in Texts.of(batch.column(1)).slices():
+                words = Words(part, NOT_ALNUM, lower=True)
+                for k, table in tables.items():
+                    grams = words.grams(k)
+                    at = np.flatnonzero(table[grams & mask])
+                    text = np.searchsorted(words.first, at, side="right") - 1
+                    inside = at + k <= words.first[text + 1]
+                    at, text = at[inside], text[inside]
+                    columns = [rows[low + text], words.counts()[text], np.full(len(at), k, np.int32)]
+                    columns += [grams[at].view(np.int64), at - words.first[text]]
+                    for i in range(0, len(at), 100_000):
+                        part_of = [pa.array(c[i : i + 100_000]) for c in columns]
+                        yield pa.RecordBatch.from_arrays(part_of, names=["row", "n_words", "k", "token", "place"])
+
+    kind = "row long, n_words long, k int, token long, place long"
+    return numbered.select(F.col(row).alias("row"), "text").mapInArrow(run, kind)
+
+
+def _matches(places: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Windows in documents: row, start, words."""
+    counts = places.groupBy("k", "token").agg(F.count("*").alias("n"))
+    rarity = tokens.join(counts, ["k", "token"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # A window with a shingle that no document has is in none.
+    listed = rarity.groupBy("words", "k").agg(F.collect_list(F.struct("token", "n")).alias("pairs"), F.min("n").alias("least")).where("least > 0")
+    prefix = _prefixes(listed.select("words", "k", F.map_from_entries("pairs").alias("counts")))
+    begin = F.col("place") - F.col("shift")
+    met = places.join(prefix, ["k", "token"]).where((begin >= 0) & (begin + F.size("words") <= F.col("n_words")))
+    found = stored(met.select("row", begin.alias("start"), "words", "k", "tokens"))
+    # Every k-th shingle and the last one hold all words of a window.
+    last = F.size("tokens") - 1
+    needed = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.col("k")), F.array(last)))
+    apart = found.withColumn("needed", needed).select("*", F.explode("needed").alias("i"))
+    wanted = apart.select("row", "start", "words", "k", F.size("needed").alias("all"), (F.col("start") + F.col("i")).alias("place"), F.col("tokens")[F.col("i")].alias("token"))
+    held = wanted.join(places.drop("n_words"), ["row", "place", "k", "token"])
+    return held.groupBy("row", "start", "words", "all").agg(F.count("*").alias("held")).where("held = all").select("row", "start", "words")
+
+
+def _found(places: DataFrame, windows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Per row with a window: spans (hit runs of words: start, end, start, ...) and items."""
+    match = stored(_matches(places, tokens))
+    runs = match.select("row", "start", (F.col("start") + F.size("words")).alias("end")).distinct()
+    order = Window.partitionBy("row").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.withColumn("new", F.coalesce((F.col("start") > before).cast("long"), F.lit(0)))
+    run = marked.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = run.groupBy("row", "run").agg(F.min("start").alias("a"), F.max("end").alias("b"))
+    listed = whole.groupBy("row").agg(F.array_sort(F.collect_list(F.array("a", "b"))).alias("pairs"))
+    spans = listed.select("row", F.flatten("pairs").alias("spans"))
+    named = match.select("row", "words").distinct().join(windows.select("words", "item"), "words").select("row", "item").distinct()
+    items = named.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    return spans.join(items, "row")
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, row: str, block: int) -> DataFrame:
+    windows = stored(_windows(benchmark, block))
+    tokens = stored(_tokens(windows))
+    return stored(_found(stored(_places(docs, row, _filter(tokens))), windows, tokens))
+
+
+def _counted(docs: DataFrame, prefix: str) -> DataFrame:
     def compute(batch):
         texts = Texts.of(batch.column("text"))
         counts = np.zeros(len(texts), np.int64)
-        spans: list[list[int]] = [[] for _ in range(len(texts))]
-        items: list[list[str]] = [[] for _ in range(len(texts))]
         for low, high, part in texts.slices():
-            words = Words(part, NOT_ALNUM, lower=True)
-            counts[low:high] = words.counts()
-            for i, (windows, covered) in index.search(words).items():
-                spans[low + i] = _spans(covered)
-                items[low + i] = sorted({x for w in windows for x in index.block.items[w]})
-        if before is not None:
-            old = zip(batch.column(f"{before}spans").to_pylist(), batch.column(f"{before}items").to_pylist())
-            for i, (was, had) in enumerate(old):
-                if was:
-                    spans[i] = _union(int(counts[i]), was, spans[i])
-                    items[i] = sorted({*had, *items[i]})
-        return [counts, spans, items]
-
-    return append_columns(docs, FOUND, compute, prefix)
-
-
-def _union(n: int, a: list[int], b: list[int]) -> list[int]:
-    covered = np.zeros(n, bool)
-    for spans in (a, b):
-        for low, high in zip(spans[::2], spans[1::2]):
-            covered[low:high] = True
-    return _spans(covered)
-
-
-def _blocks(benchmark: DataFrame, block: int):
-    """Windows of the items, a bounded number at a time; items are read from Spark as they are needed."""
-    rows, size = [], 0
-    narrow = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    for r in narrow.where("text is not null").toLocalIterator():
-        words = Words(Texts.of(pa.array([r["text"]], pa.string())), NOT_ALNUM, lower=True).hashes
-        for i in range(0, max(1, len(words) - WINDOW + 1), block):
-            part = words[i : i + block + WINDOW - 1]
-            count = max(1, len(part) - WINDOW + 1)
-            if rows and size + count > block:
-                yield Windows.of(rows)
-                rows, size = [], 0
-            if len(part):
-                rows.append((r["item"], part))
-                size += count
-    yield Windows.of(rows)
+            counts[low:high] = Words(part, NOT_ALNUM, lower=True).counts()
+        return [counts]
+
+    return append_columns(docs, T.StructType([T.StructField("n_words", T.LongType())]), compute, prefix)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, prefix: str = "", block: int = BLOCK) -> DataFrame:
-    """Every row of `docs` with n_words, spans (hit runs of words: start, end, start, ...) and items."""
-    out, before = None, None
-    for number, windows in enumerate(_blocks(benchmark, block)):
-        index = Index.of(windows, token_counts(docs, windows.shingles()))
-        if out is None:
-            out, before = _search_block(docs, index, None, prefix), prefix
-            continue
-        # A further block: the rows found so far are written once, so that one block is in memory at a time.
-        now = free_prefix(out, f"{prefix}b{number}")
-        searched = _search_block(stored(out), index, before, now)
-        names = [f.name for f in FOUND]
-        out = searched.select(*columns_of(docs), *[F.col(now + c).alias(prefix + c) for c in names])
-    return out
+    """Every row of `docs` with n_words, spans (hit runs of words: start, end, start, ...) and items.
+
+    `docs` must give its rows in the same parts when read twice, as files do.
+    """
+    row = free_prefix(docs) + "row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = _search(numbered, benchmark, row, block)
+    return _joined(_counted(numbered, prefix), found, row, prefix)
+
+
+def _joined(counted: DataFrame, found: DataFrame, row: str, prefix: str) -> DataFrame:
+    none = {"spans": F.array().cast("array<long>"), "items": F.array().cast("array<string>")}
+    named = found.select(F.col("row").alias(row), *[F.col(c).alias(prefix + c) for c in none])
+    both = counted.join(named, row, "left").drop(row)
+    return both.withColumns({prefix + c: F.coalesce(F.col(prefix + c), v) for c, v in none.items()})
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    return summary(find_items(docs.select("doc_id", "text"), benchmark, block=block)).drop("text", "spans", "items")
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    found = _search(numbered, benchmark, "row", block)
+    # Texts stay where they are: only counts meet what was found.
+    return summary(_joined(_counted(numbered, "").drop("text"), found, "row", "")).drop("spans", "items")
 
 
 def summary(found: DataFrame, prefix: str = "") -> DataFrame:
@@ -256,6 +298,10 @@ def summary(found: DataFrame, prefix: str = "") -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of `docs` that are not contaminated, with their columns."""
-    prefix = free_prefix(docs)
-    judged = summary(find_items(docs, benchmark, prefix, block), prefix)
-    return judged.where(~F.col(f"{prefix}contaminated")).select(*columns_of(docs))
+    row = free_prefix(docs) + "row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = _search(numbered, benchmark, row, block)
+    counted = _counted(numbered.select("text", row), "").drop("text")
+    judged = summary(_joined(counted.withColumn("r", F.col(row)), found, row, "")).where("contaminated")
+    bad = stored(judged.select(F.col("r").alias(row)))
+    return numbered.join(bad, row, "left_anti").select(*columns_of(docs))

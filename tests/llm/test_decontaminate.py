@@ -99,3 +99,17 @@ def test_prefix_token_is_the_rarest():
     rare = grams[5]
     index = decontaminate.Index.of(block, {(4, g): 1 + (g != rare) for g in grams})
     assert index.tokens[4].tolist() == [rare]
+
+
+def test_the_benchmark_stays_in_spark(spark, monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("the benchmark goes through the driver")
+
+    for name in ("toLocalIterator", "toPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, refused)
+    check(spark, 3)
+
+
+def test_a_full_filter_loses_no_match(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 6)
+    check(spark, 4)
