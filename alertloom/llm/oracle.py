@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alertloom.llm import chat
+from alertloom.llm import chat, link_trust
 from alertloom.llm.licenses import PERCENT, TEMPLATES, bigrams_of
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -217,6 +217,131 @@ join ends on ends.state = b.state
 """
 
 
+def _rules() -> str:
+    given = ", ".join(f"('{v}', '{r}')" for v, r in link_trust.RULES)
+    link = link_trust.LINK.replace("'", "''")
+    passed, unit = link_trust.PASSED, link_trust.UNIT
+    least = unit * (100 - passed) // 100 * link_trust.BLOCKED // 100
+    return f"""
+with recursive rules as (
+    select verdict, rule, regexp_extract(rule, '^[^/]*') as host, regexp_replace(rule, '^[^/]*', '') as start
+    from (values {given}) as given(verdict, rule)
+),
+urls as (
+    select row_number() over () as u, page_id, html,
+           coalesce({_lower(f"regexp_extract(url, '{link_trust.URL}', 1)")}, '') as host,
+           coalesce(regexp_extract(url, '{link_trust.URL}', 2), '') as path
+    from pages
+),
+decided as (
+    select u, rule, rules.verdict from urls join rules
+        on (urls.host = rules.host or ends_with(urls.host, '.' || rules.host)) and starts_with(path, start)
+    qualify row_number() over (partition by u order by length(rule) desc, length(rules.host) desc, rules.verdict desc) = 1
+),
+counted as (
+    select host, count(*) as n, count(*) filter (verdict = 'allow') as allowed, count(*) filter (verdict = 'block') as blocked
+    from urls left join decided using (u) where host != '' group by host
+),
+found as (
+    select host as a, {_lower("unnest(regexp_extract_all(html, '" + link + "', 1))")} as b from urls
+),
+links as (select a, b, count(*) as n from found where a != '' and b != '' and a != b group by a, b),
+ways as (
+    select 'trust' as kind, a, b, n, sum(n) over (partition by a) as total from links
+    union all
+    select 'distrust', b, a, n, sum(n) over (partition by b) from links
+),
+walk as (
+    select 0 as step, 'trust' as kind, host, ({unit} * allowed // n) * {100 - passed} // 100 as score from counted
+    union all
+    select 0, 'distrust', host, ({unit} * blocked // n) * {100 - passed} // 100 from counted
+    union all
+    select step + 1, kind, b, sum((score::hugeint * n // total) * {passed} // 100)::bigint
+    from walk join ways using (kind) where walk.host = ways.a and step < {link_trust.STEPS} and score > 0
+    group by step, kind, b
+),
+scores as (
+    select host, sum(score) filter (kind = 'trust')::bigint as trust, sum(score) filter (kind = 'distrust')::bigint as distrust
+    from walk group by host
+)
+select page_id, host, path, rule,
+       case when decided.verdict is not null then decided.verdict
+            when distrust > trust and distrust >= {least} then 'block' else 'allow' end as verdict,
+       coalesce(trust, 0)::bigint as trust, coalesce(distrust, 0)::bigint as distrust
+from urls left join decided using (u) left join scores using (host)
+"""
+
+
+def _crc32(text: str) -> str:
+    """Of an ASCII text: one step for each byte, by the table of the polynomial's remainders."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    step = f"xor(c >> 8, {table}[(xor(c, b) & 255) + 1])"
+    codes = f"[ascii(x)::bigint for x in string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of trees (tree, i, n, node), and what stands before and after each in its run."""
+    return f"""
+{name} as (
+    select 0 as level, tree, i, n, node from {leaves}
+    union all
+    select level + 1, tree, i // 3, (n + 2) // 3, sha256(string_agg(node, '' order by i))
+    from {name} where n > 1 group by level, tree, i // 3, n
+),
+{name}_runs as (
+    select level, tree, i, n,
+           coalesce(string_agg(node, '') over (w rows between unbounded preceding and 1 preceding), '') as earlier,
+           coalesce(string_agg(node, '') over (w rows between 1 following and unbounded following), '') as later
+    from {name} where n > 1 window w as (partition by level, tree, i // 3 order by i)
+)"""
+
+
+def _way_up(name: str, tree: str, start: str) -> str:
+    """From each row (r, tree, i, n, proof, now) of `start` to its tree's root."""
+    return f"""
+{name} as (
+    select 0 as level, r, tree, i, n, proof, now from {start}
+    union all
+    select w.level + 1, r, w.tree, w.i // 3, (w.n + 2) // 3, proof || earlier || later, sha256(earlier || now || later)
+    from {name} w join {tree}_runs s on s.level = w.level and s.tree is not distinct from w.tree and s.i = w.i
+)"""
+
+
+def _manifest() -> str:
+    def leaf(text: str) -> str:
+        values = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')" for v in values) + ")"
+
+    return f"""
+with recursive docs as (
+    select row_number() over () as r, doc_id, source as tree, {leaf("text")} as leaf,
+           case when {_crc32("doc_id::varchar")} % 2 = 0 then {leaf("replace(text, chr(10), '')")} else {leaf("text")} end as other
+    from documents
+),
+placed as (
+    select *, leaf as node, '' as proof, other as now, count(*) over (partition by tree) as n,
+           row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i
+    from docs
+),{_tree("low", "placed")},
+tops as (
+    select 0 as tree, tree as source, row_number() over (order by tree nulls first) - 1 as i, count(*) over () as n, node
+    from low where n = 1
+),{_tree("high", "tops")},{_way_up("climbed", "low", "placed")},
+reached as (
+    select r, t.tree, t.i, t.n, proof, now from climbed c join tops t on t.source is not distinct from c.tree where c.n = 1
+),{_way_up("ended", "high", "reached")},
+root as (select node from high where n = 1)
+select doc_id, leaf, t.node as subroot, root.node as root, sha256(e.proof) as proof_sha256, e.now as folded_root,
+       e.now = root.node as verified
+from docs d join ended e on e.r = d.r and e.n = 1 join tops t on t.source is not distinct from d.tree, root
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op2_chat_formatting": _chat(),
@@ -224,4 +349,6 @@ def statements() -> dict[str, str]:
         "op3_warc_assembly": _warc(),
         "op4_license_scan": _licenses(),
         "op6_decontamination": _contamination(),
+        "op11_url_filters": _rules(),
+        "op12_merkle_manifest": _manifest(),
     }

@@ -10,6 +10,8 @@ from alertloom.llm import (
     chat,
     decontaminate,
     licenses,
+    link_trust,
+    merkle,
     ngram_join,
     oracle,
     packing,
@@ -80,6 +82,14 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_table(table(spark, sf, "documents"))
 
 
+def op11_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return link_trust.filter_urls(table(spark, sf, "pages"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.proof_report(table(spark, sf, "documents"))
+
+
 OPERATORS = (
     op1_ngram_jaccard_join,
     op2_chat_formatting,
@@ -91,6 +101,8 @@ OPERATORS = (
     op8_best_fit_packing,
     op9_personal_data,
     op10_token_files,
+    op11_url_filters,
+    op12_merkle_manifest,
 )
 
 
