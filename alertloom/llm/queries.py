@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from alertloom.llm import (
+    alignment,
     chat,
     decontaminate,
     licenses,
@@ -90,6 +91,10 @@ def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.proof_report(table(spark, sf, "documents"))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf, "documents"))
+
+
 OPERATORS = (
     op1_ngram_jaccard_join,
     op2_chat_formatting,
@@ -103,6 +108,7 @@ OPERATORS = (
     op10_token_files,
     op11_url_filters,
     op12_merkle_manifest,
+    op13_cross_tokenizer,
 )
 
 
