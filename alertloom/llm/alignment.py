@@ -40,10 +40,13 @@ A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Pairs of ids, at 16 bytes each, that are sent to all tasks at most.
 MOST_SENT = 1 << 21
 # A process forgets its chunks at this number of them or of their characters; longer ones are not looked up again.
-_MOST_CACHED, _MOST_CHARACTERS, _LONGEST_CACHED = 300_000, 4_000_000, 64
+_MOST_CACHED, _MOST_CHARACTERS, _LONGEST_CACHED = 500_000, 6_000_000, 64
 # Pairs wait in a task to be summed up to this number.
 _MOST_WAITING = 1 << 21
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+# White space, what follows, and on over white space other than a space or line end.
+_CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+# Bits of B's ids in a pair, and of a pair.
+B_BITS, _BITS = 20, 41
 _MARK = "▁"
 
 
@@ -80,6 +83,9 @@ class Aligner:
             if x and (x not in first or self.b.is_byte(first[x])):
                 first[x] = i
         self.same = np.array([first.get(x, -1) if x else -1 for x in self.bytes_a], np.int64)
+        if len(self.bytes_a) >= 1 << (_BITS - B_BITS) or len(self.bytes_b) >= 1 << B_BITS:
+            raise ValueError("a vocabulary has too many entries")
+        self.length_a, self.length_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
         self._clear()
 
     def _bytes_b(self, i: int) -> bytes:
@@ -97,66 +103,87 @@ class Aligner:
         self.texts: list[str] = []
         self.size = 0
 
-    def _align(self, chunk: str) -> int:
-        ids_a = self.a.encode(chunk, add_special_tokens=False).ids
+    def _align(self, chunks: list[str]) -> dict[str, int]:
+        """Align new chunks; the number of each. Cuts lie between chunks, so all are aligned as one run of bytes."""
+        ids_a = [x.ids for x in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         # The line end keeps the space that B puts before a text apart from the chunk.
-        ids_b = self.b.encode("\n" + chunk)[2:]
-        parts_a, parts_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if not b"".join(parts_a) == chunk.encode() == b"".join(parts_b):
-            return self._keep(chunk, (0, 0, 0, 0, 0), np.zeros(0, np.int64), "")
-        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        ends_a, ends_b = np.cumsum([len(x) for x in parts_a]), np.cumsum([len(x) for x in parts_b])
+        ids_b = [x[2:] for x in self.b.encode(["\n" + c for c in chunks], num_threads=1)]
+        data = [c.encode() for c in chunks]
+        spelt = [self._spell(self.bytes_a, a) == d == self._spell(self.bytes_b, b) for a, b, d in zip(ids_a, ids_b, data)]
+        for i in (i for i, x in enumerate(spelt) if not x):
+            ids_a[i], ids_b[i], data[i] = [], [], b""
+        a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # Tokens of A from the one in which a token of B begins to the one in which it ends.
-        low = np.searchsorted(ends_a, np.append(0, ends_b[:-1]), side="right")
+        low = np.searchsorted(ends_a, ends_b - self.length_b[b], side="right")
         each = np.searchsorted(ends_a, ends_b) - low + 1
         of_a = np.repeat(low - np.cumsum(each) + each, each) + np.arange(each.sum())
-        both = np.intersect1d(ends_a, ends_b)
+        links = a[of_a] << B_BITS | np.repeat(b, each)
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         groups, i, j = [], 0, 0
-        for x, y in zip((np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist()):
-            groups.append(",".join(map(str, ids_a[i:x])) + "|" + ",".join(map(str, ids_b[j:y])))
+        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        for x, y in zip((np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist()):
+            if x == i + 1 and y == j + 1:
+                groups.append(f"{names_a[i]}|{names_b[j]}")
+            else:
+                groups.append(",".join(names_a[i:x]) + "|" + ",".join(names_b[j:y]))
             i, j = x, y
-        links = a[of_a] << 32 | np.repeat(b, each)
-        return self._keep(chunk, (1, len(a), len(b), len(both), len(links)), links, ";".join(groups))
-
-    def _keep(self, chunk: str, facts: tuple[int, ...], links: np.ndarray, groups: str) -> int:
+        # The chunks' shares of all this, by their places.
+        upto = np.cumsum([0, *map(len, data)])
+        of_group = np.searchsorted(cuts, upto, side="right")
+        of_b = np.searchsorted(ends_b, upto, side="right")
+        of_link = np.concatenate([[0], np.cumsum(each)])[of_b]
+        facts = [np.array(spelt), np.diff(np.searchsorted(ends_a, upto, side="right")), np.diff(of_b), np.diff(of_group), np.diff(of_link)]
+        first = self._keep(np.stack([*facts, self.size + of_link[:-1]], axis=1), links)
+        self.texts += [";".join(groups[x:y]) for x, y in zip(of_group.tolist(), of_group[1:].tolist())]
+        self.characters += sum(map(len, chunks))
+        made = dict(zip(chunks, range(first, first + len(chunks))))
+        self.numbers.update((c, n) for c, n in made.items() if len(c) <= _LONGEST_CACHED)
+        return made
+
+    @staticmethod
+    def _spell(entries: list[bytes], ids: list[int]) -> bytes:
+        return b"".join([entries[i] for i in ids])
+
+    def _keep(self, facts: np.ndarray, links: np.ndarray) -> int:
         number = len(self.texts)
-        if number == len(self.facts):
+        while number + len(facts) > len(self.facts):
             self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
         while self.size + len(links) > len(self.links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        self.facts[number] = (*facts, self.size)
+        self.facts[number : number + len(facts)] = facts
         self.links[self.size : self.size + len(links)] = links
         self.size += len(links)
-        self.texts.append(groups)
-        self.characters += len(chunk)
-        if len(chunk) <= _LONGEST_CACHED:
-            self.numbers[chunk] = number
         return number
 
     def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """Per text the number of tokens of A and B, groups and links; all links and the offsets of the texts; the groups."""
         if len(self.texts) > _MOST_CACHED or self.characters > _MOST_CHARACTERS:
             self._clear()
-        chunks = [self._chunks(text) if text else [] for text in texts]
-        for i, numbers in enumerate(chunks):
-            if not self.facts[numbers, 0].all():
-                chunks[i] = []
+        chunks = [_CHUNK.findall(" " + text) if text else [] for text in texts]
+        known = self.numbers.get
+        every = [c for x in chunks for c in x]
+        numbers = list(map(known, every))
+        new = list({c for c, n in zip(every, numbers) if n is None})
+        if new:
+            made = self._align(new)
+            numbers = [made[c] if n is None else n for c, n in zip(every, numbers)]
         ends = np.cumsum([0, *map(len, chunks)])
-        facts = self.facts[[n for numbers in chunks for n in numbers]]
+        numbers = np.array(numbers, np.int64)
+        # A text with a chunk that is not spelt has no tokens.
+        odd = np.diff(np.concatenate([[0], np.cumsum(self.facts[numbers, 0] == 0)])[ends]) > 0
+        if odd.any():
+            numbers = numbers[~np.repeat(odd, np.diff(ends))]
+            ends = np.cumsum([0, *np.where(odd, 0, np.diff(ends))])
+        facts = self.facts[numbers]
         sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(facts[:, 1:5], axis=0)])[ends]
         lengths = facts[:, 4]
         take = np.arange(lengths.sum()) + np.repeat(facts[:, 5] - np.cumsum(lengths) + lengths, lengths)
-        names = [hashlib.sha256(";".join([self.texts[n] for n in x]).encode()).hexdigest() if x else "" for x in chunks]
+        told = [self.texts[n] for n in numbers.tolist()]
+        spans = zip(ends.tolist(), ends[1:].tolist())
+        names = [hashlib.sha256(";".join(told[x:y]).encode()).hexdigest() if x < y else "" for x, y in spans]
         return np.diff(sums, axis=0), self.links[take], sums[:, 3], names
 
-    def _chunks(self, text: str) -> list[int]:
-        out = []
-        known = self.numbers.get
-        for chunk in _CUT.split(" " + text):
-            number = known(chunk)
-            out.append(self._align(chunk) if number is None else number)
-        return out
-
 
 @lru_cache(maxsize=1)
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -171,9 +198,8 @@ def _paths(path_a: str | None, path_b: str | None) -> tuple[str, str]:
 def _distinct(links: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The text, the link and the number of occurrences of every link of every text."""
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    known, number = np.unique(links, return_inverse=True)
-    keys, n = np.unique(text * max(len(known), 1) + number, return_counts=True)
-    return keys // max(len(known), 1), known[keys % max(len(known), 1)] if len(known) else known, n
+    keys, n = np.unique(text << _BITS | links, return_counts=True)
+    return keys >> _BITS, keys & ((1 << _BITS) - 1), n
 
 
 def _slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
@@ -190,7 +216,7 @@ def _slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[
 
 
 def pair_counts(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
-    """(pair, docs) for every pair of ids linked anywhere; a pair is A's id in the upper 32 bits and B's in the lower."""
+    """(pair, docs) for every pair of ids linked anywhere; a pair is A's id, and B's in the lower 20 bits."""
     paths = _paths(path_a, path_b)
 
     def batch_of(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -209,8 +235,8 @@ def pair_counts(docs: DataFrame, path_a: str | None = None, path_b: str | None =
             for _, texts in _slices(batch.column(0)):
                 _, links, offsets, _ = aligner(*paths).read(texts)
                 _, pairs, _ = _distinct(links, offsets)
-                is_exact = same[pairs >> 32] == (pairs & 0xFFFFFFFF)
-                exact += np.bincount(pairs[is_exact] >> 32, minlength=len(exact))
+                is_exact = same[pairs >> B_BITS] == (pairs & ((1 << B_BITS) - 1))
+                exact += np.bincount(pairs[is_exact] >> B_BITS, minlength=len(exact))
                 waiting.append(pairs[~is_exact])
                 size += len(waiting[-1])
                 if size > _MOST_WAITING:
@@ -218,7 +244,7 @@ def pair_counts(docs: DataFrame, path_a: str | None = None, path_b: str | None =
                     waiting, size = [], 0
         yield summed()
         seen = np.flatnonzero(exact)
-        yield batch_of(seen << 32 | same[seen], exact[seen])
+        yield batch_of(seen << B_BITS | same[seen], exact[seen])
 
     made = docs.select("text").mapInArrow(run, "pair long, docs long")
     return made.groupBy("pair").agg(F.sum("docs").alias("docs"))
@@ -248,7 +274,7 @@ def _report_by_arrays(docs: DataFrame, paths: tuple[str, str], pairs: np.ndarray
                 if not np.array_equal(pairs[np.minimum(at, len(pairs) - 1)], found):
                     raise ValueError("the documents are not those that were counted")
                 count = counts[at]
-                sums = _sums(text, n, count, best[found >> 32], len(texts))
+                sums = _sums(text, n, count, best[found >> B_BITS], len(texts))
                 columns = [pa.array(c) for c in (*rows.T, *sums)]
                 ids = batch.column(0).slice(low, len(texts))
                 yield pa.RecordBatch.from_arrays([ids, *columns, pa.array(names, pa.string())], names=kinds.names)
@@ -281,7 +307,7 @@ def _report_by_join(docs: DataFrame, paths: tuple[str, str], counts: DataFrame,
     salt = F.pmod(F.xxhash64("row"), F.lit(salts)).alias("salt")
     links = rows.select("row", salt, F.explode(F.arrays_zip("pairs", "times")).alias("x"))
     links = links.select("row", "salt", F.col("x.pairs").alias("pair"), F.col("x.times").alias("n"))
-    known = counts.withColumn("a", F.shiftright("pair", 32)).join(best, "a").drop("a")
+    known = counts.withColumn("a", F.shiftright("pair", B_BITS)).join(best, "a").drop("a")
     known = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     met = links.join(known, ["pair", "salt"])
     sums = met.groupBy("row").agg(
@@ -300,7 +326,7 @@ def align_documents(
     paths = _paths(path_a, path_b)
     counts = stored(pair_counts(docs, *paths))
     # At most one row for each entry of A's vocabulary.
-    best = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("docs").alias("most"))
+    best = counts.groupBy(F.shiftright("pair", B_BITS).alias("a")).agg(F.max("docs").alias("most"))
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     if counts.count() > most_sent:
         return _report_by_join(docs, paths, counts, best).select(columns)
@@ -308,6 +334,6 @@ def align_documents(
     pairs, n = (table.column(c).to_numpy() for c in ("pair", "docs"))
     order = np.argsort(pairs)
     pairs, n = pairs[order], n[order]
-    highest = np.zeros(int(pairs[-1] >> 32) + 1 if len(pairs) else 1, np.int64)
-    np.maximum.at(highest, pairs >> 32, n)
+    highest = np.zeros(int(pairs[-1] >> B_BITS) + 1 if len(pairs) else 1, np.int64)
+    np.maximum.at(highest, pairs >> B_BITS, n)
     return _report_by_arrays(docs, paths, pairs, n, highest).select(columns)

@@ -51,8 +51,9 @@ def aligned(text):
         return [], []
     cuts = sorted({y for _, _, y in a} & {y for _, _, y in b})
     groups = []
+    upto = [{y: n + 1 for n, (_, _, y) in enumerate(t)} | {0: 0} for t in (a, b)]
     for low, high in zip([0, *cuts], cuts):
-        groups.append(tuple(tuple(i for i, x, y in t if low <= x and y <= high) for t in (a, b)))
+        groups.append(tuple(tuple(i for i, _, _ in t[u[low] : u[high]]) for t, u in zip((a, b), upto)))
     by_place = [[] for _ in data]
     for i, x, y in b:
         for at in range(x, y):
@@ -122,7 +123,7 @@ def test_what_is_kept_of_chunks_is_bounded(monkeypatch):
     whole = [aligned(t) for t in texts]
     for text, (groups, links) in zip(texts, whole):
         rows, found, offsets, _ = one.read([text])
-        assert (rows[0][2], rows[0][3]) == (len(groups), len(links)) and sorted(found) == sorted(a << 32 | b for a, b in links)
+        assert (rows[0][2], rows[0][3]) == (len(groups), len(links)) and sorted(found) == sorted(a << alignment.B_BITS | b for a, b in links)
         assert len(one.texts) <= 50 + 31
 
 
@@ -130,7 +131,7 @@ def test_pair_counts_are_of_documents(spark):
     docs = awkward.frame(spark, [(1, "go go go", "en", "s", 0), (1, "go", "en", "s", 0), (2, "stop", "en", "s", 0)])
     got = {r["pair"]: r["docs"] for r in alignment.pair_counts(docs).collect()}
     expected = Counter(p for t in ("go go go", "go", "stop") for p in set(aligned(t)[1]))
-    assert got == {a << 32 | b: n for (a, b), n in expected.items()}
+    assert got == {a << alignment.B_BITS | b: n for (a, b), n in expected.items()}
 
 
 def test_no_rows(spark):
