@@ -6,9 +6,10 @@ an array over A's vocabulary names that token, so such a link is an index into a
 vocabulary, and documents are counted in that vector. All other links are counted as pairs of ids, summed in the task
 and then by a shuffle.
 
-Neither tokenizer has a token that goes on after a character into a following space or line end, so texts are cut into
-chunks there: white space and what follows up to the next. A chunk is aligned by itself, and each
-distinct chunk once; a document's numbers are sums over its chunks. What a task keeps of chunks is bounded.
+Texts are cut into chunks where neither tokenizer can have a token that goes on: before a space or line end, and between
+letters and marks if B has no entry of both. A splits there by its pattern; B's entries are looked through.
+A chunk is aligned by itself, and each distinct chunk once; a document's numbers are sums over its chunks. What a task
+keeps of chunks is bounded.
 
 The second pass looks counts up. Up to a stated number of pairs they are sent to all tasks as two arrays of whole
 numbers; beyond it each document's pairs are joined with them by a shuffle. Both give the same rows.
@@ -26,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -40,11 +42,18 @@ A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Pairs of ids, at 16 bytes each, that are sent to all tasks at most.
 MOST_SENT = 1 << 21
 # A process forgets its chunks at this number of them or of their characters; longer ones are not looked up again.
-_MOST_CACHED, _MOST_CHARACTERS, _LONGEST_CACHED = 500_000, 6_000_000, 64
+_MOST_CACHED, _MOST_CHARACTERS, _LONGEST_CACHED = 1_000_000, 12_000_000, 64
 # Pairs wait in a task to be summed up to this number.
 _MOST_WAITING = 1 << 21
-# White space, what follows, and on over white space other than a space or line end.
-_CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+# A chunk ends before a space or line end after something else; finer ones also where Latin letters and ASCII marks or
+# digits meet, except after an apostrophe, which can begin an ending.
+_LETTER, _SIGN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", "!-@\\[-`{-~"
+_COARSE = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+_FINE = re.compile(
+    rf"\s*+(?:[{_LETTER}]++(?![^{_SIGN} \n])|[{_SIGN}]++(?:(?![^ \n])|(?<!')(?=[{_LETTER}])))"
+    rf"|\s*+\S(?:(?!(?<=\S)[ \n]|(?<=[{_LETTER}])[{_SIGN}]|(?<![^{_SIGN}])(?<!')[{_LETTER}]).)*|\s++",
+    re.DOTALL,
+)
 # Bits of B's ids in a pair, and of a pair.
 B_BITS, _BITS = 20, 41
 _MARK = "▁"
@@ -85,6 +94,11 @@ class Aligner:
         self.same = np.array([first.get(x, -1) if x else -1 for x in self.bytes_a], np.int64)
         if len(self.bytes_a) >= 1 << (_BITS - B_BITS) or len(self.bytes_b) >= 1 << B_BITS:
             raise ValueError("a vocabulary has too many entries")
+        inner = [x.decode(errors="ignore").lstrip(" ") for x in self.bytes_b]
+        if any(" " in x or "\n" in x[1:] for x in inner):
+            raise ValueError("the second vocabulary has an entry that goes on after a space or line end")
+        is_mixed = any(x[:-1].isalpha() != x[1:].isalpha() or x.isalpha() != x[:1].isalpha() for x in inner if len(x) > 1)
+        self.chunk = _COARSE if is_mixed else _FINE
         self.length_a, self.length_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
         self._clear()
 
@@ -109,10 +123,13 @@ class Aligner:
         # The line end keeps the space that B puts before a text apart from the chunk.
         ids_b = [x[2:] for x in self.b.encode(["\n" + c for c in chunks], num_threads=1)]
         data = [c.encode() for c in chunks]
-        spelt = [self._spell(self.bytes_a, a) == d == self._spell(self.bytes_b, b) for a, b, d in zip(ids_a, ids_b, data)]
-        for i in (i for i, x in enumerate(spelt) if not x):
-            ids_a[i], ids_b[i], data[i] = [], [], b""
-        a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+        spelt = np.ones(len(chunks), bool)
+        if not self._spell(ids_a, self.bytes_a) == b"".join(data) == self._spell(ids_b, self.bytes_b):
+            for i, d in enumerate(data):
+                spelt[i] = self._spell(ids_a[i : i + 1], self.bytes_a) == d == self._spell(ids_b[i : i + 1], self.bytes_b)
+                if not spelt[i]:
+                    ids_a[i], ids_b[i], data[i] = [], [], b""
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # Tokens of A from the one in which a token of B begins to the one in which it ends.
         low = np.searchsorted(ends_a, ends_b - self.length_b[b], side="right")
@@ -133,7 +150,7 @@ class Aligner:
         of_group = np.searchsorted(cuts, upto, side="right")
         of_b = np.searchsorted(ends_b, upto, side="right")
         of_link = np.concatenate([[0], np.cumsum(each)])[of_b]
-        facts = [np.array(spelt), np.diff(np.searchsorted(ends_a, upto, side="right")), np.diff(of_b), np.diff(of_group), np.diff(of_link)]
+        facts = [spelt, np.diff(np.searchsorted(ends_a, upto, side="right")), np.diff(of_b), np.diff(of_group), np.diff(of_link)]
         first = self._keep(np.stack([*facts, self.size + of_link[:-1]], axis=1), links)
         self.texts += [";".join(groups[x:y]) for x, y in zip(of_group.tolist(), of_group[1:].tolist())]
         self.characters += sum(map(len, chunks))
@@ -142,8 +159,8 @@ class Aligner:
         return made
 
     @staticmethod
-    def _spell(entries: list[bytes], ids: list[int]) -> bytes:
-        return b"".join([entries[i] for i in ids])
+    def _spell(ids: list[list[int]], entries: list[bytes]) -> bytes:
+        return b"".join([entries[i] for x in ids for i in x])
 
     def _keep(self, facts: np.ndarray, links: np.ndarray) -> int:
         number = len(self.texts)
@@ -160,7 +177,7 @@ class Aligner:
         """Per text the number of tokens of A and B, groups and links; all links and the offsets of the texts; the groups."""
         if len(self.texts) > _MOST_CACHED or self.characters > _MOST_CHARACTERS:
             self._clear()
-        chunks = [_CHUNK.findall(" " + text) if text else [] for text in texts]
+        chunks = [self.chunk.findall(" " + text) if text else [] for text in texts]
         known = self.numbers.get
         every = [c for x in chunks for c in x]
         numbers = list(map(known, every))
