@@ -41,6 +41,7 @@ UNIT = 10**9
 PASSED, BLOCKED = 85, 25
 # What is left to pass on after these steps is under a hundredth.
 STEPS = 30
+SALTS = 16
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)<a[\t\n\f\r ][^<>]*?href[\t\n\f\r ]*=[\t\n\f\r ]*["']?[\t\n\f\r ]*(?:[a-z][a-z0-9+.-]*:)?//([^"'/?#<>\t\n\f\r ]*)"""
@@ -76,12 +77,19 @@ def rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return met.groupBy("host").agg(F.array_sort(F.collect_set(order)).alias("rules"))
 
 
+def with_hosts(urls: DataFrame, facts: DataFrame) -> DataFrame:
+    """`urls` with what is known of their hosts; a host with very many urls is dealt out by a salt."""
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = urls.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)))
+    return salted.join(facts.withColumn("salt", F.explode(salts)), ["host", "salt"], "left").drop("salt")
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Per page: page_id, host, path, and the rule that decides with its verdict, if any."""
     urls = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
     known = rules_of_hosts(urls.select("host").distinct(), rules)
     first = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["start"])), F.lit(0))
-    found = urls.join(known, "host", "left").withColumn("found", first)
+    found = with_hosts(urls, known).withColumn("found", first)
     return found.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("verdict"))
 
 
@@ -140,9 +148,8 @@ def filter_urls(
     least = UNIT * (100 - passed) // 100 * blocked // 100
     bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least)
     verdict = F.coalesce("verdict", F.when(bad, "block").otherwise("allow"))
-    joined = judged.join(scores, "host", "left")
     zero = F.lit(0).cast("long")
-    return joined.select(
+    return with_hosts(judged, scores).select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("trust", zero).alias("trust"),
         F.coalesce("distrust", zero).alias("distrust"),
     )
