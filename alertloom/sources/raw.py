@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 
 from alertloom import schemas as S
 
-# Accepts milliseconds or microseconds and a numeric UTC offset, with or without a colon.
+# Accepts milliseconds or microseconds and a numeric UTC offset: hours, with or without minutes and a colon.
 ALERT_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]Z"
 _COLON = r"([+-][0-9]{2}):([0-9]{2})$"
+_HOURS = r"(?<upto>:[0-9]{2}(?:[.][0-9]+)?[+-][0-9]{2})$"
 
 
 def _stamp() -> Column:
-    return F.regexp_replace("timestamp", _COLON, "$1$2")
+    return F.regexp_replace(F.regexp_replace("timestamp", _COLON, "$1$2"), _HOURS, "${upto}00")
 
 
 # Alert column -> path in the raw record, for the columns that are copied unchanged.

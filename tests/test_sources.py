@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from randomdata import frames
@@ -81,6 +82,26 @@ def test_timestamps(spark, tmp_path, text, micros):
     assert row["ts"] == dt.datetime(2026, 8, 10, 3, 10, 0, micros)
 
 
+@pytest.mark.parametrize("offset", ["+0000", "+00", "+00:00", "-05", "+0530", "+05:30", "-11", "+14", "-0330"])
+@pytest.mark.parametrize("fraction", [".123", ".123456"])
+def test_offsets_are_read_as_strptime_reads_them(spark, tmp_path, offset, fraction):
+    text = f"2026-08-10T03:10:07{fraction}{offset}"
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    expected = con.execute(f"select strptime('{text}', '%Y-%m-%dT%H:%M:%S.%f%z')::timestamp").fetchone()[0]
+    path = write(tmp_path, "a.jsonl", line(timestamp=text))
+    assert raw.load_alerts(spark, path).first()["ts"] == expected
+    good, rejects = raw.load_alerts_with_rejects(spark, path)
+    assert good.first()["ts"] == expected and rejects.count() == 0
+
+
+@pytest.mark.parametrize("text", ["2026-08-10T03:10:07.123+5", "2026-08-10T03:10:07.123", "2026-08-10T03:10-05", "2026-08-10-05"])
+def test_other_endings_are_refused(spark, tmp_path, text):
+    path = write(tmp_path, "a.jsonl", line(timestamp=text))
+    good, rejects = raw.load_alerts_with_rejects(spark, path)
+    assert good.count() == 0 and [r["reason"] for r in rejects.collect()] == ["bad timestamp"]
+
+
 @pytest.mark.parametrize("bad", ["{broken", line(timestamp="yesterday"), line(rule=rule(level="high"))])
 def test_strict_load_fails_and_lenient_load_sets_aside(spark, tmp_path, bad):
     path = write(tmp_path, "a.jsonl", line() + "\n" + bad)
