@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from alertloom import schemas as S
 from alertloom.functions import exprs as E
+from alertloom.operators.bloom import bloom_join
 
 
 def triage_by_alert(triage: DataFrame) -> DataFrame:
@@ -72,6 +73,20 @@ def triage_latency(alerts: DataFrame, triage: DataFrame, *dims: str) -> DataFram
     )
 
 
+def escalated_alerts(alerts: DataFrame, triage: DataFrame) -> DataFrame:
+    """Every alert that was escalated, with the number of times and the latest closing time.
+
+    A small share of the alerts: a Bloom filter of the escalated ids drops most others before the join moves them.
+    """
+    escalated = (
+        triage.filter(F.col("escalated"))
+        .groupBy("alert_id")
+        .agg(F.count(F.lit(1)).alias("escalations"), F.max("closed_at").alias("last_closed_at"))
+    )
+    wanted = ("alert_id", "ts", "rule_id", "level", "mitre_tactic", "agent")
+    return bloom_join(alerts.select(*wanted), escalated, "alert_id")
+
+
 def untriaged_alerts(alerts: DataFrame, triage: DataFrame, min_level: int = 7) -> DataFrame:
     """Alerts at or above `min_level` that nobody opened."""
     return alerts.filter(F.col("level") >= min_level).join(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
 
+from alertloom.operators.bloom import may_match
 from alertloom.operators.chains import attack_chains
 from alertloom.operators.joins import triaged_alerts
 from alertloom.plans import bursts, coverage, latency, tuning, volume
@@ -62,16 +63,23 @@ def select(names: Iterable[str] = ()) -> list[Report]:
     return [r for r in REPORTS if not wanted or r.number in wanted or r.name in wanted]
 
 
-def run(alerts: DataFrame, triage: DataFrame, names: Iterable[str] = ()) -> dict[str, DataFrame]:
+def run(
+    alerts: DataFrame, triage: DataFrame, names: Iterable[str] = (), bloom: bool = False
+) -> dict[str, DataFrame]:
     """A result per report name.
 
     Most results are plans that have not run. If several of the chosen reports ask which alerts were
     triaged, all alerts are joined with triage here, once, and the triaged ones are written to the
     scratch folder. The latency reports (03, 04) and attack chains (09) also run jobs here: each writes a
     part that it uses more than once.
+
+    Where few alerts are triaged, `bloom` drops most of the others before they are moved for the join.
     """
     chosen = select(names)
-    shared = stored(triaged_alerts(alerts, triage)) if sum(r.joins for r in chosen) > 1 else None
+    shared = None
+    if sum(r.joins for r in chosen) > 1:
+        known = may_match(alerts, triage.select("alert_id"), "alert_id") if bloom else alerts
+        shared = stored(triaged_alerts(known, triage))
     return {r.name: r.build(alerts, triage, shared) for r in chosen}
 
 
