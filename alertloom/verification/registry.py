@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertloom import reports
 from alertloom.anomaly import evaluate, features, ranking
 from alertloom.operators import chains
-from alertloom.operators.joins import untriaged_alerts
-from alertloom.plans import bursts, coverage, latency, tuning, volume
+from alertloom.operators.joins import escalated_alerts, untriaged_alerts
+from alertloom.plans import bursts, coverage, latency, members, tuning, volume
 from alertloom.session import scratch_dir, stored
-from alertloom.sources import raw, tables
+from alertloom.sources import raw, sketches, tables
 from alertloom.verification import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,53 @@ def _volume_of_days(spark: SparkSession, sf: str) -> DataFrame:
     return volume.daily_volume_by_severity(tables.read_alerts(spark, path, *derived.DAYS))
 
 
+def _source_breadth(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores the daily sketches of the sources and merges those of some days."""
+    path = _scratch(spark, "source-sketches")
+    sketches.write_days(sketches.daily_source_sketches(derived.alerts(spark, sf)), path)
+    first, last = (d.date() for d in derived.DAYS)
+    return sketches.approx_source_breadth(sketches.read_days(spark, path, first, last).drop("users"))
+
+
+def _time_to_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores the daily sketches of the latencies, merges all days, and holds the answers against the exact ranks."""
+    path = _scratch(spark, "latency-sketches")
+    a, t = derived.alerts(spark, sf), derived.triage(spark, sf)
+    sketches.write_days(sketches.daily_latency_sketches(a, t), path)
+    wanted = {"p50": 0.5, "p90": 0.9}
+    # Written: the answers of a sketch may differ from run to run, within its error.
+    found = stored(sketches.approx_time_to_open(sketches.read_days(spark, path), wanted))
+    bounds = sketches.rank_bounds(found, a, t, wanted)
+    near = [F.lit(p).between(F.col(f"{n}_low") - 0.01, F.col(f"{n}_high") + 0.01).alias(f"{n}_within_1pct") for n, p in wanted.items()]
+    return bounds.select("severity", "actions", *near)
+
+
+def _report_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs all reports, writes them, reads them back, and counts their rows, columns and preview."""
+    folder = _scratch(spark, "reports")
+    results = reports.run(derived.alerts(spark, sf), derived.triage(spark, sf))
+    reports.write_results(results, folder)
+    counts = []
+    for report in reports.REPORTS:
+        written = spark.read.schema(results[report.name].schema).parquet(f"{folder}/{report.name}")
+        shown, rows = reports.preview(written)
+        counts.append((report.number, report.name, rows, len(written.columns), len(shown)))
+    return spark.createDataFrame(counts, "number string, report string, rows long, columns int, previewed int")
+
+
+def _written_report(name: str) -> Query:
+    """A report written by number together with another one, and read back."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        folder = _scratch(spark, "reports")
+        chosen = [reports.select([name])[0].number, "06"]
+        results = reports.run(derived.alerts(spark, sf), derived.triage(spark, sf), chosen)
+        reports.write_results(results, folder)
+        return spark.read.schema(results[name].schema).parquet(f"{folder}/{name}")
+
+    return query
+
+
 def _stored_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Writes the scored table and reads it back."""
     path = _scratch(spark, "scores")
@@ -156,6 +204,12 @@ def queries() -> dict[str, Query]:
         "top_source_ips": _on_alerts(bursts.top_source_ips),
         "attack_chains": _on_alerts(chains.attack_chains),
         "all_attack_chains": _on_alerts(chains.attack_chains, limit=None),
+        "attack_chain_members": _on_alerts(members.attack_chain_members),
+        "escalated_alerts": _on_both(escalated_alerts),
+        "approx_source_breadth": _source_breadth,
+        "approx_time_to_open": _time_to_open,
+        "report_results": _report_results,
+        "written_workload": _written_report("analyst_workload"),
         "analyst_workload": lambda spark, sf: latency.analyst_workload(derived.triage(spark, sf)),
         "untriaged_high_severity": _on_both(coverage.untriaged_high_severity),
         "untriaged_alerts": _on_both(untriaged_alerts),
