@@ -91,3 +91,26 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Plans of these alone read files again in the same parts.
+_STEADY = {"Project", "Filter", "LogicalRelation", "LocalRelation"}
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` if it gives its rows in the same parts whenever it is read, else a written copy.
+
+    Rows can only be numbered in one read and found by that number in another if parts stay what they are. Behind a
+    shuffle their sizes depend on the columns that are read; of files, on the number of executors, so
+    that number is held from here on. Nothing is written for plain files.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+    def is_steady(plan) -> bool:
+        children = plan.children()
+        return plan.nodeName() in _STEADY and all(is_steady(children.apply(i)) for i in range(children.size()))
+
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return df if plan.deterministic() and is_steady(plan) else stored(df)
