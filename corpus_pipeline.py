@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from alertloom.llm import decontaminate, ngram_join, packing, pii, quality
 from alertloom.llm.queries import prepare, table
-from alertloom.session import shared_dir
+from alertloom.session import scratch_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; each is written to the shared folder and read again."""
-    folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
