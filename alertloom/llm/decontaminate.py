@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertloom.llm.text import NOT_ALNUM, Texts, Words, append_columns, columns_of, free_prefix
-from alertloom.session import stored
+from alertloom.session import settled, stored
 
 WINDOW = 13
 SHINGLE = 4
@@ -250,8 +250,9 @@ def _counted(docs: DataFrame, prefix: str) -> DataFrame:
 def find_items(docs: DataFrame, benchmark: DataFrame, prefix: str = "", block: int = BLOCK) -> DataFrame:
     """Every row of `docs` with n_words, spans (hit runs of words: start, end, start, ...) and items.
 
-    `docs` must give its rows in the same parts when read twice, as files do.
+    What is not read from plain files is written once: rows are numbered and found again by number.
     """
+    docs = settled(docs)
     row = free_prefix(docs) + "row"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     found = _search(numbered, benchmark, row, block)
@@ -267,7 +268,7 @@ def _joined(counted: DataFrame, found: DataFrame, row: str, prefix: str) -> Data
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    numbered = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = settled(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
     found = _search(numbered, benchmark, "row", block)
     # Texts stay where they are: only counts meet what was found.
     return summary(_joined(_counted(numbered, "").drop("text"), found, "row", "")).drop("spans", "items")
@@ -298,6 +299,7 @@ def summary(found: DataFrame, prefix: str = "") -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of `docs` that are not contaminated, with their columns."""
+    docs = settled(docs)
     row = free_prefix(docs) + "row"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     found = _search(numbered, benchmark, row, block)

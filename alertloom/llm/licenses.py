@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertloom.operators.once import computed_once
-from alertloom.session import stored
+from alertloom.session import settled, stored
 
 # The least coefficient, in percent.
 PERCENT = 85
@@ -165,9 +165,10 @@ def find_licenses(
 ) -> DataFrame:
     """Per document: doc_id, n_licenses, licenses (names, comma-joined), best_license, best_dice (6 places).
 
-    `docs` must give its rows in the same parts when read twice, as files do.
+    What is not read from plain files is written once: rows are numbered and found again by number.
     """
     spark = docs.sparkSession
+    docs = settled(docs.select("doc_id", "text"))
     bounds = sorted({size_bounds(sum(bigrams_of(t).values()), percent) for t in templates.values()})
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     whole_and_lines = F.concat(F.array("text"), F.split("text", "\n"))

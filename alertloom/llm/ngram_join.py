@@ -19,7 +19,7 @@ link out are not compared. Comparing means intersecting whole sets, of whole tex
 
 Defined cases: null or empty texts and texts without words have no shingles and link with nothing;
 their group is their own id. Texts with fewer words than a shingle have one, their whole sequence.
-`docs` must give its rows in the same parts when read twice, as files do.
+What is not read from plain files is written once: rows are numbered and found again by number.
 A group's id is its smallest non-null doc_id. Equal texts always link. Only doc_id and text are read.
 Shingles are compared by 64-bit hashes, classes by two of these.
 """
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from alertloom.llm.graph import components
 from alertloom.llm.text import SPACE, Texts, Words, columns_of, mix, release
-from alertloom.session import stored
+from alertloom.session import settled, stored
 
 SHINGLE = 4
 # The threshold as a fraction, so that it is compared in whole numbers.
@@ -367,6 +367,7 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     The second table has node and doc_id for each document with a shingle. Links number up to the
     square of a group of near copies; where only the groups matter, use `jaccard_components`.
     """
+    docs = settled(docs.select("doc_id", "text"))
     p = _prepare(docs, k, percent)
     bits = p.classes.select("node", "n", *_BITS)
     alone = p.entries.withColumn("group", F.col("node"))
@@ -409,7 +410,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
     Runs jobs when called; several steps are written to the shared folder.
     """
-    return _labelled(docs, k, percent).drop("row")
+    return _labelled(settled(docs.select("doc_id", "text")), k, percent).drop("row")
 
 
 def _labelled(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -437,6 +438,7 @@ def drop_near_copies(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     name = "row"
     while name in docs.columns:
         name = f"_{name}"
+    docs = settled(docs)
     kept = _labelled(docs, k, percent).where("is_kept").select(F.col("row").alias(name))
     numbered = docs.withColumn(name, F.monotonically_increasing_id())
     return numbered.join(kept, name, "left_semi").select(*columns_of(docs))

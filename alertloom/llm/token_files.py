@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from alertloom.llm.codec import LANES, STEPS, decode_block, encode_block
 from alertloom.llm.text import Texts
 from alertloom.llm.tokens import crc32_of, tokenizer, vocabulary_path
-from alertloom.session import shared_dir
+from alertloom.session import scratch_dir
 
 END = 0
 BLOCK = LANES * STEPS
@@ -144,6 +144,6 @@ def _decoded(with_ids: bool):
 def token_table(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write the ids of `docs` to the shared folder and read them back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
-    folder = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     write_ids(docs, folder, path)
     return read_ids(spark, folder, ids=False)

@@ -13,7 +13,7 @@ Defined cases: a null html is an empty payload. Of equal payloads of `least` byt
 largest page_id is the response (null is smallest; of repeated rows with that id, one); smaller payloads
 are all responses. A null url leaves the target header out; line breaks and spaces in it are escaped.
 A response without request or metadata makes a capture with nulls there; records concurrent to
-nothing in the archives make none. `pages` must give its rows in the same parts when read twice, as files do.
+nothing in the archives make none. Pages that are not read from plain files are written once first.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom.llm.text import free_prefix
-from alertloom.session import shared_dir, stored
+from alertloom.session import scratch_dir, settled, stored
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -113,7 +113,7 @@ def _size_class(html: Column, url: Column) -> Column:
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0, compression: str = "none") -> None:
     """Write the pages (page_id, url, html) as WARC files."""
-    pages = pages.select("page_id", "url", "html")
+    pages = settled(pages.select("page_id", "url", "html"))
     row = free_prefix(pages) + "row"
     numbered = pages.withColumn(row, F.monotonically_increasing_id())
     revisits = _revisits(numbered, row, least)
@@ -248,6 +248,6 @@ def capture_digests(captures: DataFrame) -> DataFrame:
 def archive_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write the pages to the shared folder as archives, read these back, and digest the captures."""
     spark = pages.sparkSession
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, folder, least)
     return capture_digests(stored(assemble(read_records(spark, folder, payloads=False))))

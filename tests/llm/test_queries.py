@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", [f.__name__ for f in queries.OPERATORS])
 def test_every_row_is_in_the_result(spark, name):
-    source, key = {"op2": ("conversations", "conv_id"), "op3": ("pages", "page_id")}.get(name.split("_")[0], ("documents", "doc_id"))
+    source, key = {"op2": ("conversations", "conv_id"), "op3": ("pages", "page_id"), "op11": ("pages", "page_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     given = {r[0] for r in spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect()}
     assert {r[0] for r in queries.queries()[name](spark, SF).select(key).collect()} == given
 
@@ -41,7 +41,7 @@ def stages(spark):
     docs = queries.table(spark, SF, "documents").withColumn("extra", F.lit("x"))
     out = [docs]
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        path = f"{queries.warc.shared_dir(spark)}/test-stage-{number}-{id(out)}"
+        path = f"{queries.warc.scratch_dir(spark)}/test-stage-{number}-{id(out)}"
         stage(spark, out[-1], SF).write.parquet(path)
         out.append(spark.read.parquet(path))
     return out
@@ -83,7 +83,7 @@ def test_join_stage_tells_and_takes_the_rule_of_op1(spark):
     texts = [words, near, apart, far]
     rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    path = f"{queries.warc.shared_dir(spark)}/rule-{id(rows)}"
+    path = f"{queries.warc.scratch_dir(spark)}/rule-{id(rows)}"
     docs.write.parquet(path)
     kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(path), SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
