@@ -567,6 +567,7 @@ select week, count(*) as alerts, count(*) filter (where stays) as alerts_after_t
        round(100.0 * (count(*) - count(*) filter (where stays)) / count(*), 1) as pct_reduction
 from flagged group by all""",
         "host_hour_features": f"{FEATURES} select * from features",
+        "host_hour_features_by_day": f"{FEATURES} select * from features",
         "host_hour_excess": f"""{EXCESS}
 select agent, hour, {", ".join(f"round({c}, 9) as {c}" for c in _MODEL)}, excess_score from excess""",
         "malicious_host_hours": f"{BASE}, {TRUTH} select * from truth",

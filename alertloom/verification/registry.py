@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom import reports
-from alertloom.anomaly import evaluate, features, ranking
+from alertloom.anomaly import evaluate, features, incremental, ranking
+from alertloom.functions import exprs as E
 from alertloom.operators import chains
 from alertloom.operators.joins import escalated_alerts, untriaged_alerts
 from alertloom.plans import bursts, coverage, latency, members, tuning, volume
@@ -134,6 +135,15 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return features.host_hour_features(derived.alerts(spark, sf))
 
 
+def _features_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Adds the alerts in two parts, the second from the middle of a day on, and takes the features from what is stored."""
+    path, alerts = _scratch(spark, "seen"), derived.alerts(spark, sf)
+    earlier = E.instant(F.col("ts")) < E.instant(F.lit(str(derived.DAYS[1])).cast("timestamp_ntz"))
+    for part in (earlier, ~earlier):
+        incremental.add_alerts(spark, alerts.where(part), path)
+    return incremental.features_of(incremental.read_seen(spark, path))
+
+
 def _excess(spark: SparkSession, sf: str) -> DataFrame:
     model = features.model_features()
     return features.host_hour_excess(_features(spark, sf)).select(
@@ -216,6 +226,7 @@ def queries() -> dict[str, Query]:
         "tuning_candidates": _on_both(volume.tuning_candidates, **tuned),
         "weekly_trend_after_tuning": _on_both(volume.weekly_trend_after_tuning, **tuned),
         "host_hour_features": _features,
+        "host_hour_features_by_day": _features_by_day,
         "host_hour_excess": _excess,
         "malicious_host_hours": _truth,
         "baseline_ranking": _baseline_ranking,
