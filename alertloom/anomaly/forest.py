@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,7 +109,7 @@ def fit_forest(samples: DataFrame, features: Sequence[str], seed: int = 42) -> D
     """One row per tree node. A group is one tree's sample, at most `sample_size` rows."""
     features = list(features)
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
+    def grown(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree_id"].iloc[0])
         x = np.nan_to_num(group[features].to_numpy(dtype=float))
         height = int(np.ceil(np.log2(max(len(x), 2))))
@@ -119,7 +119,7 @@ def fit_forest(samples: DataFrame, features: Sequence[str], seed: int = 42) -> D
         out.insert(0, "tree_id", tree)
         return out
 
-    return samples.select("tree_id", *features).groupBy("tree_id").applyInPandas(fit, NODES)
+    return samples.select("tree_id", *features).groupBy("tree_id").applyInPandas(grown, NODES)
 
 
 def expected_path(n: np.ndarray) -> np.ndarray:
@@ -192,6 +192,14 @@ def score_forest(
     return rows.withColumn("anomaly_score", F.round(scored, decimals))
 
 
+def fit(
+    rows: DataFrame, key: Sequence[str], features: Sequence[str], trees: int = 300, sample_size: int = 256, seed: int = 42
+) -> DataFrame | None:
+    """Nodes of a forest fitted on sub-samples of `rows`, None if there are none. `rows` is read twice: pass a stored table."""
+    n = rows.count()
+    return fit_forest(tree_samples(rows, key, n, trees, sample_size, seed), features, seed) if n else None
+
+
 def isolation_forest(
     rows: DataFrame,
     key: Sequence[str],
@@ -201,8 +209,37 @@ def isolation_forest(
     seed: int = 42,
 ) -> DataFrame:
     """Fit on sub-samples of `rows` and score every row. `rows` is read three times: pass a stored table."""
-    n = rows.count()
-    if n == 0:
+    nodes = fit(rows, key, features, trees, sample_size, seed)
+    if nodes is None:
         return rows.withColumn("anomaly_score", F.lit(None).cast("double"))
-    samples = tree_samples(rows, key, n, trees, sample_size, seed)
-    return score_forest(rows, fit_forest(samples, features, seed), features)
+    return score_forest(rows, nodes, features)
+
+
+# Changes when a stored node means something else.
+VERSION = 1
+MODEL = f"{NODES}, version int, features array<string>"
+
+
+def write_model(nodes: DataFrame, path: str, features: Sequence[str]) -> None:
+    """Replace a stored forest: its nodes, with the version of their form and the features in order, in one file."""
+    named = F.array(*[F.lit(f) for f in features])
+    model = nodes.withColumns({"version": F.lit(VERSION), "features": named})
+    model.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def read_model(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(nodes, features) of a stored forest. Another version, or no node at all, is an error."""
+    model = spark.read.schema(MODEL).parquet(path)
+    kinds = model.select("version", "features").distinct().limit(2).collect()
+    if len(kinds) != 1 or kinds[0]["version"] != VERSION:
+        raise ValueError(f"no forest of version {VERSION} in {path}: {[k['version'] for k in kinds]}")
+    return model.drop("version", "features"), list(kinds[0]["features"])
+
+
+def score_with_model(rows: DataFrame, path: str) -> DataFrame:
+    """Append `anomaly_score` by a stored forest. Nothing is fitted, so new rows get scores that compare with older ones."""
+    nodes, features = read_model(rows.sparkSession, path)
+    missing = [f for f in features if f not in rows.columns]
+    if missing:
+        raise ValueError(f"the stored forest needs {missing}")
+    return score_forest(rows, nodes, features)

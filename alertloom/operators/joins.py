@@ -87,6 +87,39 @@ def escalated_alerts(alerts: DataFrame, triage: DataFrame) -> DataFrame:
     return bloom_join(alerts.select(*wanted), escalated, "alert_id")
 
 
+def latest_triage(triage: DataFrame) -> DataFrame:
+    """One row per alert id, its latest action: the last closed, of these the last opened, then the last analyst.
+
+    Nulls come first, so an open action is the latest only if none was closed. Rows equal in all three are told apart by
+    disposition and escalation. A maximum of structs, found in the tasks first: a hot id moves one row per task.
+    Actions without an alert id are left out.
+    """
+    order = ("closed_at", "opened_at", "analyst", "disposition", "escalated")
+    latest = F.max(F.struct(*order)).alias("last")
+    found = triage.filter(F.col("alert_id").isNotNull()).groupBy("alert_id").agg(latest)
+    return found.select("alert_id", *[F.col(f"last.{c}").alias(c) for c in ("opened_at", "closed_at", "analyst", "disposition", "escalated")])
+
+
+def repeated_triage(triage: DataFrame) -> DataFrame:
+    """Alerts triaged more than once: actions, analysts, first opening, last closing, and whether outcomes differ.
+
+    Null analysts and dispositions are not counted as values.
+    """
+    outcome = F.col("disposition")
+    return (
+        triage.filter(F.col("alert_id").isNotNull())
+        .groupBy("alert_id")
+        .agg(
+            F.count(F.lit(1)).alias("actions"),
+            F.size(F.collect_set("analyst")).cast("bigint").alias("analysts"),
+            F.min("opened_at").alias("first_opened_at"),
+            F.max("closed_at").alias("last_closed_at"),
+            F.coalesce(F.min(outcome) != F.max(outcome), F.lit(False)).alias("outcomes_differ"),
+        )
+        .filter(F.col("actions") > 1)
+    )
+
+
 def untriaged_alerts(alerts: DataFrame, triage: DataFrame, min_level: int = 7) -> DataFrame:
     """Alerts at or above `min_level` that nobody opened."""
     return alerts.filter(F.col("level") >= min_level).join(

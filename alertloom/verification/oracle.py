@@ -432,6 +432,19 @@ sources as (
 )"""
 
 
+_OTHER_DAYS = f"ts::date not between '{DAYS[0].date()}' and '{DAYS[1].date()}'"
+
+# Some alerts taken up by two analysts, and some rows twice.
+_AGAIN = f"""{BASE},
+again as (
+    select * from triage
+    union all select * from triage where cast(alert_id as bigint) % 11 = 0
+    union all
+    select alert_id, opened_at + interval 1 hour, closed_at + interval 2 hour, 'an-9', 'benign', false
+    from triage where cast(alert_id as bigint) % 7 = 0
+)"""
+
+
 def statements(min_alerts: int) -> dict[str, str]:
     found = _statements(min_alerts)
     counts = [
@@ -471,6 +484,23 @@ select * from (
         "load_counts": f"""{BASE}
 select 'alerts' as table_name, count(*) as row_count from alerts
 union all select 'triage', count(*) from triage""",
+        "replaced_days": f"""
+select * from (
+    {_DAILY.replace("from alerts left join", f"from (select * from alerts where level >= 10 or {_OTHER_DAYS}) alerts left join")}
+)""",
+        "triage_of_days": f"""{BASE}
+select * from triage where opened_at >= '{DAYS[0]}' and opened_at < '{DAYS[1]}'""",
+        "latest_triage": f"""{_AGAIN}
+select alert_id, opened_at, closed_at, analyst, disposition, escalated from again
+qualify row_number() over (partition by alert_id order by closed_at desc, opened_at desc, analyst desc) = 1""",
+        "repeated_triage": f"""{_AGAIN}
+select alert_id, count(*) as actions, count(distinct analyst) as analysts, min(opened_at) as first_opened_at,
+       max(closed_at) as last_closed_at, count(distinct disposition) > 1 as outcomes_differ
+from again group by alert_id having count(*) > 1""",
+        "streamed_hourly_severity": f"""{latency.split("t as (")[0].rstrip().rstrip(",")}
+select date_trunc('hour', ts) as hour, b.severity, count(*) as alerts
+from alerts a join bands b on b.lowest = (select max(lowest) from bands where lowest <= a.level)
+group by all""",
         "daily_volume_by_severity": _DAILY,
         "chart_daily_volume": f"""
 select day, strftime(day, '%b %d') as label, low, medium, high, critical from ({_DAILY})""",
@@ -579,6 +609,7 @@ select agent, hour, alerts, excess_score, is_malicious, heur_rank, volume_rank f
         "baseline_feature_importance": _importance(RANKED, "heur_rank"),
         "baseline_score_histogram": _histogram(RANKED, "excess_score"),
         "anomaly_scores": f"{SCORED} select agent, hour, anomaly_score from scored",
+        "stored_forest_scores": f"{SCORED} select agent, hour, anomaly_score from scored",
         "combined_ranking": f"""{COMBINED}
 select agent, hour, anomaly_score, excess_score, if_rank, heur_rank, volume_rank, combined_rank, combined_position
 from ranked""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -9,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertloom import reports
-from alertloom.anomaly import evaluate, features, incremental, ranking
+from alertloom import schemas as S
+from alertloom.anomaly import evaluate, features, forest, incremental, ranking
 from alertloom.functions import exprs as E
 from alertloom.operators import chains
-from alertloom.operators.joins import escalated_alerts, untriaged_alerts
+from alertloom.operators.joins import escalated_alerts, latest_triage, repeated_triage, untriaged_alerts
 from alertloom.plans import bursts, coverage, latency, members, tuning, volume
 from alertloom.session import scratch_dir, stored
 from alertloom.sources import raw, sketches, tables
+from alertloom.streaming import hourly
 from alertloom.verification import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,12 +57,12 @@ def _load_triage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Stores both tables and counts what was stored."""
+    """Stores both tables, which counts their rows on the way."""
     a, t = _scratch(spark, "alerts"), _scratch(spark, "triage")
-    tables.write_alerts(derived.alerts(spark, sf), a)
-    tables.write_triage(derived.triage(spark, sf), t)
-    return tables.load_counts(
-        alerts=tables.read_alerts(spark, a), triage=tables.read_triage(spark, t)
+    return tables.observed_counts(
+        spark,
+        alerts=tables.write_alerts(derived.alerts(spark, sf), a),
+        triage=tables.write_triage(derived.triage(spark, sf), t),
     )
 
 
@@ -77,6 +80,48 @@ def _volume_of_days(spark: SparkSession, sf: str) -> DataFrame:
     return volume.daily_volume_by_severity(tables.read_alerts(spark, path, *derived.DAYS))
 
 
+def _replaced_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores all alerts, then some days again and once more with their severe alerts alone."""
+    path, alerts = _scratch(spark, "alerts"), derived.alerts(spark, sf)
+    tables.write_alerts(alerts, path)
+    span = [d.date() for d in derived.DAYS]
+    for _ in range(2):
+        tables.replace_days(alerts.where(F.col("level") >= S.floor_of("high")), path, *span)
+    return volume.daily_volume_by_severity(tables.read_alerts(spark, path))
+
+
+def _triage_of_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores the triage log by the day of opening, one half of the time after the other, and reads some days."""
+    path, triage = _scratch(spark, "triage"), derived.triage(spark, sf)
+    middle = derived.DAYS[1].date()
+    tables.replace_days(triage, path, dt.date.min, middle, "opened_at")
+    tables.replace_days(triage, path, middle + dt.timedelta(days=1), dt.date.max, "opened_at")
+    return tables.read_triage_days(spark, path, *derived.DAYS)
+
+
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts the alerts as lines that arrive in two lots, the second with a fifth of all lines once more."""
+    lines, counts, checkpoint = (_scratch(spark, n) for n in ("stream", "hourly", "progress"))
+    raw_lines = derived.raw_alert_lines(spark, sf)
+    number = F.get_json_object("value", "$.id").cast("bigint")
+    for lot in (number % 2 == 0, (number % 2 == 1) | (number % 5 == 0)):
+        raw_lines.where(lot).write.mode("append").text(lines)
+        # The lots cover the same time, so that a delay as long as all of it loses no line.
+        stream = hourly.alert_stream(spark, lines)
+        hourly.keep_hourly_severity(stream, counts, checkpoint, delay="3660 days").awaitTermination()
+    return hourly.read_hourly_severity(spark, counts)
+
+
+def _scores_of_stored_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Fits a forest, stores it, and scores the host-hours by what was stored."""
+    path = _scratch(spark, "forest")
+    names = features.model_features()
+    table = stored(ranking.excess_table(derived.alerts(spark, sf)))
+    nodes = forest.fit(table, ranking.KEY, names)
+    forest.write_model(nodes, path, names)
+    return forest.score_with_model(table, path).select("agent", "hour", "anomaly_score")
+
+
 def _source_breadth(spark: SparkSession, sf: str) -> DataFrame:
     """Stores the daily sketches of the sources and merges those of some days."""
     path = _scratch(spark, "source-sketches")
@@ -200,6 +245,11 @@ def queries() -> dict[str, Query]:
         ),
         "load_counts": _load_counts,
         "daily_volume_of_days": _volume_of_days,
+        "replaced_days": _replaced_days,
+        "triage_of_days": _triage_of_days,
+        "latest_triage": lambda spark, sf: latest_triage(derived.triage_again(spark, sf)),
+        "repeated_triage": lambda spark, sf: repeated_triage(derived.triage_again(spark, sf)),
+        "streamed_hourly_severity": _streamed,
         "daily_volume_by_severity": _on_alerts(volume.daily_volume_by_severity),
         "chart_daily_volume": _on_alerts(volume.chart_daily_volume),
         "noisy_rules": _on_both(tuning.noisy_rules, **tuned),
@@ -249,6 +299,7 @@ def queries() -> dict[str, Query]:
         "anomaly_scores": lambda spark, sf: ranking.anomaly_scores(derived.alerts(spark, sf)).select(
             "agent", "hour", "anomaly_score"
         ),
+        "stored_forest_scores": _scores_of_stored_forest,
         "combined_ranking": _combined,
         "host_hour_scores": _stored_scores,
         "precision_recall_at_k": lambda spark, sf: evaluate.precision_recall_at_k(_ranked(spark, sf)),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from alertloom import schemas as S
 from alertloom.anomaly import evaluate, features, forest, ranking
 from alertloom.operators.rank import global_rank
+from alertloom.session import stored
 
 START = dt.datetime(2026, 8, 3)
 
@@ -198,3 +199,21 @@ def test_scenario_is_found(spark):
     for column in ("if_rank", "heur_rank", "volume_rank", "combined_position"):
         assert sorted(r[column] for r in by_hour.values()) == list(range(1, n + 1))
     assert all(r["combined_rank"] == min(r["if_rank"], r["heur_rank"]) for r in by_hour.values())
+
+
+def test_a_stored_forest_scores_later_rows_alike(spark, tmp_path):
+    rows = stored(spark.range(600).select("id", F.rand(1).alias("x"), F.rand(2).alias("y")))
+    path = str(tmp_path / "forest")
+    forest.write_model(forest.fit(rows, ["id"], ["x", "y"], trees=20), path, ["x", "y"])
+    fresh = forest.isolation_forest(rows, ["id"], ["x", "y"], trees=20).where("id % 7 = 0")
+    # Other columns and another order of columns change nothing.
+    later = rows.where("id % 7 = 0").select("y", F.lit("z").alias("tree_id"), "x", "id")
+    scored = forest.score_with_model(later, path).select("id", "anomaly_score")
+    assert sorted(scored.collect()) == sorted(fresh.select("id", "anomaly_score").collect())
+    with pytest.raises(ValueError, match="needs"):
+        forest.score_with_model(rows.drop("y"), path)
+    other = str(tmp_path / "other")
+    spark.read.parquet(path).withColumn("version", F.lit(99)).write.parquet(other)
+    with pytest.raises(ValueError, match="version"):
+        forest.read_model(spark, other)
+    assert forest.fit(rows.limit(0), ["id"], ["x"]) is None
