@@ -4,8 +4,9 @@ A document's ids, with an end id, are cut into pieces of the sequence length; th
 rest. Whole pieces are sequences of their own. All others are packed online: the smallest free space
 that fits takes the next piece. A fixed number of bins is open, found through a bitset keyed by free
 space; when there is one more, the fullest is closed. Pieces are dealt evenly into lanes of bounded
-size, each packed by one task that holds the open bins only. In a lane they arrive longest first, so that
-short ones fill what long ones left; with room for that many open bins, few bins close unfilled.
+size, each packed by one task that holds the open bins only. In a lane they arrive in blocks dealt by a hash, in
+a block longest first, so that short ones fill what long ones left open, in this block or one before. There are fewer
+open bins than a block has long pieces: the bound closes the fullest, which hardly any piece would still fit.
 
 Defined cases: a null or empty text is its end id alone. Copies and repeated rows are packed each.
 An empty table gives no pieces. Only doc_id and text are read.
@@ -28,7 +29,8 @@ from alertloom.session import stored
 
 CAPACITY = 1024
 END = 2
-OPEN = 8192
+OPEN = 512
+BLOCK = 1250
 LANE = 20_000
 
 
@@ -40,7 +42,8 @@ class BestFit:
         # Bit f of `spaces` is set if an open bin has f free; `bins[f]` lists these bins.
         self.spaces = 0
         self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.open = self.made = 0
+        # `closed` counts the bins that the bound closed.
+        self.open = self.made = self.closed = 0
 
     def place(self, size: int) -> tuple[int, int]:
         """The bin and the offset in it for the next piece."""
@@ -57,6 +60,7 @@ class BestFit:
             self.spaces |= 1 << left
             self.open += 1
             if self.open > self.most_open:
+                self.closed += 1
                 self._take((self.spaces & -self.spaces).bit_length() - 1)
         return number, self.capacity - free
 
@@ -119,16 +123,29 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
     return source.mapInArrow(run, T.StructType(fields))
 
 
-def pack_pieces(cut_up: DataFrame, capacity: int = CAPACITY, most_open: int = OPEN, lane: int = LANE) -> DataFrame:
+def arrivals(short: DataFrame, n: int, lane: int = LANE, block: int = BLOCK) -> DataFrame:
+    """task, seat, length, lane and block of the `n` pieces to be packed, and `mixed`, a hash of their place in the table.
+
+    The hash deals them into blocks, whatever the documents' ids; neighbouring blocks make up a lane.
+    """
+    blocks, in_lane = max(1, -(-n // block)), max(1, lane // block)
+    mixed = F.xxhash64("task", "seat")
+    number = F.pmod(mixed, F.lit(blocks))
+    return short.select(
+        "task", "seat", "length", mixed.alias("mixed"), F.floor(number / in_lane).alias("lane"), number.alias("block")
+    )
+
+
+def pack_pieces(
+    cut_up: DataFrame, capacity: int = CAPACITY, most_open: int = OPEN, lane: int = LANE, block: int = BLOCK
+) -> DataFrame:
     """`cut_up` (a stored table with length, task and seat) with sequence_id and offset.
 
-    Whole pieces stay where they are. The others are dealt into lanes by a hash of their place in the
-    table, so lanes are even whatever the documents' ids, and arrive in order of length.
+    Whole pieces stay where they are. The others are packed lane by lane; a task takes many lanes of a large table.
     """
     short = cut_up.where(F.col("length") < capacity)
-    lanes = max(1, -(-short.count() // lane))
-    mixed = F.xxhash64("task", "seat")
-    dealt = short.select("task", "seat", "length", mixed.alias("mixed"), F.pmod(mixed, F.lit(lanes)).alias("lane"))
+    n = short.count()
+    dealt = arrivals(short, n, lane, block)
 
     def run(batches):
         fits: dict[int, BestFit] = {}
@@ -147,7 +164,9 @@ def pack_pieces(cut_up: DataFrame, capacity: int = CAPACITY, most_open: int = OP
                 names=["task", "seat", "sequence_id", "offset"],
             )
 
-    ordered = dealt.repartition(lanes, "lane").sortWithinPartitions("lane", F.desc("length"), "mixed", "task", "seat")
+    tasks = min(max(1, -(-n // lane)), 4 * short.sparkSession.sparkContext.defaultParallelism)
+    order = ("lane", "block", F.desc("length"), "mixed", "task", "seat")
+    ordered = dealt.repartition(tasks, "lane").sortWithinPartitions(*order)
     placed = ordered.select("task", "seat", "length", "lane").mapInArrow(
         run, "task long, seat long, sequence_id long, offset long"
     )
