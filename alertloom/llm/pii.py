@@ -111,6 +111,13 @@ _REACH = 3
 _AROUND = ".,;:!?\"'"
 
 
+_DIGITS = re.compile("[0-9]+")
+# Disguised signs within a word.
+_INSIDE = re.compile(r"[\[(<{](at|dot|\.)[\])>}]")
+# Lengths of runs of digits in a shape.
+_LENGTHS = re.compile("9[1-4]")
+
+
 def _cue(word: str) -> str | None:
     return _CUES.get(word.lower())
 
@@ -136,13 +143,23 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
-def _features(word: str, before: str, after: str) -> list[str]:
+def _plain(word: str) -> str:
+    """A word of letters for its meaning: lower case, without the sentence's marks. Others are all alike."""
+    word = word.strip(_AROUND).lower()
+    return word if word.isalpha() else "9" if _DIGIT.search(word) else ""
+
+
+def _features(word: str, before: str, after: str, earlier: tuple[str, str] = ("", "")) -> list[str]:
+    """Features of a word between its neighbours; `earlier` are the two words in front of `before`."""
     digits = len(_digits(word))
     mine, left, right = shape(word), shape(before), shape(after)
     return [
         "bias",
         f"s={mine}",
+        f"z={_LENGTHS.sub('9', mine)}",
         f"n={min(digits, 17)}",
+        f"g={min(len(_DIGITS.findall(word)), 5)}{'.' in word}",
+        f"m={','.join(sorted(set(_INSIDE.findall(word.lower()))))}",
         f"f={mine[:1]}",
         f"l={mine[-1:]}",
         f"d={digits > 0}{before[:1] == '('}{word[:1] in '(+0'}",
@@ -152,6 +169,9 @@ def _features(word: str, before: str, after: str) -> list[str]:
         f"sq={mine}|{right}",
         f"e={word[-1:] in _AROUND}",
         f"pd={bool(_DIGIT.search(before))}{bool(_DIGIT.search(after))}",
+        # One of the three words in front, wherever it stands.
+        *[f"b={_plain(w)}" for w in (*earlier, before)],
+        f"v={_plain(after)}",
     ]
 
 
@@ -180,15 +200,13 @@ def chains(number: int, text: str) -> list[Chain]:
     edges = np.flatnonzero(np.diff(np.concatenate([[False], is_open, [False]])))
     out = []
     for low, high in zip(edges[::2].tolist(), edges[1::2].tolist()):
-        words = [text[a:b] for a, b in spots[max(0, low - 1) : high + 1]]
-        words = ([""] if low == 0 else []) + words + ([""] if high == len(spots) else [])
-        out.append(
-            Chain(
-                number,
-                spots[low:high],
-                [_features(words[i], words[i - 1], words[i + 1]) for i in range(1, len(words) - 1)],
-            )
-        )
+        ahead = min(3, low)
+        words = [""] * (3 - ahead) + [text[a:b] for a, b in spots[low - ahead : high + 1]]
+        words += [""] if high == len(spots) else []
+        features = [
+            _features(words[i], words[i - 1], words[i + 1], (words[i - 3], words[i - 2])) for i in range(3, len(words) - 1)
+        ]
+        out.append(Chain(number, spots[low:high], features))
     return out
 
 
@@ -271,7 +289,7 @@ def parse_line(line: str) -> tuple[str, list[tuple[int, int, int]]]:
     return text + line[at:], marked
 
 
-def train(lines: list[str] = LINES, rounds: int = 200, rate: float = 0.5, penalty: float = 0.02) -> Field:
+def train(lines: list[str] = LINES, rounds: int = 120, rate: float = 0.5, penalty: float = 0.02) -> Field:
     """Weights of highest penalised likelihood for the labelled lines, by adaptive gradient steps."""
     data: list[tuple[Chain, list[int]]] = []
     for line in lines:
@@ -303,9 +321,9 @@ def train(lines: list[str] = LINES, rounds: int = 200, rate: float = 0.5, penalt
         gap = -marginal
         np.add.at(gap, (*np.nonzero(inside), gold[inside]), 1)
         gap[~inside] = 0
-        emit_step = np.zeros_like(emit)
-        np.add.at(emit_step, ids[inside], gap[inside][:, None, :])
-        emit_step -= penalty * emit
+        flat, width = ids[inside].ravel(), ids.shape[2]
+        sums = [np.bincount(flat, np.repeat(gap[inside][:, s], width), len(names)) for s in range(STATES)]
+        emit_step = np.stack(sums, axis=1) - penalty * emit
         move_step = seen_move - pairs - penalty * move
         emit_past += emit_step**2
         move_past += move_step**2

@@ -62,7 +62,7 @@ def model():
     return pii.train()
 
 
-# Lines that are not in the table the field is trained on.
+# Lines and, for the most part, writings that are not in the table the field is trained on.
 HELD_OUT = [
     "bitte {phone:(040) 7654 3210} anrufen",
     "my number is {phone:(0221) 998877} thanks",
@@ -84,6 +84,41 @@ HELD_OUT = [
     "version 10.4.2 beta 7",
     "row 7 seat 12 gate 34",
     "join dot by dot",
+    "you can phone {phone:1 212 555 0199} any time",
+    "give me a call {phone:212.555.0147}.",
+    "mobile no {phone:0172-9876543} works",
+    "dial {phone:0044 20 7946 0018} then wait",
+    "tel {phone:040-33445566} hamburg",
+    "fax is {phone:(07131) 445-661} there",
+    "hotline {phone:1.800.555.0122} is free",
+    "sms to {phone:0660 1234567} please",
+    "please contact {email:anna[at]host[dot]org} today",
+    "mail {email:anna(at)host.org} first",
+    "contact {email:b.jones(at)lab(dot)uni(dot)edu} now",
+    "my mail {email:eve99[at]mail[dot]host[dot]org}.",
+    "send mail to {email:tom<at>place<dot>net} please",
+    "server {ip:8(.)8(.)4(.)4} answered",
+    "visa {card:4012/8888/8888/1881} charged",
+    "the office phone {phone:0 30 2345 6789} is open",
+    "whatsapp {phone:0151.2345.6789} me",
+    "phone {phone:91-5550-1234-77} madrid",
+    "answer to {email:jo(at)dept.univ.example(dot)edu} by friday",
+    "ping {ip:1[.]1[.]1[.]1} works",
+    "lot 0151.2345.6789 expired",
+    "article 91-5550-1234-77 sold out",
+    "section 0 30 2345 6789 of the code",
+    "product 030 123456 boxes",
+    "total 555-123-4567 units",
+    "part 212.555.0147 in stock",
+    "batch 0171 2345678 shipped",
+    "invoice 01 42 68 53 00 listed",
+    "the sum of 415 555 2671 and 12 rows",
+    "record 0049 171 2345679 was found",
+    "between 030/1234567 and 9 pieces",
+    "stock 800-555-0100 sold",
+    "values 0.25 0.50 and 0.75 of 3",
+    "we were at the host by the dot",
+    "look at that dot in the middle",
 ]
 
 
@@ -96,15 +131,14 @@ def test_held_out_accuracy(model):
         right += len(got & set(marked))
         wrong += len(got - set(marked))
     total = sum(len(pii.parse_line(x)[1]) for x in HELD_OUT)
-    assert right >= 0.8 * total and wrong <= 1, (right, total, wrong)
+    assert right >= 0.9 * total and right >= 0.9 * (right + wrong), (right, total, wrong)
 
 
-def test_long_words_are_judged_whole():
+def test_long_words_are_judged_whole(model):
     name = "annabellekatherinesmithsonx"
     assert pii.shape(f"{name}[at]host[dot]org") == pii.shape("anna[at]host[dot]org") == "a[a]a[a]a"
     for word, short in ((f"{name}[at]host[dot]org", "anna[at]host[dot]org"), (f"{name}/030", "anna/030")):
         assert pii._features(word, word, word) == pii._features(short, short, short)
-    model = pii.train(pii.LINES + ["write to {email:anna[at]example[dot]org} soon", "mail {email:info[at]firm[dot]de} please"] * 3)
     text = f"please mail {name}[at]host[dot]org today"
     ((_, every),) = pii.find_spans([text], model)
     assert [text[a:b] for a, b in every[0]] == [f"{name}[at]host[dot]org"]
