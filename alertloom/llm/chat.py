@@ -10,13 +10,15 @@ chunks, and only matrices go up. States at the chunks' borders come down the sam
 more than `CHUNK` turns of a conversation together, however long it is.
 
 Defined cases: turns are taken in order of turn (null first), then role, then a hash of the text. A null conv_id is a
-conversation of its own. Null and unknown roles have to be relabelled; null texts are empty. Repeated
+conversation of its own. Null and unknown roles have to be relabelled; null texts are empty. Marks of turns
+within a text get a backslash, which `parse` takes away again. Repeated
 rows are turns of their own. Of equally cheap repairs one is taken, always the same. An empty table
 gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -243,7 +245,7 @@ def render(repaired: DataFrame, costs: Costs = Costs()) -> DataFrame:
                 done = ["merge"] * merged + ["relabel"] * (label != r)
                 done += [f"insert {ROLES[x]}" for x in inserted]
                 role.append(ROLES[r])
-                piece.append(_piece(text or "", s, r, inserted, merged, _CLOSING[r] if ends else None))
+                piece.append(_piece(escape(text or ""), s, r, inserted, merged, _CLOSING[r] if ends else None))
                 done += [f"close {ROLES[x]}" for x in (_CLOSING[r] if ends else [])]
                 action.append(", ".join(done) or "keep")
             rest = [pa.array(x, pa.string()) for x in (role, action, piece)]
@@ -252,6 +254,27 @@ def render(repaired: DataFrame, costs: Costs = Costs()) -> DataFrame:
     return repaired.select("conv_id", "turn", "position", "text", "label", "first", "final", "is_last").mapInArrow(run, kind)
 
 
+_MARK = re.compile(r"<(\\*)\|im_(start|end)\|>")
+_ESCAPED = re.compile(r"<\\(\\*)\|im_(start|end)\|>")
+
+
+def escape(text: str) -> str:
+    """The text with a backslash added to each mark of turns in it, so that it opens or ends none."""
+    return _MARK.sub(r"<\\\1|im_\2|>", text) if "|im_" in text else text
+
+
+def unescape(text: str) -> str:
+    """The text that `escape` was given."""
+    return _ESCAPED.sub(r"<\1|im_\2|>", text) if "|im_" in text else text
+
+
+def parse(rendered: str) -> list[tuple[str, str]]:
+    """(role, text) of each turn of a whole rendered conversation."""
+    turns = rendered.split("<|im_start|>")[1:]
+    parts = (t.removesuffix("<|im_end|>\n").partition("\n") for t in turns)
+    return [(role, unescape(body)) for role, _, body in parts]
+
+
 def _piece(text: str, s: int, r: int, inserted: list[int], merged: bool, closing: list[int] | None) -> str:
     if merged:
         out = "\n" + text

@@ -154,6 +154,11 @@ from docs left join covered using (d) left join named using (d)
 """
 
 
+def _escaped(text: str) -> str:
+    """Null as empty, and a backslash in every mark of turns."""
+    return rf"regexp_replace(coalesce({text}, ''), '<(\\*)\|im_(start|end)\|>', '<\\\1|im_\2|>', 'g')"
+
+
 def _chat() -> str:
     """The repair one turn at a time: costs of all states forwards, then the cheapest states backwards."""
     automaton = chat.Automaton()
@@ -176,7 +181,7 @@ def _chat() -> str:
     return f"""
 with recursive labels (name, label) as (values {names}),
 turns as (
-    select conv_id, turn, coalesce(text, '') as text, coalesce(label, 0) as label,
+    select conv_id, turn, {_escaped('text')} as text, coalesce(label, 0) as label,
            row_number() over (partition by conv_id order by turn nulls first, role nulls first) - 1 as position,
            count(*) over (partition by conv_id) as n
     from conversations left join labels on name = lower(trim(role))
