@@ -17,6 +17,9 @@ compared with one member chosen by a hash of the shingle, then those outside the
 few of that group. Last, every pair that is still in different groups is compared, so no link is lost. Pairs whose sizes, places in the order or parity bits already rule a
 link out are not compared. Comparing means intersecting whole sets, of whole texts.
 
+A list that holds more than one in `PIECES` of all entries is dealt over salts, as many as its count asks for, wherever
+lists are joined. There are fewer such lists than `PIECES`, so their salts are sent to all tasks.
+
 Defined cases: null or empty texts and texts without words have no shingles and link with nothing;
 their group is their own id. Texts with fewer words than a shingle have one, their whole sequence.
 What is not read from plain files is written once: rows are numbered and found again by number.
@@ -48,6 +51,8 @@ LARGEST_LIGHT = 32
 VERIFY_COST = 8
 # Members of a list's largest group that others in the list are compared with before all pairs are.
 LEADERS = 4
+# No task gets more of a list than one in so many of all entries.
+PIECES = 4096
 BIT_WORDS = 8
 
 
@@ -235,13 +240,30 @@ def _light_links(classes: DataFrame, light: int, percent: int) -> DataFrame:
     return joined.where(F.expr("node != first.node") & enough).select(F.col("node").alias("a"), F.col("first.node").alias("b"))
 
 
+def _dealt(entries: DataFrame, pieces: int = PIECES) -> DataFrame:
+    """The entries of lists with two members or more, each with its list's number of `salts` and its own `salt`."""
+    often = stored(entries.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"))
+    total = often.agg(F.sum("c")).first()[0] or 0
+    sized = often.select("token", F.ceil(F.col("c") / max(1, -(-total // pieces))).cast("int").alias("salts"))
+    # Fewer than `pieces` lists are larger than one in `pieces` of all entries.
+    large = F.broadcast(sized.where("salts > 1"))
+    salts = F.coalesce("salts", F.lit(1))
+    salt = F.pmod(F.xxhash64("node"), salts.cast("bigint")).cast("int")
+    drawn = entries.join(large, "token", "left").withColumns({"salts": salts, "salt": salt})
+    return drawn.join(_in_each(sized).drop("salts"), ["token", "salt"])
+
+
+def _in_each(lists: DataFrame) -> DataFrame:
+    """Each row once for every salt of its list."""
+    return lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
 def _listed(classes: DataFrame, light: int, percent: int) -> DataFrame:
     """The entries of all inverted lists with two members or more."""
     listable = classes.where((F.col("n") > light) | (100 * F.col("n") >= percent * (light + 1)))
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
     entries = listable.select("node", "n", F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("pos", "token"))
-    often = entries.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    return stored(entries.join(often, "token"))
+    return stored(_dealt(entries))
 
 
 def _need(a: str, b: str, percent: int) -> Column:
@@ -269,9 +291,10 @@ def _pair(a: str, b: str) -> list[Column]:
 
 def _star_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Each list's members with one of them, another one for each list of the same members."""
-    chosen = F.min_by(F.struct("node", "n", "pos"), F.struct(F.xxhash64("token", "node"), "node"))
-    leaders = entries.groupBy("token").agg(chosen.alias("l")).select("token", "l.*")
-    pairs = entries.alias("x").join(leaders.alias("l"), F.expr("x.token = l.token and x.node != l.node") & _may_link("x", "l", percent))
+    chosen = F.min_by(F.struct("node", "n", "pos", "salts"), F.struct(F.xxhash64("token", "node"), "node"))
+    leaders = _in_each(entries.groupBy("token").agg(chosen.alias("l")).select("token", "l.*"))
+    others = F.expr("x.token = l.token and x.salt = l.salt and x.node != l.node")
+    pairs = entries.alias("x").join(leaders.alias("l"), others & _may_link("x", "l", percent))
     found = pairs.select(*_pair("x", "l")).distinct()
     known = found.join(bits.alias("x"), F.col("a") == F.col("x.node")).join(bits.alias("y"), F.col("b") == F.col("y.node"))
     return known.where(_bits_allow("x", "y", percent)).select("a", "b")
@@ -279,30 +302,33 @@ def _star_pairs(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
 def _mixed(entries: DataFrame, bits: DataFrame, least: int) -> DataFrame:
     """Lists of `least` members or more in several groups, with each list's largest group as `main`, and bits."""
-    sizes = entries.groupBy("token", "group").agg(F.count("*").alias("c"))
+    sizes = entries.groupBy("token", "group").agg(F.count("*").alias("c"), F.max("salts").alias("salts"))
     lists = sizes.groupBy("token").agg(
-        F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"), F.sum("c").alias("size")
+        F.max_by("group", F.struct("c", "group")).alias("main"),
+        F.max("salts").alias("salts"),
+        F.count("*").alias("groups"),
+        F.sum("c").alias("size"),
     )
-    chosen = lists.where((F.col("groups") > 1) & (F.col("size") >= least)).select("token", "main")
-    return stored(entries.join(chosen, "token").join(bits.drop("n"), "node"))
+    chosen = lists.where((F.col("groups") > 1) & (F.col("size") >= least)).select("token", "main", "salts")
+    return stored(entries.join(_in_each(chosen).drop("salts"), ["token", "salt"]).join(bits.drop("n"), "node"))
 
 
 def _main_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     """In mixed lists, the members outside the largest group with a few of that group."""
-    kept = [c for c in mixed.columns if c not in ("token", "group", "main")]
+    kept = [c for c in mixed.columns if c not in ("token", "group", "main", "salt")]
     picked = [F.min_by(F.struct(*kept), F.struct(F.xxhash64("token", "node", F.lit(i)), "node")) for i in range(LEADERS)]
     leaders = mixed.where("group = main").groupBy("token").agg(F.array_distinct(F.array(*picked)).alias("l"))
-    leaders = leaders.select("token", F.explode("l").alias("l")).select("token", "l.*")
+    leaders = _in_each(leaders.select("token", F.explode("l").alias("l")).select("token", "l.*"))
     rest = mixed.where("group != main").alias("x")
     possible = _may_link("x", "l", percent) & _bits_allow("x", "l", percent)
-    pairs = rest.join(leaders.alias("l"), F.expr("x.token = l.token") & possible)
+    pairs = rest.join(leaders.alias("l"), F.expr("x.token = l.token and x.salt = l.salt") & possible)
     return pairs.select(*_pair("x", "l")).distinct()
 
 
 def _cross_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     """All pairs of a mixed list that are in different groups: members outside its largest with all others."""
-    rest = mixed.where("group != main").alias("x")
-    once = F.expr("x.token = y.token and x.group != y.group and (y.group = y.main or x.node < y.node)")
+    rest = _in_each(mixed.where("group != main")).alias("x")
+    once = F.expr("x.token = y.token and x.salt = y.salt and x.group != y.group and (y.group = y.main or x.node < y.node)")
     possible = _may_link("x", "y", percent) & _bits_allow("x", "y", percent)
     return rest.join(mixed.alias("y"), once & possible).select(*_pair("x", "y")).distinct()
 
@@ -377,7 +403,7 @@ def jaccard_links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     small = p.classes.where(F.col("n") <= LARGEST_LIGHT)
     lists = small.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     length = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    lists = lists.where(F.col("pos") < length).withColumn("group", F.col("node"))
+    lists = _dealt(lists.where(F.col("pos") < length)).withColumn("group", F.col("node"))
     every = stored(pairs.union(_cross_pairs(_mixed(lists, bits, 2), percent)).distinct())
     links = _linked(docs, p.classes, every, k, percent).union(light).distinct()
     members = p.sets.where("n > 0").join(p.classes.select("n", "s1", "s2", "node"), ["n", "s1", "s2"])

@@ -89,6 +89,20 @@ def test_all_links(spark):
     assert found == expected and expected
 
 
+def test_large_lists_are_dealt_whole(spark):
+    lists = {-1: 4000, **{t: 2 + t % 5 for t in range(1000)}, **{t: 1 for t in range(1000, 1500)}}
+    rows = [(t * 10_000 + i if t >= 0 else i, 9, 0, t) for t, n in lists.items() for i in range(n)]
+    entries = spark.createDataFrame(rows, "node long, n long, pos int, token long")
+    dealt = ngram_join._dealt(entries, 64).collect()
+    assert sorted((r["node"], r["token"]) for r in dealt) == sorted((r[0], r[3]) for r in rows if lists[r[3]] > 1)
+    piece = -(-len(dealt) // 64)
+    parts = {}
+    for r in dealt:
+        assert r["salts"] == -(-lists[r["token"]] // piece) and 0 <= r["salt"] < r["salts"]
+        parts[r["token"], r["salt"]] = parts.get((r["token"], r["salt"]), 0) + 1
+    assert max(parts.values()) < 2 * piece < 400
+
+
 def test_null_and_repeated_ids(spark):
     text = "alpha beta gamma delta epsilon zeta"
     rows = [(None, text, "en", "s", 1), (7, text, "en", "s", 1), (7, text, "en", "s", 1), (None, "other words here now", "en", "s", 1)]
