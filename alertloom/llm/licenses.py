@@ -5,9 +5,10 @@ compared as a multiset of word bigrams. A template of b bigrams can reach a coef
 of t / (2 - t) * b to (2 - t) / t * b bigrams, so most texts meet few templates or none. Only DataFrame
 functions are used. The bigrams of the templates, a fixed table, are the only thing sent to all tasks.
 
-With `windows`, notices that are wrapped over lines or stand inside a longer line are found too: for templates
-that neither the document nor a line of it matches, every stretch of the document's words, across line breaks, that
-begins and ends with a bigram of the template is compared. No other stretch has a higher coefficient than these.
+With `windows`, notices that are wrapped over lines or stand inside a longer line are found too: every stretch of
+the document's words, across line breaks, that begins and ends with a bigram of the template is compared. No other
+stretch has a higher coefficient than these, lines and whole documents included, so the best coefficient is that of the best
+stretch. Only templates that a line or the document equals (coefficient 1) need no search.
 A notice that holds another template, as the Apache notice does, then reports both.
 
 Defined cases: null texts, and texts of fewer than two words, match nothing. A text that matches several
@@ -42,6 +43,38 @@ TEMPLATES = {
         "permissions and limitations under the License."
     ),
     "BSD": "Released under the BSD License.",
+    "BSD-2-Clause text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."
+    ),
+    "BSD-3-Clause text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."
+    ),
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
@@ -51,6 +84,15 @@ TEMPLATES = {
     "CC-BY-NC-4.0 notice": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
     ),
+    "GPL-2.0 notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU General Public License for more details. You should have received a copy of the GNU General Public "
+        "License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, "
+        "Fifth Floor, Boston, MA 02110-1301 USA."
+    ),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0 notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -63,6 +105,13 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "LGPL-2.1 notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        "PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
     "MIT": "Released under the MIT License.",
     "MIT text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -76,6 +125,34 @@ TEMPLATES = {
         "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING "
         "FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
+    "MPL-2.0 notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize "
+        "copyright laws, the author or authors of this software dedicate any and all copyright interest in the "
+        "software to the public domain. We make this dedication for the benefit of the public at large and to the "
+        "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+        "perpetuity of all present and future rights to this software under copyright law. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "Zlib text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; "
+        "you must not claim that you wrote the original software. If you use this software in a product, an "
+        "acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source "
+        "versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
 }
 
 
@@ -199,8 +276,9 @@ def find_licenses(
     if windows:
         dice = stored(dice)
         most = sorted({n for t in templates.values() for n in bigrams_of(t).values()})
-        others = met.where("unit = 0").join(dice.select("row", "license"), ["row", "license"], "left_anti")
-        dice = dice.unionByName(best_windows(others, most, percent))
+        # Lines that reach the coefficient may lie in stretches with a higher one; nothing is above 1.
+        others = met.where("unit = 0").join(dice.where("dice = 1").select("row", "license"), ["row", "license"], "left_anti")
+        dice = dice.unionByName(best_windows(others, most, percent)).groupBy("row", "license").agg(F.max("dice").alias("dice"))
     listed = stored(
         dice.groupBy("row").agg(
             F.count("*").alias("n_licenses"),

@@ -90,26 +90,34 @@ def _licenses() -> str:
     return f"""
 with templates (license, bigram, there, size) as (values {", ".join(rows)}),
 docs as (select row_number() over () as d, doc_id, text from documents),
-parts as (
-    select d, unnest(list_concat([text], string_split(text, chr(10)))) as part from docs where text is not null
-),
 words as (
-    select row_number() over () as u, d,
-           string_split(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), ' ') as w
-    from parts
+    select d, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') as w
+    from docs where text is not null
 ),
 grams as (
-    select u, bigram, count(*) as here from (
-        select u, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) as bigram from words
-    ) group by u, bigram
+    select d, unnest(range(1, len(w))) as place, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) as bigram
+    from words
+),
+places as (
+    select *, row_number() over (partition by d, license, bigram order by place) as nth
+    from grams join templates using (bigram)
 ),
 hits as (
-    select u, license, 2.0 * sum(least(here, there)) / (any_value(size) + any_value(len(w)) - 1) as dice
-    from grams join templates using (bigram) join words using (u)
-    group by u, license
-    having 200 * sum(least(here, there)) >= {PERCENT} * (any_value(size) + any_value(len(w)) - 1)
+    select p.*, coalesce(q.place, 0) as back
+    from places p left join places q
+        on q.d = p.d and q.license = p.license and q.bigram = p.bigram and q.nth = p.nth - p.there
+),
+-- Stretches from one hit to another; a bigram counts at most as often as the template has it.
+stretches as (
+    select a.d, a.license, a.size, b.place - a.place + 1 as n,
+           sum((b.back < a.place)::int) over (partition by a.d, a.license, a.place order by b.place) as shared
+    from hits a join hits b
+        on b.d = a.d and b.license = a.license and b.place between a.place and a.place + 2 * a.size
+),
+best as (
+    select d, license, max(2.0 * shared / (n + size)) as dice from stretches
+    where 200 * shared >= {PERCENT} * (n + size) group by d, license
 ),
-best as (select d, license, max(dice) as dice from hits join words using (u) group by d, license),
 found as (
     select d, count(*) as n_licenses, string_agg(license, ',' order by license) as licenses,
            arg_min(license, struct_pack(x := -dice, y := license)) as best_license, round(max(dice), 6) as best_dice
