@@ -8,7 +8,11 @@ Three distributions are mixed for each id: the frequencies of the ids that follo
 or 2 keeps the ids most frequent in it, eight and four; contexts share a place if their hashes are equal. The
 distributions are added with weights, learnt for each combination of how much the contexts have seen, by
 what each distribution contributed to the ids that came. The coder narrows its range to the id's share of the
-sum. All arithmetic is on whole numbers, so a block decodes alike everywhere.
+sum. All arithmetic is on whole numbers, so a block decodes alike everywhere. Orders 1 and 2 count every step's ids
+at once, order 0 after more and more steps; the weights learn from each of the first steps, then from some.
+
+The words that lanes settle are stored in the order in which the decoder takes them, so that it reads them as one
+stream for all lanes.
 
 A block has its own header and ends with a checksum of all before it and of its ids.
 """
@@ -31,137 +35,225 @@ _TOTAL_BITS = 30
 _TOTAL = 1 << _TOTAL_BITS
 _LEAST0, _LEAST = 1 << 23, 1 << 20
 _STATES = 6
-_GAIN, _MOST = 24, 1 << 22
+# Steps after which the weights learn: each of the first ones, later every sixteenth.
+_EAGER, _EVERY = 16, 16
 # Hash bits and ids kept of contexts of order 1 and 2, and the sum of frequencies at which these are halved.
-_BITS, _KEPT, _FULL = (16, 18), (8, 4), 255
-_NOTHING = np.uint32(2**32 - 1)
+_BITS, _KEPT, _FULL = (16, 18), (8, 4), 240
+# An entry of a context is an id and, in the lowest bits, its frequency.
+_ID, _COUNT = 8, 0xFF
+# Frequencies of order 0 that add up to at most 2**22 have a table of the symbol at each place.
+_PLACES = 22
+
+_ST, _S31, _S32 = np.uint64(_TOTAL_BITS), np.uint64(31), np.uint64(32)
+_M31, _M32 = np.uint64((1 << 31) - 1), np.uint64((1 << 32) - 1)
+_W31 = np.uint64(1 << 31)
+
+
+def _states() -> np.ndarray:
+    """The state of a context by its sum of frequencies (high byte) and the highest one."""
+    total, most = np.divmod(np.arange(1 << 16), 1 << 8)
+    # Nothing, one id once, one id a few times and often, several ids with and without a frequent one.
+    one = np.where(total < 2, total, np.where(total < 4, 2, 3))
+    return np.where(most == total, one, np.where(2 * most < total, 4, 5)).astype(np.uint16)
+
 
-# The range has 64 bits; 16 leave it at a time, and it is never narrower than 40.
-_S16, _S48, _ST = np.uint64(16), np.uint64(48), np.uint64(_TOTAL_BITS)
-_W48, _W40 = np.uint64(1 << 48), np.uint64(1 << 40)
+_STATE = _states()
 
 
 class _Context:
-    """The frequencies of the ids that followed each context of one order."""
+    """The frequencies of the ids that followed each context of one order.
 
-    def __init__(self, bits: int, kept: int):
-        self.symbols = np.full((1 << bits, kept), _NOTHING)
-        self.counts = np.zeros((1 << bits, kept), np.uint16)
+    `entries`, `ids` and `seen` are this order's part of the model's arrays, one column for each lane.
+    """
+
+    def __init__(self, bits: int, kept: int, entries: np.ndarray, ids: np.ndarray, seen: np.ndarray):
+        self.kept, self.entries, self.ids, self.seen = kept, entries, ids, seen
+        # Entries without an id have the highest one and no frequency.
+        self.table = np.full((1 << bits, kept), np.iinfo(entries.dtype).max ^ _COUNT, entries.dtype)
+        self.flat = self.table.reshape(-1)
 
     def look(self, at: np.ndarray) -> None:
-        """Take the rows of all lanes, one column for each lane."""
+        """Take the rows of all lanes."""
         self.at = at
-        self.ids = np.ascontiguousarray(self.symbols.take(at, axis=0).T)
-        self.seen = np.ascontiguousarray(self.counts.take(at, axis=0).T)
-        self.total = self.seen.sum(axis=0, dtype=np.int64)
-        most = self.seen.max(axis=0)
-        # Nothing, one id once, one id a few times and often, several ids with and without a frequent one.
-        one = np.where(self.total < 2, self.total, np.where(self.total < 4, 2, 3))
-        self.state = np.where(most == self.total, one, np.where(2 * most.astype(np.int64) < self.total, 4, 5))
-
-    def share(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The frequencies of all ids below, and of the ids."""
-        none = np.uint16(0)
-        self.hit = self.ids == ids
-        before = np.where(self.ids < ids, self.seen, none).sum(axis=0, dtype=np.int64)
-        return before, np.where(self.hit, self.seen, none).sum(axis=0, dtype=np.int64)
-
-    def update(self, ids: np.ndarray) -> None:
-        """Count the ids; a new one takes the place of the least frequent."""
-        seen = self.seen + self.hit
-        new = np.flatnonzero(~self.hit.any(axis=0))
-        place = self.seen[:, new].argmin(axis=0)
-        self.ids[place, new] = ids[new]
-        seen[place, new] = 1
+        np.copyto(self.entries, self.table.take(at, axis=0).T)
+
+    def sum(self) -> None:
+        # The sum stays below 256: a step adds at most one to each entry.
+        self.total = np.add.reduce(self.seen, axis=0, dtype=np.uint8)
+        row = self.total.astype(np.uint16)
+        row <<= np.uint16(8)
+        row |= np.maximum.reduce(self.seen, axis=0)
+        self.state = _STATE.take(row)
+
+    def update(self, place: np.ndarray, entry: np.ndarray) -> None:
+        # Of lanes at the same place, the last one's change holds.
+        spot = self.at * self.kept
+        spot += place
+        self.flat[spot] = entry
         full = np.flatnonzero(self.total >= _FULL)
-        seen[:, full] = (seen[:, full] + 1) >> 1
-        seen[self.ids == _NOTHING] = 0
-        # Of lanes in the same context, the last one's change holds.
-        self.symbols[self.at] = self.ids.T
-        self.counts[self.at] = seen.T
+        if len(full):
+            rows = self.table[self.at[full]]
+            self.table[self.at[full]] = rows - ((rows & rows.dtype.type(_COUNT)) >> rows.dtype.type(1))
 
 
 class _Model:
     """The mixed distribution of all lanes, its weights, and the frequencies of all symbols."""
 
     def __init__(self, lanes: int, symbols: int):
-        self.contexts = [_Context(bits, kept) for bits, kept in zip(_BITS, _KEPT)]
-        self.counts = np.ones(symbols, np.int64)
-        self.total = symbols
-        self.below = np.zeros(symbols + 1, np.int64)
+        self.symbols = symbols
+        kind = np.uint32 if symbols < 1 << (32 - _ID) else np.int64
+        self.shift = kind(_ID)
+        rows = sum(_KEPT)
+        self.entries = np.empty((rows, lanes), kind)
+        self.ids = np.empty((rows, lanes), np.uint16 if symbols < 1 << 16 else kind)
+        self.seen = np.empty((rows, lanes), np.uint8)
+        parts = slice(0, _KEPT[0]), slice(_KEPT[0], rows)
+        self.contexts = [_Context(b, k, self.entries[p], self.ids[p], self.seen[p]) for b, k, p in zip(_BITS, _KEPT, parts)]
+        # For the least frequent entry of a context: frequencies up to the mean of a full one, and its places.
+        kept = np.repeat(_KEPT, _KEPT)[:, None]
+        self.step_of, self.place_of = kept.astype(np.uint8), np.concatenate([np.arange(k) for k in _KEPT])[:, None].astype(np.uint8)
+        self.most_of = (256 // kept - 2).astype(np.uint8)
+        # Frequencies of order 0 add up to a power of two; every symbol has one at least.
+        self.bits = max(12, min(symbols.bit_length() + 4, _PLACES), symbols.bit_length() + 1)
+        self.total = 1 << self.bits
+        self.raw = np.zeros(symbols, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.n_waiting = self.n_counted = self.step = 0
         self.last1, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        # Every symbol keeps a share: order 0 has at least as many parts as the sum of frequencies can reach.
-        self.least0 = max(_LEAST0, 4 * symbols)
+        # Every symbol keeps a share: order 0 has at least as many parts as the sum of frequencies.
+        self.least0 = max(_LEAST0, self.total)
         # What each order contributed to the ids that came, by class.
         self.gained = np.full((_STATES * _STATES, 3), 1 << 16, np.int64)
         self._weigh()
         self._sum()
 
     def _sum(self) -> None:
-        """The frequencies below each symbol; all are halved when their sum gets too large."""
-        if self.total > _MOST:
-            self.counts = (self.counts + 1) >> 1
-            self.total = int(self.counts.sum())
+        """Count the ids that wait, and take the frequencies of all so far into use."""
+        if self.waiting:
+            self.raw += np.bincount(np.concatenate(self.waiting), minlength=self.symbols)
+            self.n_counted += self.n_waiting
+            self.waiting, self.n_waiting = [], 0
+        spare = self.total - self.symbols
+        self.counts = 1 + (self.raw * ((spare << 20) // max(self.n_counted, 1)) >> 20)
+        self.below = np.zeros(self.symbols + 1, np.int64)
         np.cumsum(self.counts, out=self.below[1:])
+        # What rounding leaves over goes to the last symbol.
+        self.counts[-1] += self.total - self.below[-1]
+        self.below[-1] = self.total
+        self.places = None
 
     def _weigh(self) -> None:
-        """Weights of order 1 and 2; order 0 has the rest."""
+        """What one count of order 1 and 2 is worth, by class and sum of counts; order 0 has the rest."""
         spare = _TOTAL - self.least0 - 2 * _LEAST
         shares = (self.gained[:, 1:] << 12) // self.gained.sum(axis=1, keepdims=True)
-        self.weights = ((shares * spare) >> 12) + _LEAST
+        weights = ((shares * spare) >> 12) + _LEAST
+        totals = np.maximum(np.arange(1 << 8), 1)
+        self.worth = [(weights[:, k, None] // totals).reshape(-1) for k in range(len(_KEPT))]
 
     def predict(self) -> None:
+        first, second = self.contexts
         h = self.last1 * np.uint32(0x9E3779B1)
-        self.contexts[0].look(h >> np.uint32(32 - _BITS[0]))
+        first.look((h >> np.uint32(32 - _BITS[0])).astype(np.intp))
         h = (h ^ (h >> np.uint32(15)) ^ (self.last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
-        self.contexts[1].look(h >> np.uint32(32 - _BITS[1]))
-        self.kind = self.contexts[0].state * _STATES + self.contexts[1].state
+        second.look((h >> np.uint32(32 - _BITS[1])).astype(np.intp))
+        np.right_shift(self.entries, self.shift, out=self.ids, casting="unsafe")
+        np.copyto(self.seen, self.entries, casting="unsafe")
+        first.sum()
+        second.sum()
+        self.kind = first.state * np.uint16(_STATES) + second.state
         # The parts that one count is worth; what an empty context leaves goes to order 0.
-        self.units = [self.weights[:, k].take(self.kind) // np.maximum(c.total, 1) for k, c in enumerate(self.contexts)]
-        self.rest = _TOTAL - sum(u * c.total for u, c in zip(self.units, self.contexts))
+        row = self.kind << np.uint16(8)
+        self.units = [w.take(row | c.total) for w, c in zip(self.worth, self.contexts)]
+        self.rest = _TOTAL - self.units[0] * first.total - self.units[1] * second.total
+
+    def _split(self, rows: np.ndarray) -> list[np.ndarray]:
+        """The sums of both orders' rows."""
+        k = _KEPT[0]
+        return [np.add.reduce(part, axis=0, dtype=np.uint8) for part in (rows[:k], rows[k:])]
 
     def share(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids' share of the mixed total begins, and its size."""
-        start = self.rest * self.below.take(ids) // self.total
-        self.parts = [self.rest * self.below[1:].take(ids) // self.total - start]
-        for unit, context in zip(self.units, self.contexts):
-            before, own = context.share(ids)
+        start = self.below.take(ids)
+        start *= self.rest
+        start >>= self.bits
+        part = self.below[1:].take(ids)
+        part *= self.rest
+        part >>= self.bits
+        part -= start
+        same = ids.astype(self.ids.dtype)
+        self.hit = (self.ids == same).view(np.uint8)
+        below = (self.ids < same).view(np.uint8)
+        below *= self.seen
+        self.own = self._split(self.hit * self.seen)
+        self.parts, self.whole = [part], part.copy()
+        for unit, before, own in zip(self.units, self._split(below), self.own):
             start += unit * before
-            self.parts.append(unit * own)
-        return start.astype(np.uint64), sum(self.parts).astype(np.uint64)
+            part = unit * own
+            self.parts.append(part)
+            self.whole += part
+        return start.view(np.uint64), self.whole.view(np.uint64)
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The ids in whose shares the values lie."""
-        first, second = self.contexts
-        shift, mask = np.uint64(32), np.uint64(0xFFFF)
-        keys = [first.ids.astype(np.uint64) << shift | first.seen.astype(np.uint64) << np.uint64(16)]
-        keys.append(second.ids.astype(np.uint64) << shift | second.seen.astype(np.uint64))
-        keys = np.ascontiguousarray(np.sort(np.concatenate(keys).T, axis=1).T)
-        known = keys >> shift
-        own = self.units[0] * (keys >> np.uint64(16) & mask).astype(np.int64) + self.units[1] * (keys & mask).astype(np.int64)
-        upto = np.cumsum(own, axis=0)
-        # Below an id that a context knows lie its share by order 0 and the contexts' shares of smaller ids.
-        at = self.rest * self.below.take(np.minimum(known, len(self.below) - 1).astype(np.intp)) // self.total + upto - own
-        at[known == _NOTHING] = _TOTAL
-        n = (at <= value).sum(axis=0)
-        lane, some = np.arange(len(value)), n > 0
-        least = np.where(some, known[n - 1, lane].astype(np.int64), 0)
-        left = np.maximum(value - np.where(some, upto[n - 1, lane], 0), 0)
-        ids = np.searchsorted(self.below, ((left + 1) * self.total - 1) // self.rest, side="right") - 1
-        return np.maximum(ids, least)
+        if self.places is None and self.bits <= _PLACES:
+            self.places = np.repeat(np.arange(self.symbols, dtype=self.ids.dtype), self.counts)
+        # For each id that a context knows, the counts of smaller ids in both contexts.
+        before = np.zeros((len(_KEPT), *self.seen.shape), np.uint8)
+        smaller = np.empty(self.seen.shape, bool)
+        ones = smaller.view(np.uint8)
+        for sums, context in zip(before, self.contexts):
+            for one, seen in zip(context.ids, context.seen):
+                np.greater(self.ids, one, out=smaller)
+                ones *= seen
+                sums += ones
+        # Below such an id lie its share by order 0 and the contexts' shares of smaller ids.
+        at = self.below.take(self.ids, mode="clip")
+        at *= self.rest
+        at >>= self.bits
+        at = at.astype(np.uint32)
+        for unit, sums in zip(self.units, before):
+            mass = sums.astype(np.uint32)
+            mass *= unit.astype(np.uint32)
+            at += mass
+        upto = (at <= value.astype(np.uint32)).view(np.uint8)
+        least = np.maximum.reduce(self.ids * upto, axis=0)
+        upto *= self.seen
+        left = value.copy()
+        for unit, own in zip(self.units, self._split(upto)):
+            left -= unit * own
+        # Where the value lies in a context's share of an id, order 0 finds a smaller id or the same.
+        np.maximum(left, 0, out=left)
+        left += 1
+        left <<= self.bits
+        left -= 1
+        left //= self.rest
+        ids = np.searchsorted(self.below, left, side="right") - 1 if self.places is None else self.places.take(left)
+        return np.maximum(ids, least).astype(np.uint32)
 
     def update(self, ids: np.ndarray) -> None:
-        whole = sum(self.parts)
-        for k, part in enumerate(self.parts):
-            self.gained[:, k] += np.bincount(self.kind, (part << 12) // whole, len(self.gained)).astype(np.int64)
-        self.gained -= self.gained >> 5
-        np.maximum(self.gained, 1, out=self.gained)
-        self._weigh()
-        for context in self.contexts:
-            context.update(ids)
-        np.add.at(self.counts, ids, _GAIN)
-        self.total += _GAIN * len(ids)
-        self._sum()
+        self.step += 1
+        if self.step <= _EAGER or self.step % _EVERY == 0:
+            for k, part in enumerate(self.parts):
+                self.gained[:, k] += np.bincount(self.kind, (part << 12) // self.whole, len(self.gained)).astype(np.int64)
+            self.gained -= self.gained >> 5
+            np.maximum(self.gained, 1, out=self.gained)
+            self._weigh()
+        # The place of the id, else of the lowest frequency: places differ in the lowest bits.
+        order = np.minimum(self.seen, self.most_of)
+        order += np.uint8(1)
+        order *= self.step_of
+        order *= self.hit ^ np.uint8(1)
+        order |= self.place_of
+        k = 0
+        shifted = ids.astype(self.entries.dtype) << self.shift
+        for context, own in zip(self.contexts, self.own):
+            place = np.minimum.reduce(order[k : k + context.kept], axis=0) & np.uint8(context.kept - 1)
+            context.update(place, shifted | (own + np.uint8(1)))
+            k += context.kept
+        self.waiting.append(ids)
+        self.n_waiting += len(ids)
+        if self.n_waiting >= min(self.n_counted >> 1, self.total >> 2):
+            self._sum()
         self.last2, self.last1 = self.last1, ids
 
 
@@ -170,21 +262,16 @@ def _shape(n: int, lanes: int, steps: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _narrow(low: np.ndarray, width: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-    low += width * start
-    width *= size
-
-
-def _settled(low: np.ndarray, width: np.ndarray, among: np.ndarray | None) -> np.ndarray:
-    """Lanes whose highest 16 bits are settled; those that got too narrow are cut to be so."""
-    here, wide = (low, width) if among is None else (low[among], width[among])
-    same = (here ^ (here + wide)) < _W48
-    narrow = (wide < _W40) & ~same
-    if narrow.any():
-        hit = np.flatnonzero(narrow) if among is None else among[narrow]
-        width[hit] = (~low[hit] + np.uint64(1)) & (_W40 - np.uint64(1))
-        same |= narrow
-    return np.flatnonzero(same) if among is None else among[same]
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """Columns as rows, a few at a time."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    short = rows if len(rows) <= rows.shape[1] else out
+    for k in range(0, len(short), 16):
+        if short is rows:
+            out[:, k : k + 16] = rows[k : k + 16].T
+        else:
+            out[k : k + 16] = rows[:, k : k + 16].T
+    return out
 
 
 def encode_block(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> bytes:
@@ -204,33 +291,47 @@ def encode_block(ids: np.ndarray, lanes: int = LANES, steps: int = STEPS) -> byt
 def _encode(ids: np.ndarray, symbols: int, lanes: int, steps: int) -> bytes:
     full = np.zeros(lanes * steps, np.uint32)
     full[: len(ids)] = ids
-    columns = np.ascontiguousarray(full.reshape(lanes, steps).T)
+    columns = _turned(full.reshape(lanes, steps))
     model = _Model(lanes, symbols)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, _W31 << _S31, np.uint64)
     where: list[np.ndarray] = []
     what: list[np.ndarray] = []
     for now in columns:
         model.predict()
+        start, size = model.share(now)
         width >>= _ST
-        _narrow(low, width, *model.share(now))
-        out = _settled(low, width, None)
-        while len(out):
-            where.append(out)
-            what.append((low[out] >> _S48).astype(np.uint16))
-            low[out] <<= _S16
-            width[out] <<= _S16
-            out = _settled(low, width, out)
+        low += width * start
+        width *= size
+        out = np.flatnonzero(width < _W31)
+        settled = low[out]
+        where.append(out)
+        what.append(settled >> _S31)
+        low[out] = (settled & _M31) << _S32
+        width[out] <<= _S32
         model.update(now)
-    # 24 bits tell any number in a range of 40 from all others; the decoder reads zeros after them.
-    low += _W40 - np.uint64(1)
-    low &= ~(_W40 - np.uint64(1))
+    # The highest 33 bits, one more, tell a number in the range; the decoder reads zeros after them.
     every = np.arange(lanes)
-    for shift in (48, 32):
-        where.append(every)
-        what.append((low >> np.uint64(shift)).astype(np.uint16))
-    lane = np.concatenate(where)
-    words = np.concatenate(what)[np.argsort(lane, kind="stable")]
-    return np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + words.astype("<u2").tobytes()
+    where += [every, every]
+    what += [(low + _M31) >> _S31, np.zeros(lanes, np.uint64)]
+    lane = np.concatenate(where).astype(np.uint32 if lanes > 1 << 16 else np.uint16)
+    order = np.argsort(lane, kind="stable")
+    words = np.concatenate(what)[order]
+    # A word has 33 bits; the highest is carried to the word before it in its lane.
+    while len(over := np.flatnonzero(words > _M32)):
+        words[over] &= _M32
+        words[over - 1] += np.uint64(1)
+    # The first word of a lane gets a zero bit in front, which moves all others on by one bit.
+    counts = np.bincount(lane, minlength=lanes)
+    firsts = np.cumsum(counts) - counts
+    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])
+    before[firsts] = 0
+    words = ((before << _S31) & _M32) | (words >> np.uint64(1))
+    # The decoder starts with two words of each lane; after each word that was settled here it takes one more.
+    n = len(order) - 2 * lanes
+    taken = np.empty(len(order), np.int64)
+    taken[order] = np.arange(len(order)) + 2
+    stream = np.concatenate([words[firsts], words[firsts + 1], words[taken[:n]]])
+    return stream.astype("<u4").tobytes()
 
 
 def decode_block(block: bytes) -> np.ndarray:
@@ -252,37 +353,24 @@ def decode_block(block: bytes) -> np.ndarray:
 
 
 def _decode(data: bytes, symbols: int, n: int, lanes: int, steps: int) -> np.ndarray:
-    lengths = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    words = np.frombuffer(data, "<u2", offset=4 * lanes).astype(np.uint64)
-    # Each lane ends in zeros, so that none reads what belongs to the next.
-    ends = np.cumsum(lengths)
-    padded = np.zeros(len(words) + 4 * lanes, np.uint64)
-    padded[np.arange(len(words)) + 4 * np.repeat(np.arange(lanes), lengths)] = words
-    at = ends - lengths + 4 * np.arange(lanes)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = (code << _S16) | padded[at]
-        at += 1
+    words = np.frombuffer(data, "<u4").astype(np.uint64)
+    code = (words[:lanes] << _S32) | words[lanes : 2 * lanes]
+    at = 2 * lanes
     model = _Model(lanes, symbols)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    width = np.full(lanes, _W31 << _S31, np.uint64)
     out = np.zeros((steps, lanes), np.uint32)
     most = np.uint64(_TOTAL - 1)
-    end = len(padded) - 1
     for t in range(steps):
         model.predict()
         width >>= _ST
-        value = np.minimum((code - low) // width, most).astype(np.int64)
-        ids = model.find(value)
-        ids[ids >= symbols] = 0  # only in a damaged block, which the checksum tells
-        ids = ids.astype(np.uint32)
-        _narrow(low, width, *model.share(ids))
-        read = _settled(low, width, None)
-        while len(read):
-            low[read] <<= _S16
-            width[read] <<= _S16
-            code[read] = (code[read] << _S16) | padded[np.minimum(at[read], end)]
-            at[read] += 1
-            read = _settled(low, width, read)
+        ids = model.find(np.minimum(code // width, most).view(np.int64))
+        start, size = model.share(ids)
+        code -= width * start
+        width *= size
+        read = np.flatnonzero(width < _W31)
+        width[read] <<= _S32
+        code[read] = (code[read] << _S32) | words[at : at + len(read)]
+        at += len(read)
         out[t] = ids
         model.update(ids)
-    return out.T.reshape(-1)[:n].copy()
+    return _turned(out).reshape(-1)[:n]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -23,11 +24,25 @@ SPECIAL = "<|endoftext|>"
 # Characters up to here have a class; texts with others are not split here.
 _KNOWN = 0x250
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
-# New pieces beyond this number start the cache anew, which bounds its memory at about 100 MB.
+# New pieces beyond this number start the cache anew, which bounds its memory at about 150 MB.
 _MOST_CACHED = 3_000_000
+# Pieces with more characters are known by Python's hash.
+_LONGEST = 1 << 12
+_ODD = 0x9E3779B97F4A7C15
+_S32, _M32 = np.uint64(32), np.uint64(2**32 - 1)
 _SUFFIXES = ("s", "t", "m", "d", "re", "ve", "ll")
 
 
+def _byte_letters() -> list[str]:
+    """The letters that the vocabulary has for bytes: visible ones for themselves, then those from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(others)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def _classes() -> np.ndarray:
     table = np.full(_KNOWN, _OTHER, np.uint8)
     for c in range(_KNOWN):
@@ -40,7 +55,8 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 with np.errstate(over="ignore"):
     _VALUE = mix(np.arange(1, _KNOWN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    _POWER = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15 | 1, np.uint64), dtype=np.uint64)
+    _POWER = np.cumprod(np.full(1 << 16, _ODD, np.uint64), dtype=np.uint64)
+    _INVERSE = np.cumprod(np.full(1 << 16, pow(_ODD, -1, 1 << 64), np.uint64), dtype=np.uint64)
 
 
 class Tokenizer:
@@ -51,13 +67,14 @@ class Tokenizer:
         from tokenizers import Tokenizer as Library
 
         self._library = Library.from_file(path)
+        self._model = self._library.model
         self._clear()
 
     def _clear(self) -> None:
-        # Hashes of the encoded pieces, sorted, and the number of each.
-        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # A table by hash of the pieces' hashes and spans of ids; hash 0 is a free place.
+        self._table = np.zeros((1 << 16, 2), np.uint64)
+        self._kept = 0
         self._flat = np.zeros(1 << 16, np.uint16)
-        self._bounds = np.zeros(1 << 16, np.int64)
         self._size = 0
 
     def encode(self, texts: Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,58 +125,122 @@ class Tokenizer:
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         starts = split(code, firsts)
-        places = self._look_up(code, starts, joined)
-        low, high = self._bounds[places], self._bounds[places + 1]
-        lengths = high - low
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
-        take = np.arange(total[-1]) + np.repeat(low - total[:-1], lengths)
-        return self._flat[take].astype(np.uint32), total[np.searchsorted(starts, firsts)]
+        spans = self._look_up(code, starts, joined)
+        low = (spans >> _S32).view(np.int64)
+        lengths = (spans & _M32).view(np.int64)
+        total = np.zeros(len(spans) + 1, np.int64)
+        np.cumsum(lengths, out=total[1:])
+        low -= total[:-1]
+        take = np.repeat(low, lengths)
+        take += np.arange(len(take))
+        return self._flat.take(take).astype(np.uint32), total[np.searchsorted(starts, firsts)]
 
     def _look_up(self, code: np.ndarray, starts: np.ndarray, joined: str) -> np.ndarray:
-        """The number of each piece among the encoded ones; new pieces are encoded first."""
+        """Where the ids of each piece begin (high half), and how many; new pieces are encoded first."""
         ends = np.append(starts[1:], len(code))
         lengths = ends - starts
-        with np.errstate(over="ignore"):
-            place = np.arange(len(code)) - np.repeat(starts, lengths)
-            parts = _VALUE[code]
-            parts *= _POWER[place & (len(_POWER) - 1)]
-            keys = mix(np.add.reduceat(parts, starts) + lengths.astype(np.uint64))
-            for i in np.flatnonzero(lengths > len(_POWER)):
-                keys[i] = np.uint64(hash(joined[starts[i] : ends[i]]) & (2**64 - 1))
-        distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self._keys) + len(distinct) > _MOST_CACHED:
-            self._clear()
-        spots = np.searchsorted(self._keys, distinct)
-        if len(self._keys):
-            known = self._keys[np.minimum(spots, len(self._keys) - 1)] == distinct
-        else:
-            known = np.zeros(len(distinct), bool)
-        new = np.flatnonzero(~known)
+        keys = _hashes(code, starts)
+        for i in np.flatnonzero(lengths > _LONGEST):
+            keys[i] = np.uint64(hash(joined[starts[i] : ends[i]]) & (2**64 - 1))
+        keys[keys == 0] = 1
+        spans, new = self._find(keys)
         if len(new):
-            at = first[new]
-            words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-            added = self._add(words)
-            self._numbers = np.insert(self._numbers, spots[new], added)
-            self._keys = np.insert(self._keys, spots[new], distinct[new])
-            spots = np.searchsorted(self._keys, distinct)
-        return self._numbers[spots[back]]
+            distinct, first = np.unique(keys[new], return_index=True)
+            if self._kept + len(distinct) > _MOST_CACHED:
+                self._clear()
+                new = np.arange(len(keys))
+                distinct, first = np.unique(keys, return_index=True)
+            at = new[first]
+            added = self._add([joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            self._keep(distinct, added)
+            spans[new] = self._find(keys[new])[0]
+        return spans
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The spans of the keys, and which keys are not in the table."""
+        last = np.intp(len(self._table) - 1)
+        place = keys.astype(np.intp) & last
+        rows = self._table.take(place, axis=0)
+        spans = rows[:, 1].copy()
+        new = []
+        other = np.flatnonzero(rows[:, 0] != keys)
+        found = rows[other, 0]
+        while len(other):
+            free = found == 0
+            new.append(other[free])
+            other = other[~free]
+            place[other] = (place[other] + 1) & last
+            rows = self._table.take(place[other], axis=0)
+            spans[other] = rows[:, 1]
+            unlike = rows[:, 0] != keys[other]
+            other, found = other[unlike], rows[unlike, 0]
+        return spans, np.concatenate([np.zeros(0, np.intp), *new])
+
+    def _keep(self, keys: np.ndarray, spans: np.ndarray) -> None:
+        """Put new keys into the table, which is at most three quarters full."""
+        self._kept += len(keys)
+        size = len(self._table)
+        while 4 * self._kept > 3 * size:
+            size *= 2
+        if size > len(self._table):
+            old = self._table[self._table[:, 0] != 0]
+            keys, spans = np.concatenate([old[:, 0], keys]), np.concatenate([old[:, 1], spans])
+            self._table = np.zeros((size, 2), np.uint64)
+        place = keys.astype(np.intp) & np.intp(size - 1)
+        while len(keys):
+            free = np.flatnonzero(self._table[place, 0] == 0)
+            # Of keys for the same place one gets it; the others go on.
+            self._table[place[free], 0] = keys[free]
+            got = free[self._table[place[free], 0] == keys[free]]
+            self._table[place[got], 1] = spans[got]
+            rest = np.ones(len(keys), bool)
+            rest[got] = False
+            keys, spans, place = keys[rest], spans[rest], (place[rest] + 1) & np.intp(size - 1)
 
     def _add(self, words: list[str]) -> np.ndarray:
-        """Encode new pieces; their numbers."""
-        pieces = []
-        for low in range(0, len(words), 4096):
-            pieces += [x.ids for x in self._library.encode_batch_fast(words[low : low + 4096], add_special_tokens=False)]
+        """Encode new pieces; the spans of their ids."""
+        # The library would find a run of letters whole again; its model encodes it without the search.
+        pieces: list = [None] * len(words)
+        others = []
+        for i, word in enumerate(words):
+            if word[word[0] == " " :].isalpha():
+                if word.isascii():
+                    letters = _BYTE_LETTERS[0x20] + word[1:] if word[0] == " " else word
+                else:
+                    letters = "".join([_BYTE_LETTERS[b] for b in word.encode()])
+                pieces[i] = [x.id for x in self._model.tokenize(letters)]
+            else:
+                others.append(i)
+        for low in range(0, len(others), 4096):
+            part = others[low : low + 4096]
+            for i, x in zip(part, self._library.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
+                pieces[i] = x.ids
         lengths = np.array([len(x) for x in pieces])
-        flat = np.fromiter((i for x in pieces for i in x), np.uint16, int(lengths.sum()))
-        number = len(self._keys)
-        while number + len(words) + 1 > len(self._bounds):
-            self._bounds = np.concatenate([self._bounds, np.zeros_like(self._bounds)])
+        flat = np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths.sum()))
         while self._size + len(flat) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
         self._flat[self._size : self._size + len(flat)] = flat
-        self._bounds[number + 1 : number + len(words) + 1] = self._size + np.cumsum(lengths)
+        firsts = self._size + np.cumsum(lengths) - lengths
         self._size += len(flat)
-        return np.arange(number, number + len(words))
+        return (firsts.astype(np.uint64) << _S32) | lengths.astype(np.uint64)
+
+
+def _hashes(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the pieces; those of pieces above the longest mean nothing."""
+    out = np.zeros(len(starts), np.uint64)
+    bounds = np.append(starts, len(code))
+    low = 0
+    with np.errstate(over="ignore"):
+        while low < len(starts):
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + len(_POWER), side="right")) - 1)
+            first, end = bounds[low], bounds[high]
+            if end - first <= len(_POWER):
+                at = starts[low:high] - first
+                parts = _VALUE.take(code[first:end])
+                parts *= _POWER[: end - first]
+                out[low:high] = np.add.reduceat(parts, at) * _INVERSE.take(at)
+            low = high
+        return mix(out + np.diff(bounds).astype(np.uint64))
 
 
 def split(code: np.ndarray, firsts: np.ndarray) -> np.ndarray:
