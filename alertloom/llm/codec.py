@@ -156,8 +156,9 @@ class _Model:
         first.look((h >> np.uint32(32 - _BITS[0])).astype(np.intp))
         h = (h ^ (h >> np.uint32(15)) ^ (self.last2 * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
         second.look((h >> np.uint32(32 - _BITS[1])).astype(np.intp))
-        np.right_shift(self.entries, self.shift, out=self.ids, casting="unsafe")
         np.copyto(self.seen, self.entries, casting="unsafe")
+        self.entries >>= self.shift
+        np.copyto(self.ids, self.entries, casting="unsafe")
         first.sum()
         second.sum()
         self.kind = first.state * np.uint16(_STATES) + second.state

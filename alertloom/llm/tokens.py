@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -90,16 +90,18 @@ class Tokenizer:
     def _encode(self, texts: Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
         raw = [texts.raw(i).decode() for i in range(len(texts))]
         joined = "".join(raw)
-        if self._is_plain(joined):
-            ids, at = self._encode_plain(raw)
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        if self._is_plain(joined, code):
+            ids, at = self._encode_plain(raw, joined, code)
             out = np.full(len(ids) + len(raw), end, np.uint32)
             own = np.ones(len(out), bool)
             own[at[1:] + np.arange(len(raw))] = False
             out[own] = ids
             return out, np.diff(at) + 1
-        plain = [self._is_plain(t) for t in raw]
+        plain = [self._is_plain(t, np.frombuffer(t.encode("utf-32-le"), np.uint32)) for t in raw]
         chosen = [t for t, p in zip(raw, plain) if p]
-        ids, at = self._encode_plain(chosen)
+        joined = "".join(chosen)
+        ids, at = self._encode_plain(chosen, joined, np.frombuffer(joined.encode("utf-32-le"), np.uint32))
         pieces, counts, j = [], np.zeros(len(raw), np.int64), 0
         tail = np.array([end], np.uint32)
         for i, (t, p) in enumerate(zip(raw, plain)):
@@ -113,17 +115,14 @@ class Tokenizer:
         return np.concatenate([np.zeros(0, np.uint32), *pieces]), counts
 
     @staticmethod
-    def _is_plain(text: str) -> bool:
-        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    def _is_plain(text: str, code: np.ndarray) -> bool:
         return "<|" not in text and not (code >= _KNOWN).any()
 
-    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joined = "".join(texts)
+    def _encode_plain(self, texts: list[str], joined: str, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         firsts = np.concatenate([np.zeros(1, np.int64), ends])
         if not joined:
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         starts = split(code, firsts)
         spans = self._look_up(code, starts, joined)
         low = (spans >> _S32).view(np.int64)
@@ -200,23 +199,25 @@ class Tokenizer:
     def _add(self, words: list[str]) -> np.ndarray:
         """Encode new pieces; the spans of their ids."""
         # The library would find a run of letters whole again; its model encodes it without the search.
-        pieces: list = [None] * len(words)
-        others = []
-        for i, word in enumerate(words):
-            if word[word[0] == " " :].isalpha():
-                if word.isascii():
-                    letters = _BYTE_LETTERS[0x20] + word[1:] if word[0] == " " else word
-                else:
-                    letters = "".join([_BYTE_LETTERS[b] for b in word.encode()])
-                pieces[i] = [x.id for x in self._model.tokenize(letters)]
-            else:
-                others.append(i)
+        tokenize, number, space = self._model.tokenize, attrgetter("id"), _BYTE_LETTERS[0x20]
+        runs = [(w[1:] if w[0] == " " else w).isalpha() for w in words]
+        others = [w for w, is_run in zip(words, runs) if not is_run]
+        found = []
         for low in range(0, len(others), 4096):
-            part = others[low : low + 4096]
-            for i, x in zip(part, self._library.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
-                pieces[i] = x.ids
-        lengths = np.array([len(x) for x in pieces])
-        flat = np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths.sum()))
+            found += self._library.encode_batch_fast(others[low : low + 4096], add_special_tokens=False)
+        rest = iter(found)
+        ids: list[int] = []
+        ends = []
+        for word, is_run in zip(words, runs):
+            if not is_run:
+                ids += next(rest).ids
+            elif word.isascii():
+                ids += map(number, tokenize(space + word[1:] if word[0] == " " else word))
+            else:
+                ids += map(number, tokenize("".join([_BYTE_LETTERS[b] for b in word.encode()])))
+            ends.append(len(ids))
+        flat = np.array(ids, np.uint16)
+        lengths = np.diff(np.array(ends), prepend=0)
         while self._size + len(flat) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
         self._flat[self._size : self._size + len(flat)] = flat
